@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import exact_dedup, language, mixing, packing, secrets
 from tidemark.llm._tables import read_table
 
 
+def vocabulary(name: str) -> str:
+    """Where the public tokenizer files lie; every machine of the cluster has them installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup_report(read_table(spark, sf_dir, "documents"))
 
@@ -18,9 +26,28 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(read_table(spark, sf_dir, "documents")))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.pmod(language.crc_of(F.col("doc_id")), F.lit(4)) == 2
+    model = language.train(docs.filter(~held_out))
+    found = language.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
+    "op5_secrets": op5_secrets,
+    "op8_packing": op8_packing,
+    "op10_language": op10_language,
 }
 
 ORACLES: dict[str, str] = {
