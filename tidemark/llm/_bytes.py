@@ -59,8 +59,9 @@ class Chunk:
         return len(self.offsets) - 1
 
 
-def chunks(column: pa.Array, most: int = 2 << 20) -> Iterator[Chunk]:
-    """Cut a string column into chunks of about ``most`` bytes, at least a row each. Null is empty."""
+def chunks(column: pa.Array, most: int = 2 << 20, most_rows: int = 1 << 16) -> Iterator[Chunk]:
+    """Cut a string column into chunks of at most ``most_rows`` rows and about ``most`` bytes, at
+    least a row each. Null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -74,6 +75,7 @@ def chunks(column: pa.Array, most: int = 2 << 20) -> Iterator[Chunk]:
     row = 0
     while row < len(column):
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, side="right")) - 1)
+        end = min(end, row + most_rows)
         yield Chunk(row, raw[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row])
         row = end
 
@@ -137,6 +139,14 @@ def combine(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, n
     return mix64(total[same]), rows[: len(rows) - n + 1][same]
 
 
+def sequence_hashes(values: np.ndarray, edges: np.ndarray, odd: int) -> np.ndarray:
+    """A 64-bit hash of each run of values from one edge to the next, in their order."""
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum((values * np.uint64(odd) + np.uint64(1)) * _powers(_BASE, max(len(values), 1))[: len(values)], out=sums[1:])
+    inverse = _powers(_INVERSE, len(values) + 1)
+    return mix64((sums[edges[1:]] - sums[edges[:-1]]) * inverse[edges[:-1]] + np.diff(edges).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def pack(values: np.ndarray) -> bytes:
     """Sorted unsigned integers, as compressed planes of the bytes of their differences."""
     import zstandard

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, language, mixing, packing, scoring, secrets
+from tidemark.llm import exact_dedup, language, minhash, mixing, packing, scoring, secrets
 from tidemark.llm._tables import read_table
 
 
@@ -30,6 +30,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return scoring.score(docs, F.pmod(language.crc_of(docs["doc_id"]), F.lit(10)) == 0)
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
+    "op6_minhash": op6_minhash,
     "op7_scoring": op7_scoring,
     "op8_packing": op8_packing,
     "op10_language": op10_language,
