@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embeddings, exact_dedup, language, minhash, mixing, packing, scoring, secrets
+from tidemark.llm import embeddings, exact_dedup, language, lines, minhash, mixing, packing, scoring, secrets
 from tidemark.llm._tables import read_table
 
 
@@ -22,6 +22,10 @@ def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup_report(read_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
+    "op2_lines": op2_lines,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
