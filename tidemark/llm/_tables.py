@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,5 +34,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without(df: DataFrame, key: str, gone: DataFrame, most_broadcast: int = 1_000_000) -> DataFrame:
+    """The rows of ``df`` whose key is not in the one column of ``gone``. At most ``most_broadcast``
+    ids are broadcast, so that the rows stay where they are; more are joined by a shuffle."""
+    gone = materialise(gone.toDF("__gone").filter("__gone IS NOT NULL").distinct(), "gone")
+    if gone.count() <= most_broadcast:
+        gone = F.broadcast(gone)
+    return df.join(gone, df[key] == F.col("__gone"), "left_anti")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -25,7 +25,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._tables import materialise
+from tidemark.llm._tables import materialise, without
 
 
 def ascii_lower(text: Column) -> Column:
@@ -67,9 +67,8 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", salts: i
     cannot be told from the others: such rows stay.
     """
     report = exact_dedup_report(df, key, text, salts)
-    gone = report.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     twice = report.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    kept = df.join(gone, df[key] == F.col("__gone"), "left_anti")
+    kept = without(df, key, report.filter(~F.col("kept")).select("doc_id"))
     if not twice.isEmpty():
         kept = kept.filter(df[key].isNull()).unionByName(kept.filter(df[key].isNotNull()).dropDuplicates([key]))
     return kept

@@ -213,16 +213,7 @@ def _predict(shared, spans: bool):
         for batch in batches:
             column = batch.column("text")
             for chunk in _bytes.chunks(column, 4 << 20):
-                starts, ends, rows, labels, letters = label_chunk(model, chunk)
-                total = letters.sum(axis=1)
-                best = np.where(total > 0, letters.argmax(axis=1) if letters.shape[1] else 0, -1)
-                plain = np.zeros(len(chunk), dtype=bool)  # rows with an ASCII letter need no closer look
-                if len(starts):
-                    plain[rows[_LETTERS[chunk.data[starts]] < 0x80]] = True
-                for row in np.flatnonzero((best >= 0) & ~plain):
-                    if not _has_letter(chunk.data[chunk.offsets[row] : chunk.offsets[row + 1]].tobytes().decode()):
-                        best[row] = -1
-                score = np.where(best >= 0, letters[np.arange(len(chunk)), np.maximum(best, 0)] / np.maximum(total, 1), 0.0) if letters.shape[1] else np.zeros(len(chunk))
+                best, score, (starts, ends, rows, labels) = identify(model, chunk)
                 out = [batch.column("doc_id").slice(chunk.first, len(chunk)), pa.array(names[best], pa.string()), pa.array(score, pa.float64())]
                 if spans:
                     out.append(_span_lists(chunk, starts, ends, rows, labels, best, model.languages))
@@ -231,6 +222,23 @@ def _predict(shared, spans: bool):
     return run
 
 
+def identify(model: Model, chunk: _bytes.Chunk):
+    """Of each row the index of its language, -1 if undetermined, and its score; and label_chunk's words."""
+    starts, ends, rows, labels, letters = label_chunk(model, chunk)
+    if not letters.shape[1]:
+        return np.full(len(chunk), -1), np.zeros(len(chunk)), (starts, ends, rows, labels)
+    total = letters.sum(axis=1)
+    best = np.where(total > 0, letters.argmax(axis=1), -1)
+    plain = np.zeros(len(chunk), dtype=bool)  # rows with an ASCII letter need no closer look
+    if len(starts):
+        plain[rows[_LETTERS[chunk.data[starts]] < 0x80]] = True
+    for row in np.flatnonzero((best >= 0) & ~plain):
+        if not _has_letter(chunk.data[chunk.offsets[row] : chunk.offsets[row + 1]].tobytes().decode()):
+            best[row] = -1
+    score = np.where(best >= 0, letters[np.arange(len(chunk)), np.maximum(best, 0)] / np.maximum(total, 1), 0.0)
+    return best, score, (starts, ends, rows, labels)
+
+
 def _span_lists(chunk, starts, ends, rows, labels, best, languages) -> pa.Array:
     """Runs of words with one label as [start, end, lang], in code points of the text."""
     at = np.concatenate(([0], np.cumsum((chunk.data & 0xC0) != 0x80)))
@@ -267,3 +275,19 @@ def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, lang_pred string, score double" + (", spans array<struct<start: int, end: int, lang: string>>" if spans else "")
     return rows.mapInArrow(_predict(shared, spans), schema)
+
+
+def keep_identified(df: DataFrame, model: Model, text: str = "text", least_score: float = 0.5) -> DataFrame:
+    """The rows of ``df``, unchanged, whose text has a language with at least that share of its letters."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays = [np.zeros(0, dtype=bool)]
+            for chunk in _bytes.chunks(batch.column(at), 4 << 20):
+                best, score, _ = identify(shared.value, chunk)
+                stays.append((best >= 0) & (score >= least_score))
+            yield batch.filter(pa.array(np.concatenate(stays)))
+
+    return df.mapInArrow(run, df.schema)

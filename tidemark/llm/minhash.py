@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _bytes, _exchange
-from tidemark.llm._tables import materialise, partitions
+from tidemark.llm._tables import materialise, partitions, without
 from tidemark.llm.components import components
 
 WIDTH = 5
@@ -243,5 +243,4 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
 
 def near_dedup(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``df`` that stay, one document of each class, with all their columns."""
-    gone = near_duplicates(df, key, **options).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return df.join(gone, df[key] == F.col("__gone"), "left_anti")
+    return without(df, key, near_duplicates(df, key, **options).filter(~F.col("kept")).select("doc_id"))
