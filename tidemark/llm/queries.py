@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embeddings, exact_dedup, language, lines, minhash, mixing, packing, scoring, secrets
+from tidemark.llm import embeddings, exact_dedup, language, licenses, lines, minhash, mixing, packing, scoring, secrets
 from tidemark.llm._tables import read_table
 
 
@@ -51,6 +51,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source, language, a directory for each thousand ids."""
+    docs = read_table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000), F.concat(F.col("doc_id"), F.lit(".txt")))
+    return licenses.scan(docs, path)
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.pmod(language.crc_of(F.col("doc_id")), F.lit(4)) == 2
@@ -68,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash": op6_minhash,
     "op7_scoring": op7_scoring,
     "op8_packing": op8_packing,
+    "op9_licenses": op9_licenses,
     "op10_language": op10_language,
 }
 
