@@ -1,0 +1 @@
+"""Whole plans: cleaning, warehouse, views, quality, serving and the daily run."""
