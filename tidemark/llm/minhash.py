@@ -12,7 +12,8 @@ full weighted sets, is at least ``threshold``.
 
 A bucket of a band is never expanded into all its pairs: first every member is compared with the
 bucket's least member. Most buckets are one component after that. In the others, members of
-different components are compared with each other, so no candidate pair stays undecided.
+different components are compared with each other within the tasks that hold them, block by block,
+and only links come out; so no candidate pair stays undecided and none is emitted.
 
 Defined cases: words are runs of characters other than white space, A-Z lower-cased; texts of one
 to four words are a single shingle; texts without a word (null, empty) link with nothing; texts
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _bytes, _exchange
+from tidemark.llm._groups import sorted_groups
 from tidemark.llm._tables import materialise, partitions, without
 from tidemark.llm.components import components
 
@@ -189,18 +191,69 @@ def _verified(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array([similarity((va, wa), (vb, wb)) for va, wa, vb, wb in zip(*packed, strict=True)], pa.float64())], names=["a", "b", "similarity"])
 
 
+def _full_sets(needed: DataFrame, sets: DataFrame, most_broadcast: int, *more: str) -> DataFrame:
+    """The sets of some distinct nodes. Ids of 8 bytes are broadcast while they are few; beyond
+    that the join shuffles the sets."""
+    full = sets.filter("vector IS NOT NULL").select("node", *more, "vector", "weights")
+    if needed.count() <= most_broadcast:
+        needed = F.broadcast(needed)
+    return full.join(needed, "node", "left_semi").dropDuplicates(["node"])
+
+
 def _links(pairs: DataFrame, sets: DataFrame, threshold: float, most_broadcast: int) -> DataFrame:
     """Of distinct candidate pairs (a, b), those whose sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    full = sets.filter("vector IS NOT NULL").select("node", "vector", "weights")
-    if needed.count() <= most_broadcast:  # ids of 8 bytes; beyond that the join shuffles the sets
-        needed = F.broadcast(needed)
-    full = full.join(needed, "node", "left_semi").dropDuplicates(["node"])
+    full = _full_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), sets, most_broadcast)
     of = lambda x: full.select(F.col("node").alias(x), F.col("vector").alias(f"v{x}"), F.col("weights").alias(f"w{x}"))
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "va", "wa", "vb", "wb").mapInArrow(_verified, "a long, b long, similarity double").filter(F.col("similarity") >= threshold)
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, bands: int = 12, rows: int = 4, idf_floor: float = 0.85, most_broadcast: int = 1_000_000) -> DataFrame:
+def linked_across(node: np.ndarray, root: np.ndarray, side: np.ndarray, bands: np.ndarray, bucket: int, same_block: bool, packed: list[tuple[bytes, bytes]], threshold: float) -> list[tuple[int, int]]:
+    """Links between members of a bucket that are in different components. One member at a time is
+    compared with all others at once; members of the largest component need no turn of their own.
+    Pairs that share an earlier band are that band's business."""
+    parts = [_exchange.summed(_bytes.unpack(k), _bytes.unpack_counts(w).astype(np.uint32).view(np.float32).astype(np.float64)) for k, w in packed]
+    starts = np.cumsum([0, *[len(k) for k, _ in parts]])
+    keys, ids = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    weights = np.concatenate([w for _, w in parts])
+    total = np.add.reduceat(weights, starts[:-1])
+    roots, sizes = np.unique(root, return_counts=True)
+    own = np.zeros(len(keys))
+    found, done = [], np.zeros(len(node), dtype=bool)
+    at = int(np.flatnonzero((bands == bucket).all(axis=0))[0])
+    for i in np.flatnonzero(root != roots[sizes.argmax()]):
+        mine = slice(starts[i], starts[i + 1])
+        own[ids[mine]] = weights[mine]
+        shared = np.add.reduceat(np.minimum(own[ids], weights), starts[:-1])
+        own[ids[mine]] = 0
+        near = (shared >= threshold * (total[i] + total - shared)) & (root != root[i]) & ~done
+        if not same_block:
+            near &= side != side[i]
+        near &= ~(bands[:, :at] == bands[i, :at]).any(axis=1)
+        found += [(int(node[i]), int(node[j])) for j in np.flatnonzero(near)]
+        done[i] = True
+    return found
+
+
+def _across(threshold: float):
+    def run(batches):
+        for t in sorted_groups(batches, ["bucket", "low", "high"]):
+            if len(t) < 2:
+                continue
+            column = lambda c: t[c].to_numpy()  # noqa: B023, E731
+            root = column("root")
+            if (root == root[0]).all():
+                continue
+            bands = np.array(t["bands"].to_pylist(), dtype=np.int64)
+            packed = list(zip(t["vector"].to_pylist(), t["weights"].to_pylist(), strict=True))
+            found = linked_across(column("node"), root, column("side"), bands, t["bucket"][0].as_py(), t["low"][0].as_py() == t["high"][0].as_py(), packed, threshold)
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, bands: int = 12, rows: int = 4, idf_floor: float = 0.85, block_size: int = 512, most_broadcast: int = 1_000_000) -> DataFrame:
     """One row per document: doc_id, component_id (the least id of its class), component_size, kept."""
     spark = df.sparkSession
     many = partitions(spark)
@@ -221,14 +274,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     star = materialise(shared.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "star-pairs")
     links = materialise(_links(star, sets, threshold, most_broadcast).select("a", "b"), "star-links")
     first = materialise(components(links), "star-components")
-    # buckets whose members are not one component yet: compare across components, all pairs
+    # buckets whose members are not one component yet: their members are compared across components
     placed = shared.join(first, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    split = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("bucket")
+    split = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m")).filter("low < high").select("bucket", "m")
     open_ = materialise(placed.join(split, "bucket"), "open-buckets")
-    left, right = open_.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra")), open_.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"))
-    across = left.join(right, "bucket").filter("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    across = materialise(across.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "cross-pairs")
-    more = _links(across, sets, threshold, most_broadcast).select("a", "b")
+    blocks = F.ceil(F.col("m") / block_size)
+    sided = open_.withColumn("side", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    sided = sided.select("bucket", "node", "root", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
+    full = _full_sets(open_.select("node").distinct(), sets, most_broadcast, "bands")
+    by = ["bucket", "low", "high"]
+    met = sided.join(full, "node").repartition(*by).sortWithinPartitions(*by)
+    more = materialise(met.mapInArrow(_across(threshold), "a long, b long"), "cross-links")
     whole = materialise(components(links.union(more)), "components")
 
     nodes = sets.select("doc_id", "node").join(whole, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
