@@ -6,10 +6,12 @@ follow the textbook rule from the number n of distinct vectors: k so large that
 (right angles) share a bucket ``1 / 8`` of a time per vector, and as many tables as leave a pair at
 exactly the threshold undetected with a chance of at most ``miss``.
 
-Equal vectors are one node, with the number of its copies. Within a bucket all members are compared
-in double precision; the pairs themselves never leave the task: a bucket returns for each member
-its number of new links and its root in the bucket. A link found in several tables counts in the
-first where the two share a bucket. Buckets of more than ``block`` members are cut into blocks, and
+Equal vectors are one node, with the number of its copies. Nodes within half the threshold's angle
+of one center are linked with each other for certain, so a large group of near copies is counted
+and not compared. Within a bucket, members of different centers are compared in double precision;
+the pairs themselves never leave the task: a bucket returns for each member its number of new links
+and its root in the bucket. A link found in several tables counts in the first where the two share
+a bucket. Buckets of more than ``block`` members are cut into blocks, and
 each pair of blocks is compared by itself.
 
 Defined cases: vectors that are null, zero, empty or hold null or non-finite components link with
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _bytes
+from tidemark.llm._groups import sorted_groups
 from tidemark.llm._tables import materialise
 from tidemark.llm.components import components
 
@@ -120,22 +123,27 @@ def _compared(k: int, many: int, width: float, seed: int, threshold: float):
     """Over rows sorted by bucket and pair of blocks: each member's new links and root."""
     tables: dict[int, Tables] = {}
 
-    def group(t: int, same_block: bool, node: np.ndarray, side: np.ndarray, copies: np.ndarray, vectors: np.ndarray):
+    def group(t: int, same_block: bool, node: np.ndarray, center: np.ndarray, side: np.ndarray, copies: np.ndarray, vectors: np.ndarray):
         unit = _unit(vectors)
-        near = unit @ unit.T >= threshold
-        a, b = np.nonzero(np.triu(near, 1))
+        centers, sizes = np.unique(center, return_counts=True)
+        turn = np.flatnonzero(center != centers[sizes.argmax()])  # members of the largest cluster need no turn of their own
+        place = np.full(len(node), len(node))
+        place[turn] = np.arange(len(turn))
+        near = (unit[turn] @ unit.T >= threshold) & (center[turn][:, None] != center) & (place > np.arange(len(turn))[:, None])
         if not same_block:
-            across = side[a] != side[b]
-            a, b = a[across], b[across]
+            near &= side[turn][:, None] != side
+        a, b = np.nonzero(near)
+        a = turn[a]
         if t and len(a):
             used = np.unique(np.concatenate((a, b)))
             size = vectors.shape[1]
             codes = tables.setdefault(size, Tables(size, k, many, width, seed)).codes(unit[used], t)
-            place = np.zeros(len(node), dtype=np.int64)
-            place[used] = np.arange(len(used))
+            row = np.zeros(len(node), dtype=np.int64)
+            row[used] = np.arange(len(used))
             fresh = np.ones(len(a), dtype=bool)
-            for i in range(0, len(a), 1 << 16):
-                fresh[i : i + (1 << 16)] = ~(codes[place[a[i : i + (1 << 16)]]] == codes[place[b[i : i + (1 << 16)]]]).any(axis=1)
+            for i in range(0, len(a), 1 << 14):
+                part = slice(i, i + (1 << 14))
+                fresh[part] = ~(codes[row[a[part]]] == codes[row[b[part]]]).any(axis=1)
             a, b = a[fresh], b[fresh]
         if not len(a):
             return None
@@ -144,47 +152,53 @@ def _compared(k: int, many: int, width: float, seed: int, threshold: float):
         return node[linked], links[linked].astype(np.int64), node[_roots(len(node), a, b)][linked]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            if not rows.num_rows:
-                return
-            keys = [rows[c].to_numpy() for c in ("t", "code", "low", "high")]
-            new = np.concatenate(([True], np.any([x[1:] != x[:-1] for x in keys], axis=0)))
-            edges = np.append(np.flatnonzero(new), rows.num_rows)
-            node, side, copies = (rows[c].to_numpy() for c in ("node", "side", "copies"))
-            column = rows["v"].combine_chunks()
-            flat, at = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.concatenate(([0], np.cumsum(np.asarray(column.value_lengths()))))
-            out = []
-            for s, e in zip(edges[:-1], edges[1:], strict=True):
-                if e - s > 1:
-                    vectors = flat[at[s] : at[e]].reshape(e - s, -1)
-                    found = group(int(keys[0][s]), keys[2][s] == keys[3][s], node[s:e], side[s:e], copies[s:e], vectors)
-                    if found:
-                        out.append(found)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["node", "links", "root"])
-
-        for batch in batches:
-            if not batch.num_rows:
+        for rows in sorted_groups(batches, ["t", "code", "low", "high"]):
+            if len(rows) < 2:
                 continue
-            ends = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("t", "code", "low", "high")]
-            last = np.all([batch.column(c).to_numpy() == x for c, x in zip(("t", "code", "low", "high"), ends, strict=True)], axis=0)
-            cut = int(np.argmax(last))  # the last bucket may go on in the next batch
-            whole = pa.Table.from_batches([*held, batch.slice(0, cut)]) if cut or held else None
-            if cut == 0 and held and [held[0].column(c)[0].as_py() for c in ("t", "code", "low", "high")] == ends:
-                held.append(batch)
+            node, center, side, copies = (rows[c].to_numpy() for c in ("node", "center", "side", "copies"))
+            if (center == center[0]).all():
                 continue
-            if whole is not None:
-                yield from done(whole)
-            held = [batch.slice(cut)]
-        if held:
-            yield from done(pa.Table.from_batches(held))
+            vectors = rows["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
+            found = group(rows["t"][0].as_py(), rows["low"][0].as_py() == rows["high"][0].as_py(), node, center, side, copies, vectors)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["node", "links", "root"])
 
     return run
 
 
-def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, width: float = 2.0, miss: float = 0.03, block: int = 2048, seed: int = 7) -> DataFrame:
+def _close(least: float):
+    """Of (node, head, v, w), those whose vectors have at least that cosine."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            w = batch.column("w")
+            for rows, vectors in _matrices(batch.column("v")):
+                same = rows[np.asarray(w.value_lengths())[rows] == vectors.shape[1]]
+                if len(same):
+                    other = np.stack([np.asarray(x, dtype=np.float64) for x in w.take(pa.array(same)).to_pylist()])
+                    keep[same] = (_unit(vectors[np.isin(rows, same)]) * _unit(other)).sum(axis=1) >= least
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("node", "head")], names=["node", "head"])
+
+    return run
+
+
+def clusters(nodes: DataFrame, coded: DataFrame, threshold: float, first_tables: int) -> DataFrame:
+    """(node, center) for nodes close to the least member of one of their first buckets.
+
+    Close means within half the angle of the threshold: by the triangle inequality all nodes of
+    one center are then linked with each other, and none of those pairs needs a look.
+    """
+    half = math.cos(math.acos(threshold) / 2 - 1e-9)
+    own = coded.filter(F.col("t") < first_tables)
+    heads = own.groupBy("t", "code").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    star = own.join(heads, ["t", "code"]).filter("node <> head").select("node", "head").distinct()
+    pairs = star.join(nodes.select("node", "v"), "node").join(nodes.select(F.col("node").alias("head"), F.col("v").alias("w")), "head")
+    close = pairs.select("node", "head", "v", "w").mapInArrow(_close(half), "node long, head long")
+    return close.groupBy("node").agg(F.min("head").alias("center"))
+
+
+def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, width: float = 2.0, miss: float = 0.03, block: int = 2048, first_tables: int = 16, seed: int = 7) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows = df.select(df[key].cast("long").alias("vec_id"), df[vector].alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -193,19 +207,24 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     nodes = materialise(rows.filter(sound).groupBy("v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "vectors")
     k, many = index_size(nodes.count(), threshold, width, miss)
     coded = materialise(nodes.select("node", "v").mapInArrow(_coded(k, many, width, seed), "node long, t int, code long"), "vector-codes")
-    buckets = coded.groupBy("t", "code").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    centers = materialise(clusters(nodes, coded, threshold, min(first_tables, many)), "vector-clusters")
+    placed = nodes.join(centers, "node", "left").withColumn("center", F.coalesce("center", "node"))
+    marked = coded.join(placed.select("node", "center"), "node")
+    buckets = marked.groupBy("t", "code").agg(F.count(F.lit(1)).alias("m"), F.min("center").alias("lo"), F.max("center").alias("hi")).filter("lo < hi").select("t", "code", "m")
     blocks = F.ceil(F.col("m") / block)
     members = coded.join(buckets, ["t", "code"]).withColumn("side", F.pmod(F.xxhash64("node"), blocks))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    members = members.select("node", "t", "code", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")).join(nodes, "node")
+    members = members.select("node", "t", "code", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")).join(placed, "node")
     by = ["t", "code", "low", "high"]
-    found = members.select(*by, "node", "side", "copies", "v").repartition(*by).sortWithinPartitions(*by)
+    found = members.select(*by, "node", "center", "side", "copies", "v").repartition(*by).sortWithinPartitions(*by)
     linked = materialise(found.mapInArrow(_compared(k, many, width, seed, threshold), "node long, links long, root long"), "vector-links")
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    known = nodes.join(counts, "node", "left").join(roots, "node", "left").select(F.col("v").alias("its"), "node", "copies", "links", "root")
+    sizes = placed.groupBy("center").agg(F.sum("copies").alias("together"))
+    stars = centers.select(F.col("node").alias("a"), F.col("center").alias("b"))
+    roots = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(stars))
+    known = placed.join(sizes, "center").join(counts, "node", "left").join(roots, "node", "left").select(F.col("v").alias("its"), "node", "together", "links", "root")
     # equal vectors find their node by value; unsound ones have none
     joined = rows.filter(sound).join(known, F.col("v") == F.col("its"))
-    of_sound = joined.select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("root", "node").alias("component_id"))
+    of_sound = joined.select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("together") - 1).cast("long").alias("n_links"), F.coalesce("root", "node").alias("component_id"))
     of_rest = rows.filter(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return of_sound.union(of_rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

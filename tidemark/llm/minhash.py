@@ -111,7 +111,7 @@ def shingles(chunk: _bytes.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 def _requests(many: int):
     def run(table: pa.Table) -> pa.Table:
         tally = _exchange.Tally()
-        for chunk in _bytes.chunks(table["text"]):
+        for chunk in _bytes.chunks(table["text"], 1 << 20):
             _, keys, _, _, _ = shingles(chunk)
             tally.add(keys, np.ones(len(keys), dtype=np.int64))
         return _exchange.request_table(_exchange.request_rows(table["block"][0].as_py(), 0, *tally.result(), BITS, many))
@@ -135,7 +135,7 @@ def _sets(many: int, n: int, floor: float, bands: int, rows: int, kind):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by("doc_id")  # the least id of equal texts carries their set
         known = _exchange.Tally()
-        for chunk in _bytes.chunks(left["text"]):
+        for chunk in _bytes.chunks(left["text"], 1 << 20):
             _, keys, _, _, _ = shingles(chunk)
             known.add(keys, np.ones(len(keys), dtype=np.int64))
         every, _ = known.result()
@@ -144,7 +144,7 @@ def _sets(many: int, n: int, floor: float, bands: int, rows: int, kind):
             raise ValueError(f"a block of {len(every)} shingles got {len(frequency)} counts")
         idf = inverse_frequency(frequency, n, floor)
         out, seen = [], set()
-        for chunk in _bytes.chunks(left["text"]):
+        for chunk in _bytes.chunks(left["text"], 1 << 20):
             owner, keys, counts, node, check = shingles(chunk)
             weights = counts * idf[np.searchsorted(every, keys)] if len(keys) else np.zeros(0)
             starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.zeros(0, dtype=np.int64)
