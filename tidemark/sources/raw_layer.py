@@ -86,8 +86,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     kind = F.schema_of_variant("v")
     lists = [F.try_variant_get("v", f"$.{w}", "array<variant>") for w in WRAPPERS]
     records = F.when(kind.startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).when(kind.startswith("OBJECT"), F.coalesce(*lists, F.array("v")))
-    by_line = F.transform(F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != ""), lambda x: F.parse_json(x))
-    rows = parsed.select(F.explode(F.when(F.col("v").isNull(), by_line).otherwise(records)).alias("payload"))
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "")
+    each = F.transform(lines, lambda x: F.try_parse_json(x))  # the parser reads one value and leaves what follows
+    by_line = (F.size(lines) > 1) & F.forall(each, lambda v: v.isNotNull())
+    rows = parsed.select(F.explode(F.when(by_line, each).otherwise(records)).alias("payload"))
     return rows.filter(F.schema_of_variant("payload").startswith("OBJECT"))
 
 
