@@ -212,7 +212,7 @@ def _predict(shared, spans: bool):
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
         for batch in batches:
             column = batch.column("text")
-            for chunk in _bytes.chunks(column, 4 << 20):
+            for chunk in _bytes.chunks(column, 1 << 20):
                 best, score, (starts, ends, rows, labels) = identify(model, chunk)
                 out = [batch.column("doc_id").slice(chunk.first, len(chunk)), pa.array(names[best], pa.string()), pa.array(score, pa.float64())]
                 if spans:
@@ -285,7 +285,7 @@ def keep_identified(df: DataFrame, model: Model, text: str = "text", least_score
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stays = [np.zeros(0, dtype=bool)]
-            for chunk in _bytes.chunks(batch.column(at), 4 << 20):
+            for chunk in _bytes.chunks(batch.column(at), 1 << 20):
                 best, score, _ = identify(shared.value, chunk)
                 stays.append((best >= 0) & (score >= least_score))
             yield batch.filter(pa.array(np.concatenate(stays)))

@@ -139,16 +139,41 @@ def _shared(a: Column, b: Column, most: Column, side) -> Column:
     return F.aggregate(powers, F.lit(0), lambda n, p: F.when((n + p <= most) & (side(a, n + p) == side(b, n + p)), n + p).otherwise(n))
 
 
+def _may_be_near(x: Column, y: Column, edits: int) -> Column:
+    """Necessary for two lines without common ends to be within ``edits``.
+
+    One edit falls before the first matched character and one after the last, which leaves
+    ``edits - 2`` for the inside: of ``edits - 1`` pieces of the inside of the shorter line one
+    stands in the other, moved by at most ``edits`` places.
+    """
+    inner = F.length(x) - 2 * edits
+    found = inner <= 0
+    for p in range(edits - 1):
+        start = F.floor(inner * p / (edits - 1)).cast("int") + edits
+        size = F.floor(inner * (p + 1) / (edits - 1)).cast("int") + edits - start
+        piece = F.substring(x, start + 1, size)
+        for shift in range(-edits, edits + 1):
+            found = found | (piece == F.substring(y, start + 1 + shift, size))
+    return found
+
+
 def verified(pairs: DataFrame, edits: int) -> DataFrame:
     """Of (a, b, xa, xb), ids and lines, those within ``edits``; the common ends are cut off first."""
     shorter = F.length("xa") <= F.length("xb")
-    x = pairs.select("a", "b", F.when(shorter, F.col("xa")).otherwise(F.col("xb")).alias("x"), F.when(shorter, F.col("xb")).otherwise(F.col("xa")).alias("y"))
+
+    def fixed(df: DataFrame, *kept: str, **columns: Column) -> DataFrame:
+        """Columns that later filters see as values: a filter is not pushed into what explode makes,
+        where it would repeat their expressions for each time it names them."""
+        return df.select("a", "b", *kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+    x = fixed(pairs, x=F.when(shorter, F.col("xa")).otherwise(F.col("xb")), y=F.when(shorter, F.col("xb")).otherwise(F.col("xa")))
     x = x.filter(F.length("y") - F.length("x") <= edits)
-    x = x.withColumn("head", _shared(F.col("x"), F.col("y"), F.length("x"), F.left))
-    x = x.withColumn("tail", _shared(F.col("x"), F.col("y"), F.length("x") - F.col("head"), F.right))
+    x = fixed(x, "x", "y", head=_shared(F.col("x"), F.col("y"), F.length("x"), F.left))
+    x = fixed(x, "x", "y", "head", tail=_shared(F.col("x"), F.col("y"), F.length("x") - F.col("head"), F.right))
     middle = lambda c: F.substring(c, F.col("head") + 1, F.length(c) - F.col("head") - F.col("tail"))
-    x = x.select("a", "b", middle(F.col("x")).alias("x"), middle(F.col("y")).alias("y"))
-    return x.filter(edit_distance(F.col("x"), F.col("y"), edits) <= edits).select("a", "b")
+    x = fixed(x, x=middle(F.col("x")), y=middle(F.col("y"))).filter(_may_be_near(F.col("x"), F.col("y"), edits))
+    x = fixed(x, distance=edit_distance(F.col("x"), F.col("y"), edits))
+    return x.filter(F.col("distance") <= edits).select("a", "b")
 
 
 def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -160,8 +185,9 @@ def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
 def line_links(lines: DataFrame, edits: int, least_chars: int, most_broadcast: int) -> DataFrame:
     """Links (a, b) between the ids of different lines."""
     distinct = lines.select("line").filter(F.length("line") >= least_chars).distinct()
-    indexed = distinct.select(F.explode(index_keys(F.col("line"), edits)).alias("key"), node_id(F.col("line")).alias("a"))
-    probes = distinct.select(F.explode(probe_keys(F.col("line"), edits)).alias("key"), node_id(F.col("line")).alias("b"))
+    # ids and keys first, then the rows: an id next to explode would be worked out for every key
+    keyed = lambda keys, name: distinct.select(keys(F.col("line"), edits).alias("keys"), node_id(F.col("line")).alias(name)).select(F.explode("keys").alias("key"), name)
+    indexed, probes = keyed(index_keys, "a"), keyed(probe_keys, "b")
     near = (F.col("a") != F.col("b")) & (_letters_apart(F.col("a"), F.col("b")) <= 2 * edits)
     met = indexed.join(probes, (indexed["key"] == probes["key"]) & near)
     pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
