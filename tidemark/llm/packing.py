@@ -47,7 +47,7 @@ class WordEncoder:
     ``most_words`` bounds the memory of words; beyond it they are forgotten and encoded anew.
     """
 
-    def __init__(self, vocabulary: str, most_words: int = 3_000_000):
+    def __init__(self, vocabulary: str, most_words: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
@@ -106,19 +106,9 @@ class WordEncoder:
         return np.split(ids, total[of_row[1:-1]])
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder_of(vocabulary: str) -> WordEncoder:
-    """This worker's encoder: its memory of words serves all tasks that the worker runs."""
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = WordEncoder(vocabulary)
-    return _encoders[vocabulary]
-
-
 def _pieces(vocabulary: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(vocabulary)
+        encoder = WordEncoder(vocabulary)  # its memory of words lasts for the task
         for batch in batches:
             keys, marks = batch.column(0), batch.column(2)
             for chunk in _bytes.chunks(batch.column(1)):
