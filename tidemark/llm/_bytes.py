@@ -6,6 +6,7 @@ from a table of byte classes and a word's 64-bit hash from prefix sums of a poly
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +60,14 @@ class Chunk:
         return len(self.offsets) - 1
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and share a machine with the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunks(column: pa.Array, most: int = 2 << 20, most_rows: int = 1 << 16) -> Iterator[Chunk]:
     """Cut a string column into chunks of at most ``most_rows`` rows and about ``most`` bytes, at
     least a row each. Null is empty."""
@@ -78,6 +87,7 @@ def chunks(column: pa.Array, most: int = 2 << 20, most_rows: int = 1 << 16) -> I
         end = min(end, row + most_rows)
         yield Chunk(row, raw[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row])
         row = end
+    give_back()
 
 
 def word_bounds(chunk: Chunk, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

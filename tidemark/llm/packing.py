@@ -19,6 +19,7 @@ ids are packed as rows of their own; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -48,6 +49,8 @@ class WordEncoder:
     """
 
     def __init__(self, vocabulary: str, most_words: int = 1_000_000):
+        # one thread: Spark has given the other cores to other tasks
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
@@ -55,9 +58,13 @@ class WordEncoder:
         self._forget()
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
+    def _encode(self, texts: list[str], at_once: int = 2048) -> list[np.ndarray]:
+        """Few at once: an encoding takes many times the memory of its ids."""
         run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [e.ids for e in run(texts, add_special_tokens=False)]
+        out: list[np.ndarray] = []
+        for k in range(0, len(texts), at_once):
+            out += [np.array(e.ids, dtype=np.uint32) for e in run(texts[k : k + at_once], add_special_tokens=False)]
+        return out
 
     def _forget(self) -> None:
         self.hashes, self.order = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
@@ -72,7 +79,7 @@ class WordEncoder:
         if len(new):
             pool = self._encode(texts(new))
             sizes = np.fromiter(map(len, pool), dtype=np.int64, count=len(pool))
-            flat = np.fromiter((i for ids in pool for i in ids), dtype=np.uint32, count=int(sizes.sum()))
+            flat = np.concatenate(pool)
             hashes = np.concatenate((self.hashes, found[new]))
             order = np.concatenate((self.order, len(self.sizes) + np.arange(len(new))))
             by = np.argsort(hashes, kind="stable")
@@ -86,7 +93,7 @@ class WordEncoder:
         raw = chunk.data.tobytes()
         if any(s[:2] in raw and s in raw for s in self.specials):
             texts = [raw[a:b].decode() for a, b in zip(chunk.offsets[:-1], chunk.offsets[1:], strict=True)]
-            return [np.array(ids, dtype=np.uint32) for ids in self._encode(texts)]
+            return self._encode(texts)
         data = _bytes.LOWER[chunk.data]
         cut = np.zeros(len(data), dtype=bool)
         letter, mark = _LETTER[data], _MARK[data]
@@ -111,7 +118,7 @@ def _pieces(vocabulary: str, capacity: int, end_id: int):
         encoder = WordEncoder(vocabulary)  # its memory of words lasts for the task
         for batch in batches:
             keys, marks = batch.column(0), batch.column(2)
-            for chunk in _bytes.chunks(batch.column(1)):
+            for chunk in _bytes.chunks(batch.column(1), 1 << 19):
                 out: list[tuple] = []
                 for row, ids in enumerate(encoder.rows(chunk)):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
