@@ -166,6 +166,25 @@ def test_lines(spark, docs, none):
     assert lines.dedup_lines(docs).columns == docs.columns and lines.line_report(none).count() == 0
 
 
+def test_lines_that_share_bits_of_a_hash_stay_apart(spark):
+    capitals = spark.range(300_000).select(F.upper(F.md5(F.col("id").cast("string"))).alias("line"))
+    same = capitals.groupBy(F.shiftrightunsigned(F.xxhash64("line"), 32).alias("h")).agg(F.collect_list("line").alias("x")).filter("size(x) > 1").orderBy("h").first()["x"]
+    rows = spark.createDataFrame([(i, line) for i, line in enumerate(same)], "doc_id long, text string")
+    got = lines.line_report(rows).collect()
+    assert len({r["class_id"] for r in got}) == len(same) and all(r["kept"] for r in got)
+
+
+def test_lines_with_one_hash_are_hashed_anew(spark, monkeypatch):
+    whole = lines.hashed
+    monkeypatch.setattr(lines, "hashed", lambda line, salt: F.length(line).cast("long") if salt < 2 else whole(line, salt))
+    a, b = "ПЕРВАЯ СТРОКА О ПОГОДЕ НА СЕВЕРЕ", "ВТОРАЯ КНИГА ИЗ ЧЕТЫРЕХ ТОМОВ 77"
+    rows = [(1, f"{a}\n{b}\n{a}"), (2, b[:-1] + "8"), (3, "alone")]
+    assert len(a) == len(b)
+    got = {(r["doc_id"], r["line_no"]): r for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1, 0]["class_id"] == got[1, 2]["class_id"] != got[1, 1]["class_id"] == got[2, 0]["class_id"]
+    assert [k for k, r in sorted(got.items()) if r["kept"]] == [(1, 0), (1, 1), (3, 0)] and got[2, 0]["n_links"] == 1
+
+
 def test_scores(docs, none):
     held = F.pmod(language.crc_of(docs["doc_id"]), F.lit(10)) == 0
     got = {(r["doc_id"], r["n_tokens"]): r for r in scoring.score(docs, held).collect()}

@@ -5,13 +5,14 @@ turn one into the other. Of two such lines at least one of ``edits + 1`` segment
 one stands unchanged in the longer one, at a place that the number of edits before and after it
 bounds. So every line is indexed under (its length, segment number, segment) and probes, for each
 length up to ``edits`` below its own, the few substrings that could be such a segment. Candidates
-also need nearly the same counts of eight frequent letters, which travel in the low half of a
-line's id; the rest are verified by the banded bit-parallel recurrence on what remains between
-their common beginning and end.
+also need nearly the same counts of eight frequent letters, which travel beside a line's id; the
+rest are verified by the banded bit-parallel recurrence on what remains between their common
+beginning and end.
 
 Lines are trimmed; blank ones are no lines. Lines shorter than ``least_chars`` are compared for
-equality only, as a few edits would change most of them. Equal lines are one node, with 64 bits of
-hash and letter counts as its id.
+equality only, as a few edits would change most of them. Equal lines are one node. Its id is a hash
+of 64 bits; lines that share one are found by grouping the distinct lines and hashed anew, so no two
+lines have one id.
 
 Defined cases: null text has no lines; a null doc_id sorts before all others when the first line of
 a class is chosen; repeated rows repeat their lines; extra columns are ignored by the report and
@@ -20,6 +21,8 @@ returned untouched by ``dedup_lines``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,13 +33,37 @@ from tidemark.llm.components import components
 _LETTERS = "etaoinsr"
 
 
-def node_id(line: Column) -> Column:
-    """High half: hash of the line. Low half: counts modulo 16 of eight letters."""
-    id_ = F.shiftleft(F.shiftrightunsigned(F.xxhash64(line), 32), 32)
+def hashed(line: Column, salt: int) -> Column:
+    """64 bits of hash, independent for each salt."""
+    return F.xxhash64(F.lit(salt), line)
+
+
+def node_ids(texts: DataFrame) -> Callable[[Column], Column]:
+    """The id of a line, different for each of the distinct lines ``texts``.
+
+    Hashes that several lines share are few (n * n / 2^65 of n lines) and become literals; their
+    lines are hashed with the next salt, until no id is shared.
+    """
+    shared: list[list[int]] = []
+
+    def id_of(line: Column) -> Column:
+        id_ = hashed(line, 0)
+        for salt, ids in enumerate(shared, 1):
+            id_ = F.when(id_.isin(ids), hashed(line, salt)).otherwise(id_)
+        return id_
+
+    while ids := [r["node"] for r in texts.groupBy(id_of(F.col("line")).alias("node")).count().filter("count > 1").collect()]:
+        shared.append(ids)
+    return id_of
+
+
+def letter_counts(line: Column) -> Column:
+    """Counts modulo 16 of eight letters, four bits each."""
+    counts = F.lit(0).cast("long")
     for k, letter in enumerate(_LETTERS):
         count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
-        id_ = id_.bitwiseOR(F.shiftleft((count.cast("long")).bitwiseAND(F.lit(15)), 4 * k))
-    return id_
+        counts = counts.bitwiseOR(F.shiftleft((count.cast("long")).bitwiseAND(F.lit(15)), 4 * k))
+    return counts
 
 
 def _letters_apart(a: Column, b: Column) -> Column:
@@ -182,20 +209,19 @@ def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.withColumn("line", F.trim("line", F.lit(" \t\r\x0b\x0c"))).filter("line <> ''")
 
 
-def line_links(lines: DataFrame, edits: int, least_chars: int, most_broadcast: int) -> DataFrame:
-    """Links (a, b) between the ids of different lines."""
-    distinct = lines.select("line").filter(F.length("line") >= least_chars).distinct()
+def line_links(texts: DataFrame, id_of: Callable[[Column], Column], edits: int, least_chars: int, most_broadcast: int) -> DataFrame:
+    """Links (a, b) between the ids of different lines; ``texts`` has each line once."""
+    long = texts.filter(F.length("line") >= least_chars)
     # ids and keys first, then the rows: an id next to explode would be worked out for every key
-    keyed = lambda keys, name: distinct.select(keys(F.col("line"), edits).alias("keys"), node_id(F.col("line")).alias(name)).select(F.explode("keys").alias("key"), name)
+    keyed = lambda keys, name: long.select(keys(F.col("line"), edits).alias("keys"), id_of(F.col("line")).alias(name), letter_counts(F.col("line")).alias(f"letters_{name}")).select(F.explode("keys").alias("key"), name, f"letters_{name}")
     indexed, probes = keyed(index_keys, "a"), keyed(probe_keys, "b")
-    near = (F.col("a") != F.col("b")) & (_letters_apart(F.col("a"), F.col("b")) <= 2 * edits)
+    near = (F.col("a") != F.col("b")) & (_letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * edits)
     met = indexed.join(probes, (indexed["key"] == probes["key"]) & near)
     pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     if needed.count() <= most_broadcast:  # ids of 8 bytes; beyond that the lines are shuffled
         needed = F.broadcast(needed)
-    full = lines.select(node_id(F.col("line")).alias("node"), "line").filter(F.length("line") >= least_chars)
-    full = full.join(needed, "node", "left_semi").groupBy("node").agg(F.min("line").alias("line"))
+    full = long.select(id_of(F.col("line")).alias("node"), "line").join(needed, "node", "left_semi")
     of = lambda c: full.select(F.col("node").alias(c), F.col("line").alias(f"x{c}"))
     return materialise(verified(pairs.join(of("a"), "a").join(of("b"), "b"), edits), "line-links")
 
@@ -204,11 +230,13 @@ def line_report(df: DataFrame, key: str = "doc_id", text: str = "text", edits: i
     """One row per line: doc_id, line_no (from 0), class_id, first_doc_id, first_line_no, n_links
     (other different lines linked directly), kept (it is the first of its class)."""
     lines = split_lines(df, key, text)
-    links = line_links(lines, edits, least_chars, most_broadcast)
+    texts = materialise(lines.select("line").distinct(), "line-texts")
+    id_of = node_ids(texts)
+    links = line_links(texts, id_of, edits, least_chars, most_broadcast)
     roots = components(links)
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))
     classes = roots.join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node")
-    placed = lines.select("doc_id", "line_no", node_id(F.col("line")).alias("node")).join(classes, "node", "left")
+    placed = lines.select("doc_id", "line_no", id_of(F.col("line")).alias("node")).join(classes, "node", "left")
     placed = placed.select("doc_id", "line_no", F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     firsts = placed.groupBy("class_id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     return placed.join(firsts, "class_id").select(
