@@ -198,6 +198,21 @@ def test_scores(docs, none):
     assert scoring.score(none, F.lit(False)).count() == 0
 
 
+def test_scores_hold_every_pair(spark):
+    rng = np.random.default_rng(9)
+    texts = [[f"w{i}" for i in rng.integers(0, 60, 40)] for _ in range(30)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["score"] for r in scoring.score(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(False), bits_per_entry=64).collect()}
+    framed = [[None, *t, None] for t in texts]
+    words, pairs = Counter(w for t in framed for w in t[1:]), Counter(p for t in framed for p in zip(t, t[1:]))
+    n, v = sum(words.values()), len(words)
+    of = lambda c: float(scoring.count_of(scoring.level(np.array([c])))[0])
+    own = lambda w: (of(words[w]) + 0.1) / (n + 0.1 * (v + 1))
+    want = [sum(math.log10(0.4 * min(of(pairs[a, b]) / of(words[a]), 1) + 0.6 * min(own(b), 1)) for a, b in zip(t, t[1:])) for t in framed]
+    assert sum(c == 1 for c in pairs.values()) > len(pairs) / 2
+    assert all(math.isclose(got[i], w, rel_tol=1e-9) for i, w in enumerate(want))
+
+
 def test_packing(spark, docs, none):
     from tokenizers import Tokenizer
 

@@ -76,12 +76,19 @@ def request_table(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=_REQUEST)
 
 
+def placed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[int, np.ndarray]]]:
+    """Of one range and kind: its distinct keys, their totals, and for each block where the keys
+    that it sent stand among them, in order."""
+    sent = [(b.as_py(), _bytes.unpack(k.as_py()), _bytes.unpack_counts(c.as_py())) for b, k, c in zip(table["block"], table["keys"], table["counts"], strict=True)]
+    keys, totals = summed(np.concatenate([k for _, k, _ in sent]), np.concatenate([c.astype(np.int64) for _, _, c in sent]))
+    return keys, totals, ((b, np.searchsorted(keys, k)) for b, k, _ in sent)
+
+
 def merge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
     """Of one range and kind: its distinct keys, their totals, and for each block the totals of
     the keys that it sent, in order."""
-    sent = [(b.as_py(), _bytes.unpack(k.as_py()), _bytes.unpack_counts(c.as_py())) for b, k, c in zip(table["block"], table["keys"], table["counts"], strict=True)]
-    keys, totals = summed(np.concatenate([k for _, k, _ in sent]), np.concatenate([c.astype(np.int64) for _, _, c in sent]))
-    return keys, totals, [(b, totals[np.searchsorted(keys, k)]) for b, k, _ in sent]
+    keys, totals, places = placed(table)
+    return keys, totals, [(b, totals[at]) for b, at in places]
 
 
 def answers(table: pa.Table, many: int) -> np.ndarray:

@@ -3,13 +3,14 @@
 Training counts of words and of pairs of neighbouring words are added up over the whole corpus by
 the block exchange. Their counts are quantised to powers of two, and the filter holds an n-gram of
 level j once for each level up to j; a reader probes level after level until one is missing. The
-filter is cut into slices by range of the hash, each built where its n-grams were added up, and
-the slices together are broadcast: at most ``most_bits`` bits, whatever the corpus. Where the
-n-grams would not fit, pairs seen less than 2, 4, 8... times are left out, then words too.
+filter holds every n-gram, pairs seen once included, and grows with their number. It is cut into
+slices by range of the hash, each built and probed where its n-grams were added up: a block sends
+the words and pairs it has to score along with its counts, and gets their levels back. So no
+machine ever holds more than a slice.
 
 The probability of a word after another mixes the pair's relative frequency with the word's own
 smoothed one; a word after an unseen word has its own alone. The exact unigram score beside it
-does not use the filter: the exchange answers every block with the exact counts of its words.
+does not use the filter: the exchange answers every block with the exact counts of its words too.
 
 Defined cases: a null text is empty and so is one end token; a null id counts as an empty one when
 dealing out the held-out rows; with no training rows counts are 0 and the vocabulary is empty.
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,8 @@ PROBES = 4
 LEVELS = 40
 _ADD = 0.1
 
-_MERGED = "kind int, p int, block long, payload binary, keys binary, levels array<long>, total long"
+_MERGED = "kind int, p int, block long, counts binary, levels binary, total long, known long"
+_MERGED_ARROW = pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("block", pa.int64()), ("counts", pa.binary()), ("levels", pa.binary()), ("total", pa.int64()), ("known", pa.int64())])
 
 
 def tokens(chunk: _bytes.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,34 +72,32 @@ def _bit_places(keys: np.ndarray, kind: int, j: int, bits: int) -> np.ndarray:
     return np.stack([(low + np.uint64(i) * high) % np.uint64(bits) for i in range(PROBES)]).astype(np.int64)
 
 
-def build_slice(entries: list[tuple[int, np.ndarray, np.ndarray]], least: dict[int, int], bits: int) -> np.ndarray:
-    """One slice of the filter from (kind, keys, counts)."""
+def build_slice(keys: np.ndarray, counts: np.ndarray, kind: int, bits_per_entry: int) -> "Slice":
+    """The slice of the filter that holds these keys, each once for every level up to its own."""
+    levels = level(counts)
+    bits = max(64, int(levels.sum()) * bits_per_entry // 8 * 8)
     flags = np.zeros(bits, dtype=bool)
-    for kind, keys, counts in entries:
-        levels = level(counts)
-        for j in range(least[kind], int(levels.max(initial=0)) + 1):
-            flags[_bit_places(keys[levels >= j], kind, j, bits)] = True
-    return np.packbits(flags, bitorder="little")
+    for j in range(1, int(levels.max(initial=0)) + 1):
+        flags[_bit_places(keys[levels >= j], kind, j, bits)] = True
+    return Slice(np.packbits(flags, bitorder="little"), kind, bits)
 
 
 @dataclass
-class Filter:
-    slices: np.ndarray  # slice x bytes
-    least: dict[int, int]  # by kind, the least level that is held
-    bits: int  # of a slice
+class Slice:
+    flags: np.ndarray  # bytes
+    kind: int
+    bits: int
 
-    def levels(self, keys: np.ndarray, kind: int) -> np.ndarray:
+    def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level that each key reaches, by probing one after the other; 0 if it is unknown."""
-        many = len(self.slices)
         out = np.zeros(len(keys), dtype=np.int64)
         left = np.arange(len(keys))
-        p = (((keys >> np.uint64(BITS[kind] - 32)) * np.uint64(many)) >> np.uint64(32)).astype(np.int64)
-        for j in range(self.least[kind], LEVELS):
+        for j in range(1, LEVELS):
             if not len(left):
                 break
             held = np.ones(len(left), dtype=bool)
-            for place in _bit_places(keys[left], kind, j, self.bits):
-                held &= (self.slices[p[left], place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            for place in _bit_places(keys[left], self.kind, j, self.bits):
+                held &= (self.flags[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
             left = left[held]
             out[left] = j
         return out
@@ -110,66 +111,52 @@ def _requests(many: int):
             hashes, rows, before = tokens(chunk)
             once = trained[chunk.first + rows]
             tallies[WORDS].add(hashes, once)
-            learned = once > 0
-            tallies[PAIRS].add(pair_keys(before[learned], hashes[learned]), once[learned])
+            tallies[PAIRS].add(pair_keys(before, hashes), once)
         block = table["block"][0].as_py()
         return _exchange.request_table([r for kind, t in tallies.items() for r in _exchange.request_rows(block, kind, *t.result(), BITS[kind], many)])
 
     return run
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    p, kind = table["p"][0].as_py(), table["kind"][0].as_py()
-    keys, totals, back = _exchange.merge(table)
-    known = totals > (1 if kind == PAIRS else 0)
-    levels = np.bincount(level(totals), minlength=LEVELS)[:LEVELS]
-    levels[0] = 0
-    rows = [{"kind": kind, "p": p, "block": None, "payload": _bytes.pack_counts(totals[known]), "keys": _bytes.pack(keys[known]), "levels": levels.tolist(), "total": int(totals.sum())}]
-    if kind == WORDS:
-        rows += [{"kind": kind, "p": p, "block": b, "payload": _bytes.pack_counts(c)} for b, c in back]
-    return pa.Table.from_pylist(rows, schema=pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("block", pa.int64()), ("payload", pa.binary()), ("keys", pa.binary()), ("levels", pa.list_(pa.int64())), ("total", pa.int64())]))
-
-
-def _least_levels(levels: dict[int, np.ndarray], most_entries: int) -> dict[int, int]:
-    """From which level on n-grams are held: pairs from 2, and as many more as fit."""
-    held = lambda kind, j: sum(int(levels[kind][i]) * (i - j + 1) for i in range(j, LEVELS))
-    for words in range(1, LEVELS):
-        for pairs in range(2, LEVELS):
-            if held(WORDS, words) + held(PAIRS, pairs) <= most_entries:
-                return {WORDS: words, PAIRS: pairs}
-            if words < 2 and held(PAIRS, pairs) == 0:
-                break
-    return {WORDS: LEVELS, PAIRS: LEVELS}
-
-
-def _slices(least: dict[int, int], bits: int):
+def _merge(bits_per_entry: int):
     def run(table: pa.Table) -> pa.Table:
-        entries = [(k.as_py(), _bytes.unpack(x.as_py()), _bytes.unpack_counts(c.as_py()).astype(np.int64)) for k, x, c in zip(table["kind"], table["keys"], table["payload"], strict=True)]
-        return pa.table({"p": pa.array([table["p"][0].as_py()], pa.int32()), "bits": pa.array([build_slice(entries, least, bits).tobytes()], pa.binary())})
+        p, kind = table["p"][0].as_py(), table["kind"][0].as_py()
+        keys, totals, places = _exchange.placed(table)
+        known = totals > 0  # the others are only asked about
+        levels = build_slice(keys[known], totals[known], kind, bits_per_entry).levels(keys)
+        rows = [{"kind": kind, "p": p, "block": b, "counts": _bytes.pack_counts(totals[at]) if kind == WORDS else None, "levels": _bytes.pack_counts(levels[at])} for b, at in places]
+        rows.append({"kind": kind, "p": p, "total": int(totals.sum()), "known": int(known.sum())})
+        return pa.Table.from_pylist(rows, schema=_MERGED_ARROW)
 
     return run
 
 
-def _score(shared, many: int, n: int, v: int, weight: float):
+def _score(many: int, n: int, v: int, weight: float):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        held: Filter = shared.value
-        everything = _exchange.Tally()
+        tallies = {WORDS: _exchange.Tally(), PAIRS: _exchange.Tally()}
         for chunk in _bytes.chunks(left["text"]):
-            hashes, _, _ = tokens(chunk)
-            everything.add(hashes, np.zeros(len(hashes), dtype=np.int64))
-        keys, _ = everything.result()
-        counts = _exchange.answers(right, many)
-        if len(counts) != len(keys):
-            raise ValueError(f"a block of {len(keys)} words got {len(counts)} counts")
-        base, own_levels = np.log10((counts + _ADD) / (n + _ADD * (v + 1))), held.levels(keys, WORDS)
-        own_count = count_of(own_levels)
+            hashes, _, before = tokens(chunk)
+            for kind, asked in ((WORDS, hashes), (PAIRS, pair_keys(before, hashes))):
+                tallies[kind].add(asked, np.zeros(len(asked), dtype=np.int64))
+        (keys, _), (pairs, _) = tallies[WORDS].result(), tallies[PAIRS].result()
+
+        def answers(kind: int, column: str, asked: np.ndarray) -> np.ndarray:
+            got = right.filter(pc.equal(right["kind"], kind)).select(["p", column]).rename_columns(["p", "payload"])
+            values = _exchange.answers(got, many)
+            if len(values) != len(asked):
+                raise ValueError(f"a block of {len(asked)} n-grams got {len(values)} {column}")
+            return values
+
+        counts = answers(WORDS, "counts", keys)
+        base = np.log10((counts + _ADD) / (n + _ADD * (v + 1)))
+        own_count = count_of(answers(WORDS, "levels", keys))
+        pair_count = count_of(answers(PAIRS, "levels", pairs))
         own = np.minimum((own_count + _ADD) / (n + _ADD * (v + 1)), 1.0)
         out = []
         for chunk in _bytes.chunks(left["text"]):
             hashes, rows, before = tokens(chunk)
             at, prior = np.searchsorted(keys, hashes), np.minimum(np.searchsorted(keys, before), len(keys) - 1)
-            pairs, _, which = _bytes.distinct(pair_keys(before, hashes))
-            both = count_of(held.levels(pairs, PAIRS))[which]
+            both = pair_count[np.searchsorted(pairs, pair_keys(before, hashes))]
             ahead = own_count[prior]
             probability = np.where(ahead > 0, weight * np.minimum(both / np.maximum(ahead, 1), 1.0) + (1 - weight) * own[at], own[at])
             size = len(chunk)
@@ -180,30 +167,19 @@ def _score(shared, many: int, n: int, v: int, weight: float):
     return run
 
 
-def score(df: DataFrame, held_out, key: str = "doc_id", text: str = "text", most_bits: int = 1 << 28, bits_per_entry: int = 10, pair_weight: float = 0.4) -> DataFrame:
+def score(df: DataFrame, held_out, key: str = "doc_id", text: str = "text", bits_per_entry: int = 10, pair_weight: float = 0.4) -> DataFrame:
     """One row per text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out`` is a Column: rows for which it holds are scored but not learned from.
     """
-    spark = df.sparkSession
-    many = partitions(spark)
+    many = partitions(df.sparkSession)
     block = F.pmod(F.xxhash64(df[key], df[text]), F.lit(many)).cast("long")
     docs = df.select(block.alias("block"), df[key].alias("doc_id"), F.coalesce(df[text], F.lit("")).alias("text"), held_out.alias("held_out")).withColumn("train", (~F.col("held_out")).cast("int"))
     asked = docs.groupBy("block").applyInArrow(_requests(many), _exchange.REQUEST)
-    merged = materialise(asked.groupBy("kind", "p").applyInArrow(_merge, _MERGED), "lm-counts")
-    own = merged.filter("block IS NULL")
-    sums = own.groupBy("kind").agg(F.sum("total").alias("total"), *[F.sum(F.col("levels")[j]).alias(f"l{j}") for j in range(LEVELS)]).collect()  # two rows
-    levels = {k: np.zeros(LEVELS, dtype=np.int64) for k in (WORDS, PAIRS)} | {r["kind"]: np.array([r[f"l{j}"] for j in range(LEVELS)]) for r in sums}
-    n = next((r["total"] for r in sums if r["kind"] == WORDS), 0)
-    v = int(levels[WORDS].sum())
-    least = _least_levels(levels, most_bits // bits_per_entry)
-    entries = sum(int(levels[k][i]) * (i - least[k] + 1) for k in least for i in range(least[k], LEVELS))
-    bits = max(64, min(most_bits, entries * bits_per_entry) // many // 8 * 8)
-    slices = np.zeros((many, bits // 8), dtype=np.uint8)
-    for r in own.groupBy("p").applyInArrow(_slices(least, bits), "p int, bits binary").toLocalIterator():  # most_bits in all
-        slices[r["p"]] = np.frombuffer(r["bits"], dtype=np.uint8)
-    shared = spark.sparkContext.broadcast(Filter(slices, least, bits))
+    merged = materialise(asked.groupBy("kind", "p").applyInArrow(_merge(bits_per_entry), _MERGED), "lm-counts")
+    sums = merged.filter(F.col("block").isNull() & (F.col("kind") == WORDS)).agg(F.sum("total"), F.sum("known")).first()
+    n, v = sums[0] or 0, sums[1] or 0
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    back = merged.filter("block IS NOT NULL").select("block", "p", "payload")
-    return docs.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_score(shared, many, n, v, pair_weight), schema)
+    back = merged.filter("block IS NOT NULL").select("block", "kind", "p", "counts", "levels")
+    return docs.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_score(many, n, v, pair_weight), schema)
