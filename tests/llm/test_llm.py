@@ -83,6 +83,29 @@ def test_secrets(docs, none):
     assert secrets.report(secrets.scan(none)).count() == 0
 
 
+def test_secrets_anywhere_in_nested_layers():
+    import base64
+    import bz2
+    import gzip
+    import lzma
+    import textwrap
+    import zlib
+
+    plain = b'note one two three token = "bc0a5302762f37969011b69180d661037b374f6e" end of the note'
+    noise = np.random.default_rng(4).integers(0, 256, 300, dtype=np.uint8).tobytes()
+    b64 = lambda x: base64.b64encode(x).decode()
+    wrapped = lambda x, n: "\n".join(textwrap.wrap(b64(x), n))
+    cases = [wrapped(plain, 64), wrapped(plain, 20).replace("\n", "\r\n"), wrapped(gzip.compress(noise + plain), 76)]
+    cases += [b64(p(b"first " * 9) + p(plain)) for p in (gzip.compress, bz2.compress, lzma.compress)]
+    cases += [f"{glued}{b64(plain)}" for glued in ("/", "-", "_x", "abc")] + [b64(plain).rstrip("=") + "A" * k for k in (1, 2, 3)]
+    cases += ["".join(f"{mark}{c:02x}" for c in gzip.compress(plain)) for mark in ("%", "\\x")] + [b64(b"head " + zlib.compress(plain))]
+    cases.append(b64(gzip.compress(b"word " * (4 << 20) + plain)))
+    for inner in cases:
+        found = secrets.scan_text(f"é {inner} .".encode())
+        assert {r["kind"] for r in found} >= {"assign", "hex"}, inner[:80]
+        assert all(not r["base"] and 2 <= r["start"] < r["end"] <= 2 + len(inner) for r in found)
+
+
 def test_base_secrets_equal_plain_regular_expressions():
     rng = np.random.default_rng(1)
     parts = ["token", "API_KEY", " ", "=", ":", '"', "abcdef", "AKIA", "ABCDEFGHIJKLMNOP1234", "0123456789abcdef", "é", "ſecret", "passwd", "x"]

@@ -2,12 +2,15 @@
 
 The text is the first layer. Each layer is scanned for secrets, then unwrapped: URL escapes and
 Unicode escapes decode the layer as a whole, each base64 run and each compressed payload becomes a
-layer of its own. New layers join the worklist until none is new; a layer whose bytes and place
+layer of its own. A base64 run may go on over line breaks and is read at each of its four
+alignments; compressed payloads may start at any decoded byte and are read to the end of their last
+member. New layers join the worklist until none is new; a layer whose bytes and place
 were seen before is not queued again, which ends cycles. Every byte of a layer remembers the span
 of the text that it came from, so a secret found four layers down is reported where it stands in
 the text. Secrets of the first layer are the base; deeper layers only add spans.
 
-Bounds: a payload that would unpack to more than ``most_unpacked`` bytes is read up to that size.
+A payload that breaks off or is damaged counts as far as it unpacks. There is no bound on the size
+of a layer; one task holds the layers of one text.
 Defined cases: null text is empty; repeated rows are scanned as rows of their own; extra columns
 are ignored. Offsets are code points, ends exclusive.
 """
@@ -15,7 +18,6 @@ are ignored. Offsets are code points, ends exclusive.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import lzma
 import re
@@ -36,7 +38,12 @@ _HEX = re.compile(rb"[0-9a-f]{24,}")  # a run of 24 or more is the same match as
 _URL = re.compile(rb"%([0-9A-Fa-f]{2})")
 _ESCAPE = re.compile(rb"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 _RUN = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
-_PRINTABLE = re.compile(rb"[\x09\x0A\x0D\x20-\x7E\x80-\xFF]*")
+_WRAPPED = re.compile(rb"[A-Za-z0-9+/_-]+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}")
+_BREAK = re.compile(rb"[\x20\t\r\n]+")
+_BYTE = re.compile(rb"\\x([0-9A-Fa-f]{2})")
+#: How compressed bytes start; zlib's second byte is one of four that need no dictionary.
+_MAGIC = re.compile(rb"(?P<gzip>\x1f\x8b\x08)|(?P<zlib>\x78[\x01\x5e\x9c\xda])|(?P<bzip2>BZh[1-9])|(?P<xz>\xfd7zXZ\x00)|(?P<zstd>\x28\xb5\x2f\xfd)")
+_LEAST = 12  # bytes of the shortest secret, and less than any wrapping of it
 
 
 def find(layer: bytes) -> list[tuple[str, int, int]]:
@@ -51,10 +58,26 @@ def find(layer: bytes) -> list[tuple[str, int, int]]:
     return found
 
 
+class Same:
+    """A sequence of n equal values."""
+
+    def __init__(self, value, n: int):
+        self.value, self.n = value, n
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, i):
+        return Same(self.value, len(range(*i.indices(self.n)))) if isinstance(i, slice) else self.value
+
+    def __iter__(self):
+        return iter([self.value] * self.n)
+
+
 class Layer:
     """Bytes with, for each, the span of the text it came from, and whether it was decoded."""
 
-    def __init__(self, data: bytes, starts: list[int] | range, ends: list[int] | range, decoded: list[bool] | None, via: str):
+    def __init__(self, data: bytes, starts: list[int] | range | Same, ends: list[int] | range | Same, decoded: list[bool] | Same | None, via: str):
         self.data, self.starts, self.ends, self.decoded, self.via = data, starts, ends, decoded, via
 
     def span(self, a: int, b: int) -> tuple[int, int]:
@@ -94,71 +117,89 @@ def _escaped(m: re.Match) -> bytes | None:
     return chr(point).encode("utf-8", "surrogatepass") if point <= 0x10FFFF else None
 
 
-def _unpack(data: bytes, most: int) -> tuple[str, bytes] | None:
-    """The payload of compressed bytes, told by their first bytes."""
+def _reader(name: str):
+    if name == "gzip":
+        return zlib.decompressobj(31)
+    if name == "zlib":
+        return zlib.decompressobj()
+    if name == "bzip2":
+        return bz2.BZ2Decompressor()
+    if name == "xz":
+        return lzma.LZMADecompressor()
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompressobj()
+
+
+def _unpack(data: bytes, name: str, at: int) -> tuple[bytes, int, bool]:
+    """What the members that start at ``at`` unpack to, where reading ended, and whether at least
+    the first one was whole."""
+    out, whole = bytearray(), False
     try:
-        if data[:2] == b"\x1f\x8b":
-            return "gzip", zlib.decompressobj(31).decompress(data, most)
-        if data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-            return "zlib", zlib.decompressobj().decompress(data, most)
-        if data[:3] == b"BZh":
-            return "bzip2", bz2.BZ2Decompressor().decompress(data, most)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return "xz", lzma.LZMADecompressor().decompress(data, most)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            return "zstd", zstandard.ZstdDecompressor().stream_reader(data).read(most)
+        while (m := _MAGIC.match(data, at)) and m.lastgroup == name:
+            reader = _reader(name)
+            while at < len(data) and not reader.eof:
+                piece = data[at : at + 65536]
+                out += reader.decompress(piece)
+                at += len(piece) - (len(reader.unused_data) if reader.eof else 0)
+            whole = whole or reader.eof
     except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
-        return None
+        pass
     except Exception as error:  # the zstd library has its own error class
         if type(error).__name__ != "ZstdError":
             raise
-    return None
-
-
-def _base64(layer: Layer, m: re.Match, most: int) -> Layer | None:
-    """The layer under a base64 run: text, or something compressed that is unpacked at once."""
-    run = m[0].rstrip(b"=")
-    if len(run) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(run.translate(bytes.maketrans(b"-_", b"+/")) + b"=" * (-len(run) % 4), validate=True)
-    except binascii.Error:
-        return None
-    a = m.start()
-    packed = _unpack(data, most)
-    if packed:
-        name, inner = packed
-        n = len(inner)
-        return Layer(inner, [layer.starts[a]] * n, [layer.ends[m.end() - 1]] * n, [True] * n, f"{layer.via}>base64>{name}") if n else None
-    if not _PRINTABLE.fullmatch(data):
-        return None
-    try:
-        data.decode()
-    except UnicodeDecodeError:
-        return None
-    starts = [layer.starts[a + j * 8 // 6] for j in range(len(data))]
-    ends = [layer.ends[min(a + (j * 8 + 7) // 6, m.end() - 1)] for j in range(len(data))]
-    return Layer(data, starts, ends, [True] * len(data), f"{layer.via}>base64")
+    return bytes(out), at, whole
+
+
+def _payloads(data: bytes) -> Iterator[tuple[str, int, int, bytes]]:
+    """(name, start, end, content) of the compressed payloads, wherever they start."""
+    at = 0
+    while m := _MAGIC.search(data, at):
+        inner, end, whole = _unpack(data, m.lastgroup, m.start())
+        if inner:
+            yield m.lastgroup, m.start(), max(end, m.end()), inner
+        at = end if whole else m.start() + 1  # what looked like a start may have been none
+
+
+def _base64(layer: Layer, a: int, b: int) -> Iterator[Layer]:
+    """The layers under a base64 run, and under what is compressed in it, at each alignment."""
+    raw = layer.data[a:b].rstrip(b"=")
+    run = _BREAK.sub(b"", raw)
+    places: range | list[int] = range(a, a + len(raw)) if len(run) == len(raw) else [a + i for i, c in enumerate(raw) if c not in b"\x20\t\r\n"]
+    run = run.translate(bytes.maketrans(b"-_", b"+/"))
+    for k in range(4):
+        part = run[k : len(run) - ((len(run) - k) % 4 == 1)]
+        data = base64.b64decode(part + b"=" * (-len(part) % 4))
+        if len(data) < _LEAST:
+            continue
+        starts = [layer.starts[places[k + j * 8 // 6]] for j in range(len(data))]
+        ends = [layer.ends[places[k + (j * 8 + 7) // 6]] for j in range(len(data))]
+        for name, s, e, inner in _payloads(data):
+            n = len(inner)
+            yield Layer(inner, Same(starts[s], n), Same(layer.ends[b - 1] if e >= len(data) else ends[e - 1], n), Same(True, n), f"{layer.via}>base64>{name}")
+        yield Layer(data, starts, ends, Same(True, len(data)), f"{layer.via}>base64")
 
 
-def unwrapped(layer: Layer, most: int) -> Iterator[Layer]:
+def unwrapped(layer: Layer) -> Iterator[Layer]:
     data = layer.data
     if b"%" in data and (x := _replaced(layer, _URL, lambda m: bytes([int(m[1], 16)]), "url")):
         yield x
     if (b"\\" in data or b"&#" in data) and (x := _replaced(layer, _ESCAPE, _escaped, "unicode")):
         yield x
+    if b"\\x" in data and (x := _replaced(layer, _BYTE, lambda m: bytes([int(m[1], 16)]), "bytes")):
+        yield x
     for m in _RUN.finditer(data):
-        if x := _base64(layer, m, most):
-            yield x
-    if layer.decoded is not None and (packed := _unpack(data, most)) and packed[1]:
-        name, inner = packed
-        n = len(inner)
-        yield Layer(inner, [layer.starts[0]] * n, [layer.ends[-1]] * n, [True] * n, f"{layer.via}>{name}")
+        yield from _base64(layer, *m.span())
+    if b"\n" in data:
+        for m in _WRAPPED.finditer(data):
+            yield from _base64(layer, *m.span())
+    if layer.decoded is not None:
+        for name, s, e, inner in _payloads(data):
+            n = len(inner)
+            yield Layer(inner, Same(layer.starts[s], n), Same(layer.ends[e - 1], n), Same(True, n), f"{layer.via}>{name}")
 
 
-def scan_text(text: bytes, most_unpacked: int = 16 << 20) -> list[dict]:
+def scan_text(text: bytes) -> list[dict]:
     """Every secret of a text: kind, start, end in code points, base, via (the layers it lay under)."""
     first = Layer(text, range(len(text)), range(1, len(text) + 1), None, "text")
     found: dict[tuple[str, int, int], tuple[bool, str]] = {}
@@ -170,7 +211,7 @@ def scan_text(text: bytes, most_unpacked: int = 16 << 20) -> list[dict]:
                 found[kind, a, b] = (True, "text")
             elif layer.fresh(a, b):
                 found.setdefault((kind, *layer.span(a, b)), (False, layer.via))
-        for inner in unwrapped(layer, most_unpacked):
+        for inner in unwrapped(layer):
             mark = (inner.data, inner.starts[0] if inner.data else 0)
             if mark not in seen:
                 seen.add(mark)
@@ -186,13 +227,13 @@ FOUND = "array<struct<kind: string, start: int, end: int, base: boolean, via: st
 _FOUND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("via", pa.string())]))
 
 
-def scan(df: DataFrame, key: str = "doc_id", text: str = "text", most_unpacked: int = 16 << 20) -> DataFrame:
+def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per text: doc_id and ``found``, its secrets in order of place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
-            rows = [scan_text(x.as_py() or b"", most_unpacked) for x in texts]
+            rows = [scan_text(x.as_py() or b"") for x in texts]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, _FOUND)], names=["doc_id", "found"])
 
     source = df.select(df[key].alias("doc_id"), df[text].alias("text"))
