@@ -58,6 +58,16 @@ def test_mixing(docs, none):
     assert mixing.mix_plan(none).count() == 0
 
 
+def test_null_and_repeated_ids_neither_multiply_nor_lose_rows(spark):
+    rows = [(None, f"text {i} of many", "s") for i in range(6)] + [(7, "one more text", "s"), (7, "another text of seven", "s"), (8, "ONE more text", "s")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = Counter(r["text"] for r in mixing.mix(table).collect())
+    plan = mixing.mix_plan(table).agg(F.sum("copies")).first()[0]
+    assert sum(mixed.values()) == plan and max(mixed.values()) <= 2
+    stays = Counter((r["doc_id"], r["text"]) for r in exact_dedup.exact_dedup(table).collect())
+    assert stays == Counter([*[r[:2] for r in rows[:6]], rows[7][:2], rows[8][:2]])
+
+
 def test_mixing_meets_its_targets(spark):
     rows = [(i, "w " * (1 + i % 7), f"s{i % 5}" if i % 3 else "s0") for i in range(3000)]
     plan = mixing.mix_plan(spark.createDataFrame(rows, "doc_id long, text string, source string"), bucket_rows=100)

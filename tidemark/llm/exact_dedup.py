@@ -61,13 +61,19 @@ def exact_dedup_report(df: DataFrame, key: str = "doc_id", text: str = "text", s
 
 
 def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", salts: int = 16) -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns; one row for each kept id.
+    """The rows of ``df`` that stay, with all their columns; one row for each kept id and text.
 
     Rows whose id is null have no identity to be dropped by, so one row of each all-null group
     cannot be told from the others: such rows stay.
     """
     report = exact_dedup_report(df, key, text, salts)
-    twice = report.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    twice = report.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), (F.min("text_sha256") != F.max("text_sha256")).alias("differ")).filter("n > 1")
+    if not twice.filter("differ").isEmpty():  # ids do not tell the rows apart
+        norm = ascii_lower(F.coalesce(df[text], F.lit("")))
+        marked = df.withColumn("__same", F.concat_ws(":", F.sha2(norm, 256), df[key].cast("string")))
+        gone = report.filter("NOT kept AND doc_id IS NOT NULL").select(F.concat_ws(":", "text_sha256", F.col("doc_id").cast("string")))
+        kept = without(marked, "__same", gone)
+        return kept.filter(kept[key].isNull()).unionByName(kept.filter(kept[key].isNotNull()).dropDuplicates(["__same"])).drop("__same")
     kept = without(df, key, report.filter(~F.col("kept")).select("doc_id"))
     if not twice.isEmpty():
         kept = kept.filter(df[key].isNull()).unionByName(kept.filter(df[key].isNotNull()).dropDuplicates([key]))

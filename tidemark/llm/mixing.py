@@ -92,11 +92,13 @@ def _cut(copies: DataFrame, budget: int, ends: float, bins: int):
     return binned.filter(F.col("bin") < held["bin"]).agg(F.max(F.struct(*ORDER)).alias("x")).first()["x"]
 
 
-def mix_plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=(3, 1, 2), share: float = 1.5, epochs: int = 2, bucket_rows: int = 4096) -> DataFrame:
+def mix_plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=(3, 1, 2), share: float = 1.5, epochs: int = 2, bucket_rows: int = 4096, row: str | None = None) -> DataFrame:
     """One row per input row: doc_id, size, source_size, target, taken, then finish, the virtual
-    finish time of its first copy, and copies, how often the mix takes it."""
+    finish time of its first copy, and copies, how often the mix takes it. ``row`` names a column
+    to carry along, as column ``row``."""
     key_text = F.coalesce(df[key].cast("string"), F.lit(""))
-    sized = materialise(df.select(df[key].alias("doc_id"), df[source].alias("source"), word_count(df[text]).alias("size"), F.md5(key_text).alias("h")), "mix-sizes")
+    carried = [] if row is None else [df[row].alias("row")]
+    sized = materialise(df.select(*carried, df[key].alias("doc_id"), df[source].alias("source"), word_count(df[text]).alias("size"), F.md5(key_text).alias("h")), "mix-sizes")
     sources = materialise(source_targets(sized, list(weights), share, epochs), "mix-sources")
     queued = materialise(_queued(sized, sources, bucket_rows), "mix-queue")
     known = sources.agg(F.max("ends"), F.max("budget"), F.sum("rows")).first()
@@ -109,14 +111,16 @@ def mix_plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str
         nth = lambda e: F.struct(((F.lit(e) * F.col("source_size") + F.col("upto")) / F.col("weight")).alias("finish"), F.col("place"), F.lit(e).alias("epoch"), F.col("h"), F.col("doc_id"))
         within = sum((F.when(nth(e) <= edge, 1).otherwise(0) for e in range(epochs)), F.lit(0))
     return queued.withColumn("copies", within.cast("long")).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), (F.col("upto") / F.col("weight")).alias("finish"), "copies"
+        *["row" for _ in carried], "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), (F.col("upto") / F.col("weight")).alias("finish"), "copies"
     )
 
 
 def mix(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The mixed rows with the columns of ``df``, a row for each copy, globally sorted by the
-    finish time of the first copy. Ids must be unique for rows to be told apart."""
-    plan = mix_plan(df, key, **options).filter("copies > 0").select(F.col("doc_id").alias("__id"), F.col("finish").alias("__finish"), F.col("copies").alias("__copies"))
-    joined = df.join(plan, df[key].eqNullSafe(F.col("__id")))
+    finish time of the first copy. Rows are told apart by a number, written once, so ids may be
+    null or repeated."""
+    rows = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    plan = mix_plan(rows, key, row="__row", **options).filter("copies > 0").select(F.col("row").alias("__row"), F.col("finish").alias("__finish"), F.col("copies").alias("__copies"))
+    joined = rows.join(plan, "__row")
     repeated = joined.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return repeated.orderBy("__finish", "__id").select(*[df[c] for c in df.columns])
+    return repeated.orderBy("__finish", key, "__row").select(*df.columns)
