@@ -172,6 +172,51 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def _brute_force_lines(rows: list[tuple[int, str]], edits: int = 2, chars: int = 10) -> dict[tuple[int, int], tuple[tuple[int, int], int]]:
+    """(doc_id, line_no) -> (first line of its class, number of other lines linked)."""
+
+    def distance(a: str, b: str) -> int:
+        last = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            now = [i]
+            for j, y in enumerate(b, 1):
+                now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (x != y)))
+            last = now
+        return last[-1]
+
+    placed = {(d, i): x.strip(" \t\r\x0b\x0c") for d, t in rows for i, x in enumerate((t or "").split("\n")) if x.strip(" \t\r\x0b\x0c")}
+    texts = sorted(set(placed.values()))
+    near = {x: {y for y in texts if y != x and abs(len(x) - len(y)) <= edits and distance(x, y) <= min(edits, min(len(x), len(y)) // chars)} for x in texts}
+    root = {x: x for x in texts}
+    for _ in texts:
+        root = {x: min([root[x], *(root[y] for y in near[x])]) for x in texts}
+    first: dict[str, tuple[int, int]] = {}
+    for at, x in sorted(placed.items()):
+        first.setdefault(root[x], at)
+    return {at: (first[root[x]], len(near[x])) for at, x in placed.items()}
+
+
+@pytest.mark.parametrize("hot", [1, 16])
+def test_lines_equal_brute_force(spark, hot):
+    """Families of lines with few and many changes, short ones too; hot=1 sends nearly all through the finer keys."""
+    rng = np.random.default_rng(11)
+    bases = ["Page 12 of 90 pages", "the quick brown fox jumps over the lazy dog", "ПЕРВАЯ СТРОКА О ПОГОДЕ НА СЕВЕРЕ", "0123456789", "tiny", "a much longer line that has many words, and more than one place at which it could be changed by hand"]
+    rows = []
+    for i in range(90):
+        x = list(bases[rng.integers(len(bases))])
+        for _ in range(rng.integers(0, 4)):
+            at = int(rng.integers(0, len(x) + 1))
+            x[at : at + int(rng.integers(0, 2))] = list(rng.choice(list("abcxyz12"), int(rng.integers(0, 2))))
+        rows.append((i // 3, "".join(x)))
+    texts: dict[int, list[str]] = {}
+    for d, x in rows:
+        texts.setdefault(d, []).append(x)
+    table = [(d, "\n".join(x)) for d, x in texts.items()]
+    got = lines.line_report(spark.createDataFrame(table, "doc_id long, text string"), hot=hot).collect()
+    assert {(r["doc_id"], r["line_no"]): ((r["first_doc_id"], r["first_line_no"]), r["n_links"]) for r in got} == _brute_force_lines(table)
+    assert all(r["kept"] == ((r["doc_id"], r["line_no"]) == (r["first_doc_id"], r["first_line_no"])) for r in got)
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_edit_distance(spark, edits):
     rng = np.random.default_rng(edits)

@@ -14,12 +14,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir where the cluster names one.
+    """The folder all executors see: spark.checkpoint.dir, which a cluster has to name.
 
-    Only where nothing is set (tests on one machine) a temporary folder stands in.
+    Where driver and executors are one process (tests) a temporary folder stands in.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/tidemark-shared"
         spark.conf.set("spark.checkpoint.dir", base)
     return base
@@ -34,14 +36,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(df: DataFrame, key: str, gone: DataFrame, most_broadcast: int = 1_000_000) -> DataFrame:
     """The rows of ``df`` whose key is not in the one column of ``gone``. At most ``most_broadcast``
-    ids are broadcast, so that the rows stay where they are; more are joined by a shuffle."""
-    gone = materialise(gone.toDF("__gone").filter("__gone IS NOT NULL").distinct(), "gone")
+    keys are broadcast, so that the rows stay where they are; more are joined by a shuffle."""
+    name = unused(df, "gone")
+    gone = materialise(gone.toDF(name).filter(F.col(name).isNotNull()).distinct(), "gone")
     if gone.count() <= most_broadcast:
         gone = F.broadcast(gone)
-    return df.join(gone, df[key] == F.col("__gone"), "left_anti")
+    return df.join(gone, df[key] == gone[name], "left_anti")
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def pieces(n_bytes: int, piece: int) -> int:
+    """How many pieces of about ``piece`` bytes hold ``n_bytes``, one at least."""
+    return max(1, -(-n_bytes // piece))

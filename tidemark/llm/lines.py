@@ -1,36 +1,43 @@
 """Operator 2: near-duplicate lines by a segment-partition edit join, DataFrame operations only.
 
-Two lines are linked when at most ``edits`` insertions, deletions and substitutions of characters
-turn one into the other. Of two such lines at least one of ``edits + 1`` segments of the shorter
-one stands unchanged in the longer one, at a place that the number of edits before and after it
-bounds. So every line is indexed under (its length, segment number, segment) and probes, for each
-length up to ``edits`` below its own, the few substrings that could be such a segment. Candidates
-also need nearly the same counts of eight frequent letters, which travel beside a line's id; the
-rest are verified by the banded bit-parallel recurrence on what remains between their common
+Two lines are linked when few enough insertions, deletions and substitutions of characters turn one
+into the other: one for every ``chars_per_edit`` characters of the shorter line, ``edits`` at most.
+Of two lines within t edits at least one of t + 1 segments of the shorter one stands unchanged in
+the longer one, at a place that the number of edits before and after it bounds. So every line is
+indexed under (its length, segment number, segment) and probes, for each length up to t below its
+own, the few substrings that could be such a segment.
+
+A segment that many lines share would pair them all. Lines that meet in such a hot segment are
+cut finer: of ``fine`` segments all but t stand unchanged, and the key is made from all of those
+together. What still meets also needs nearly the same counts of characters, in 16 classes. Both
+are necessary for a link, so none is lost.
+
+Candidates are verified by the banded bit-parallel recurrence on what remains between their common
 beginning and end.
 
-Lines are trimmed; blank ones are no lines. Lines shorter than ``least_chars`` are compared for
-equality only, as a few edits would change most of them. Equal lines are one node. Its id is a hash
-of 64 bits; lines that share one are found by grouping the distinct lines and hashed anew, so no two
-lines have one id.
+Lines are trimmed; blank ones are no lines. Equal lines are one node. Its id is a hash of 64 bits;
+lines that share one are found by grouping the distinct lines and hashed anew, so no two lines have
+one id.
 
 Defined cases: null text has no lines; a null doc_id sorts before all others when the first line of
 a class is chosen; repeated rows repeat their lines; extra columns are ignored by the report and
-returned untouched by ``dedup_lines``.
+returned untouched by ``dedup_lines``, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
+from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._tables import materialise
+from tidemark.llm._tables import materialise, unused
 from tidemark.llm.components import components
 
-#: Fixed value: letters that are frequent in many languages.
-_LETTERS = "etaoinsr"
+#: Fixed value: characters by class; every other character is of none.
+_CLASSES = ["e", "t", "a", "o", "i", "n", "sz", "rx", "hq", "lj", "dk", "uv", "cb", "mp", "gf", "wy"]
 
 
 def hashed(line: Column, salt: int) -> Column:
@@ -38,47 +45,53 @@ def hashed(line: Column, salt: int) -> Column:
     return F.xxhash64(F.lit(salt), line)
 
 
-def node_ids(texts: DataFrame) -> Callable[[Column], Column]:
-    """The id of a line, different for each of the distinct lines ``texts``.
+def node_ids(texts: DataFrame) -> Callable[[Column, Column], Column]:
+    """The id of a line, given the line and its hash, different for each of the distinct lines
+    ``texts`` (line, hash).
 
     Hashes that several lines share are few (n * n / 2^65 of n lines) and become literals; their
     lines are hashed with the next salt, until no id is shared.
     """
     shared: list[list[int]] = []
 
-    def id_of(line: Column) -> Column:
-        id_ = hashed(line, 0)
+    def id_of(line: Column, first: Column) -> Column:
+        id_ = first
         for salt, ids in enumerate(shared, 1):
             id_ = F.when(id_.isin(ids), hashed(line, salt)).otherwise(id_)
         return id_
 
-    while ids := [r["node"] for r in texts.groupBy(id_of(F.col("line")).alias("node")).count().filter("count > 1").collect()]:
+    while ids := [r["node"] for r in texts.groupBy(id_of(F.col("line"), F.col("hash")).alias("node")).count().filter("count > 1").collect()]:
         shared.append(ids)
     return id_of
 
 
-def letter_counts(line: Column) -> Column:
-    """Counts modulo 16 of eight letters, four bits each."""
+def character_counts(line: Column) -> Column:
+    """Counts modulo 16 of 16 classes of characters, four bits each."""
     counts = F.lit(0).cast("long")
-    for k, letter in enumerate(_LETTERS):
-        count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
-        counts = counts.bitwiseOR(F.shiftleft((count.cast("long")).bitwiseAND(F.lit(15)), 4 * k))
+    for k, members in enumerate(_CLASSES):
+        count = F.octet_length(line) - F.octet_length(F.translate(line, members, ""))
+        counts = counts.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(15)), 4 * k))
     return counts
 
 
-def _letters_apart(a: Column, b: Column) -> Column:
+def _counts_apart(a: Column, b: Column) -> Column:
     """At least half of this many edits lie between two lines: an edit changes two counts by one."""
     total = F.lit(0).cast("long")
-    for k in range(len(_LETTERS)):
-        d = F.abs(F.shiftright(a, 4 * k).bitwiseAND(F.lit(15)) - F.shiftright(b, 4 * k).bitwiseAND(F.lit(15)))
+    for k in range(len(_CLASSES)):
+        d = F.abs(F.shiftrightunsigned(a, 4 * k).bitwiseAND(F.lit(15)) - F.shiftrightunsigned(b, 4 * k).bitwiseAND(F.lit(15)))
         total = total + F.least(d, 16 - d)
     return total
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment i of a line of that length."""
-    start = F.floor(length * i / (edits + 1)).cast("int")
-    return start, (F.floor(length * (i + 1) / (edits + 1)).cast("int") - start)
+def allowed(length: Column, edits: int, chars_per_edit: int) -> Column:
+    """How many edits two lines may be apart, the shorter of which has that length."""
+    return F.least(F.floor(length / chars_per_edit), F.lit(edits)).cast("int")
+
+
+def _segment(length: Column, i: int, many: int) -> tuple[Column, Column]:
+    """Start (from 0) and size of segment i of ``many`` of a line of that length."""
+    start = F.floor(length * i / many).cast("int")
+    return start, F.floor(length * (i + 1) / many).cast("int") - start
 
 
 def probe_shifts(edits: int) -> list[tuple[int, int, int]]:
@@ -90,22 +103,67 @@ def probe_shifts(edits: int) -> list[tuple[int, int, int]]:
     return [(d, i, s) for d in range(edits + 1) for i in range(edits + 1) for s in range(-i, i + 1) if abs(s - d) <= edits - i]
 
 
-def index_keys(line: Column, edits: int) -> Column:
-    n = F.length(line)
-    keys = []
-    for i in range(edits + 1):
-        start, size = _segment(n, i, edits)
-        keys.append(F.xxhash64(F.lit(i), n, F.substring(line, start + 1, size)))
-    return F.array(*keys)
+def _within(length: Column, t: int, edits: int, chars: int) -> Column:
+    """Whether lines of that length may be exactly t edits from a longer one."""
+    return (length >= t * chars) & (length < (t + 1) * chars) if t < edits else length >= t * chars
+
+
+def _each_tier(n: Column, edits: int, chars: int, of: Callable[[int], list[tuple[int, Column]]]) -> Column:
+    """An array of keys. ``of(t)`` lists (how much shorter the indexed line is, key) for lines that
+    may be t edits apart; keys for lengths of another t are null. n: length of the line."""
+    last = [key for _, key in of(edits)]
+    every = [F.when(_within(n - d, t, edits, chars), key) for t in range(1, edits + 1) for d, key in of(t)]
+    return F.when(n >= edits * chars + edits, F.array(*last)).otherwise(F.array(*every))
+
+
+def index_keys(line: Column, n: Column, edits: int, chars: int) -> Column:
+    """Keys of the line's own segments."""
+
+    def of(t: int) -> list[tuple[int, Column]]:
+        parts = [_segment(n, i, t + 1) for i in range(t + 1)]
+        return [(0, F.xxhash64(F.lit(i), n, F.substring(line, start + 1, size))) for i, (start, size) in enumerate(parts)]
+
+    return _each_tier(n, edits, chars, of)
+
 
+def probe_keys(line: Column, n: Column, edits: int, chars: int) -> Column:
+    """Keys of what could be a segment of a line as long or up to ``edits`` shorter."""
 
-def probe_keys(line: Column, edits: int) -> Column:
-    keys = []
-    for d, i, shift in probe_shifts(edits):
-        n = F.length(line) - d
-        start, size = _segment(n, i, edits)
-        keys.append(F.xxhash64(F.lit(i), n, F.substring(line, start + 1 + shift, size)))
-    return F.array_distinct(F.array(*keys))
+    def of(t: int) -> list[tuple[int, Column]]:
+        keys = []
+        for d, i, shift in probe_shifts(t):
+            start, size = _segment(n - d, i, t + 1)
+            keys.append((d, F.xxhash64(F.lit(i), n - d, F.substring(line, start + 1 + shift, size))))
+        return keys
+
+    return _each_tier(n, edits, chars, of)
+
+
+def _fine_cases(t: int, fine: int) -> Iterator[tuple[str, int, list[tuple[int, int]]]]:
+    """Ways in which t edits may fall into t of ``fine`` segments: a name for the touched segments,
+    how much shorter the indexed line is, and (segment, shift of its place) of the others."""
+    for touched in combinations(range(fine), t):
+        for moves in product(range(-t, t + 1), repeat=t):
+            if 0 <= sum(moves) and sum(map(abs, moves)) <= t:
+                shift = lambda i: sum(m for at, m in zip(touched, moves, strict=True) if at < i)  # noqa: B023, E731
+                yield f"{t}:{touched}", sum(moves), [(i, shift(i)) for i in range(fine) if i not in touched]
+
+
+def fine_keys(line: Column, n: Column, edits: int, chars: int, fine: int, probing: bool) -> Column:
+    """Keys of all segments but the touched ones together, for each way to touch some; those of the
+    line's own segments, or if ``probing`` of what could be segments of a line as long or shorter.
+    The ways are many, so they are a literal to go through, not expressions of their own."""
+    ways = [(t, *way) for t in range(1, edits + 1) for way in _fine_cases(t, fine) if probing or not (way[1] or any(shift for _, shift in way[2]))]
+    shape = "array<struct<t: int, name: string, d: int, parts: array<struct<i: int, shift: int>>>>"
+    listed = F.from_json(F.lit(json.dumps([{"t": t, "name": name, "d": d, "parts": [{"i": i, "shift": shift} for i, shift in parts]} for t, name, d, parts in ways])), shape)
+
+    def key(way: Column) -> Column:
+        length = n - way["d"]
+        start = lambda i: F.floor(length * i / fine).cast("int")
+        part = lambda p: F.substring(line, start(p["i"]) + 1 + p["shift"], start(p["i"] + 1) - start(p["i"]))
+        return F.xxhash64(way["name"], length, F.transform(way["parts"], part))
+
+    return F.transform(F.filter(listed, lambda way: allowed(n - way["d"], edits, chars) == way["t"]), key)
 
 
 def _let(value: Column, body) -> Column:
@@ -184,8 +242,8 @@ def _may_be_near(x: Column, y: Column, edits: int) -> Column:
     return found
 
 
-def verified(pairs: DataFrame, edits: int) -> DataFrame:
-    """Of (a, b, xa, xb), ids and lines, those within ``edits``; the common ends are cut off first."""
+def verified(pairs: DataFrame, edits: int, chars_per_edit: int) -> DataFrame:
+    """Of (a, b, xa, xb), ids and lines, those near enough; the common ends are cut off first."""
     shorter = F.length("xa") <= F.length("xb")
 
     def fixed(df: DataFrame, *kept: str, **columns: Column) -> DataFrame:
@@ -194,13 +252,13 @@ def verified(pairs: DataFrame, edits: int) -> DataFrame:
         return df.select("a", "b", *kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
     x = fixed(pairs, x=F.when(shorter, F.col("xa")).otherwise(F.col("xb")), y=F.when(shorter, F.col("xb")).otherwise(F.col("xa")))
-    x = x.filter(F.length("y") - F.length("x") <= edits)
-    x = fixed(x, "x", "y", head=_shared(F.col("x"), F.col("y"), F.length("x"), F.left))
-    x = fixed(x, "x", "y", "head", tail=_shared(F.col("x"), F.col("y"), F.length("x") - F.col("head"), F.right))
+    x = fixed(x, "x", "y", most=allowed(F.length("x"), edits, chars_per_edit)).filter(F.length("y") - F.length("x") <= F.col("most"))
+    x = fixed(x, "x", "y", "most", head=_shared(F.col("x"), F.col("y"), F.length("x"), F.left))
+    x = fixed(x, "x", "y", "most", "head", tail=_shared(F.col("x"), F.col("y"), F.length("x") - F.col("head"), F.right))
     middle = lambda c: F.substring(c, F.col("head") + 1, F.length(c) - F.col("head") - F.col("tail"))
-    x = fixed(x, x=middle(F.col("x")), y=middle(F.col("y"))).filter(_may_be_near(F.col("x"), F.col("y"), edits))
-    x = fixed(x, distance=edit_distance(F.col("x"), F.col("y"), edits))
-    return x.filter(F.col("distance") <= edits).select("a", "b")
+    x = fixed(x, "most", x=middle(F.col("x")), y=middle(F.col("y"))).filter(_may_be_near(F.col("x"), F.col("y"), edits))
+    x = fixed(x, "most", distance=edit_distance(F.col("x"), F.col("y"), edits))
+    return x.filter(F.col("distance") <= F.col("most")).select("a", "b")
 
 
 def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -209,46 +267,87 @@ def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.withColumn("line", F.trim("line", F.lit(" \t\r\x0b\x0c"))).filter("line <> ''")
 
 
-def line_links(texts: DataFrame, id_of: Callable[[Column], Column], edits: int, least_chars: int, most_broadcast: int) -> DataFrame:
-    """Links (a, b) between the ids of different lines; ``texts`` has each line once."""
-    long = texts.filter(F.length("line") >= least_chars)
-    # ids and keys first, then the rows: an id next to explode would be worked out for every key
-    keyed = lambda keys, name: long.select(keys(F.col("line"), edits).alias("keys"), id_of(F.col("line")).alias(name), letter_counts(F.col("line")).alias(f"letters_{name}")).select(F.explode("keys").alias("key"), name, f"letters_{name}")
-    indexed, probes = keyed(index_keys, "a"), keyed(probe_keys, "b")
-    near = (F.col("a") != F.col("b")) & (_letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * edits)
-    met = indexed.join(probes, (indexed["key"] == probes["key"]) & near)
-    pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    if needed.count() <= most_broadcast:  # ids of 8 bytes; beyond that the lines are shuffled
-        needed = F.broadcast(needed)
-    full = long.select(id_of(F.col("line")).alias("node"), "line").join(needed, "node", "left_semi")
+def _keyed(texts: DataFrame, keys: Column, *kept: str) -> DataFrame:
+    """A row for each key of each line. The outer form keeps Spark from working out the array a
+    second time to ask whether it is empty."""
+    return texts.select(keys.alias("keys"), *kept).select(F.explode_outer("keys").alias("key"), *kept).filter("key IS NOT NULL")
+
+
+def _of_nodes(texts: DataFrame, nodes: DataFrame, most_broadcast: int) -> DataFrame:
+    """The lines of some distinct nodes. Ids of 8 bytes are broadcast while they are few; beyond
+    that the lines are shuffled."""
+    if nodes.count() <= most_broadcast:
+        nodes = F.broadcast(nodes)
+    return texts.join(nodes, "node", "left_semi")
+
+
+def _met(indexed: DataFrame, probes: DataFrame, more: Column | None = None) -> DataFrame:
+    """Candidate pairs (a, b), the lesser id first, each once."""
+    i, p = indexed.alias("i"), probes.alias("p")
+    on = (F.col("i.key") == F.col("p.key")) & (F.col("i.node") != F.col("p.node"))
+    return i.join(p, on if more is None else on & more).select(F.least("i.node", "p.node").alias("a"), F.greatest("i.node", "p.node").alias("b")).distinct()
+
+
+def line_links(texts: DataFrame, edits: int, chars_per_edit: int, hot: int, fine: int, most_broadcast: int) -> DataFrame:
+    """Links (a, b) between the ids of different lines; ``texts`` has each line once: line, n, node."""
+    line, n = F.col("line"), F.col("n")
+    long = texts.filter(n >= chars_per_edit)
+    indexed = _keyed(long, index_keys(line, n, edits, chars_per_edit), "node")
+    probes = _keyed(long, probe_keys(line, n, edits, chars_per_edit), "node")
+    shared = materialise(indexed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > hot).select("key"), "hot-keys")
+    cold = materialise(_met(indexed.join(shared, "key", "left_anti"), probes), "cold-pairs")
+    inside = indexed.join(shared, "key", "left_semi").select("node").union(probes.join(shared, "key", "left_semi").select("node")).distinct()
+    dense = materialise(_of_nodes(long, materialise(inside, "hot-nodes"), most_broadcast).withColumn("counts", character_counts(line)), "hot-lines")
+    fine_indexed = _keyed(dense, fine_keys(line, n, edits, chars_per_edit, fine, False), "node", "counts")
+    fine_probes = _keyed(dense, fine_keys(line, n, edits, chars_per_edit, fine, True), "node", "counts")
+    hot_pairs = _met(fine_indexed, fine_probes, _counts_apart(F.col("i.counts"), F.col("p.counts")) <= 2 * edits)
+    pairs = materialise(cold.union(hot_pairs).distinct(), "line-pairs")
+    needed = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "paired-nodes")
+    full = _of_nodes(long, needed, most_broadcast)
     of = lambda c: full.select(F.col("node").alias(c), F.col("line").alias(f"x{c}"))
-    return materialise(verified(pairs.join(of("a"), "a").join(of("b"), "b"), edits), "line-links")
+    return materialise(verified(pairs.join(of("a"), "a").join(of("b"), "b"), edits, chars_per_edit), "line-links")
+
+
+def _firsts(placed: DataFrame) -> DataFrame:
+    """First line of each class of several lines: class_id, first_doc_id, first_line_no."""
+    if placed.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        # one number for the place, so that Spark can add up in a hash table
+        doc = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit("-9223372036854775809").cast("decimal(20,0)"))
+        place = (doc * F.lit(1 << 31).cast("decimal(11,0)")).cast("decimal(37,0)") + F.col("line_no")
+    else:
+        place = F.struct("doc_id", "line_no")
+    at = placed.withColumn("place", place).groupBy("class_id").agg(F.count(F.lit(1)).alias("m"), F.min_by("doc_id", "place").alias("first_doc_id"), F.min_by("line_no", "place").alias("first_line_no"))
+    return at.filter("m > 1").drop("m")
 
 
-def line_report(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, least_chars: int = 20, most_broadcast: int = 1_000_000) -> DataFrame:
+def line_report(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, chars_per_edit: int = 10, hot: int = 16, fine: int = 6, most_broadcast: int = 1_000_000) -> DataFrame:
     """One row per line: doc_id, line_no (from 0), class_id, first_doc_id, first_line_no, n_links
     (other different lines linked directly), kept (it is the first of its class)."""
     lines = split_lines(df, key, text)
-    texts = materialise(lines.select("line").distinct(), "line-texts")
+    distinct = lines.select("line").distinct()
+    texts = materialise(distinct.select("line", F.length("line").alias("n"), hashed(F.col("line"), 0).alias("hash")), "line-texts")
     id_of = node_ids(texts)
-    links = line_links(texts, id_of, edits, least_chars, most_broadcast)
+    texts = texts.select("line", "n", id_of(F.col("line"), F.col("hash")).alias("node"))
+    links = line_links(texts, edits, chars_per_edit, hot, fine, most_broadcast)
     roots = components(links)
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))
-    classes = roots.join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node")
-    placed = lines.select("doc_id", "line_no", id_of(F.col("line")).alias("node")).join(classes, "node", "left")
-    placed = placed.select("doc_id", "line_no", F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    firsts = placed.groupBy("class_id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    return placed.join(firsts, "class_id").select(
-        "doc_id", "line_no", "class_id", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"), "n_links",
-        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))).alias("kept"),
+    classes = materialise(roots.join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node"), "line-classes")
+    placed = lines.select("doc_id", "line_no", id_of(F.col("line"), hashed(F.col("line"), 0)).alias("node")).join(classes, "node", "left")
+    placed = materialise(placed.select("doc_id", "line_no", F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "placed-lines")
+    firsts = materialise(_firsts(placed), "class-firsts").withColumn("several", F.lit(True))
+    alone = F.col("several").isNull()
+    first_doc, first_line = F.when(alone, F.col("doc_id")).otherwise(F.col("first_doc_id")), F.when(alone, F.col("line_no")).otherwise(F.col("first_line_no"))
+    return placed.join(firsts, "class_id", "left").select(
+        "doc_id", "line_no", "class_id", first_doc.alias("first_doc_id"), first_line.alias("first_line_no"), "n_links",
+        (F.col("doc_id").eqNullSafe(first_doc) & (F.col("line_no") == first_line)).alias("kept"),
     )
 
 
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without the lines that are near copies of an earlier one."""
-    gone = line_report(df, key, text, **options).filter(~F.col("kept")).groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))
-    joined = df.join(gone.withColumnRenamed("doc_id", "__id"), df[key].eqNullSafe(F.col("__id")), "left")
-    stays = F.filter(F.transform(F.split(df[text], "\n"), lambda x, i: F.when(~F.array_contains("__gone", i), x)), lambda x: x.isNotNull())
-    shorter = F.when(F.col("__gone").isNull(), df[text]).otherwise(F.array_join(stays, "\n"))
+    gone, its = unused(df, "gone"), unused(df, "its_id")
+    lost = line_report(df, key, text, **options).filter(~F.col("kept")).groupBy(F.col("doc_id").alias(its)).agg(F.collect_set("line_no").alias(gone))
+    joined = df.join(lost, df[key].eqNullSafe(lost[its]), "left")
+    stays = F.filter(F.transform(F.split(df[text], "\n"), lambda x, i: F.when(~F.array_contains(gone, i), x)), lambda x: x.isNotNull())
+    shorter = F.when(F.col(gone).isNull(), df[text]).otherwise(F.array_join(stays, "\n"))
     return joined.select(*[shorter.alias(c) if c == text else df[c] for c in df.columns])
