@@ -45,7 +45,7 @@ def test_exact_dedup(docs, none):
     assert len(got) == 10 and by[1]["keep_id"] == 2 and by[1]["group_size"] == 3 and by[2]["kept"] and not by[1]["kept"] and not by[None]["kept"]
     assert by[3]["keep_id"] == 4 and by[6]["kept"] and by[7]["kept"] and by[8]["group_size"] == 2
     stays = exact_dedup.exact_dedup(docs)
-    assert stays.columns == docs.columns and sorted(r["doc_id"] or 0 for r in stays.collect()) == [0, 2, 4, 5, 6, 7, 8]
+    assert stays.columns == docs.columns and sorted(r["doc_id"] for r in stays.collect()) == [2, 4, 5, 6, 7, 8]
     assert exact_dedup.exact_dedup_report(none).count() == 0
 
 
@@ -66,6 +66,15 @@ def test_null_and_repeated_ids_neither_multiply_nor_lose_rows(spark):
     assert sum(mixed.values()) == plan and max(mixed.values()) <= 2
     stays = Counter((r["doc_id"], r["text"]) for r in exact_dedup.exact_dedup(table).collect())
     assert stays == Counter([*[r[:2] for r in rows[:6]], rows[7][:2], rows[8][:2]])
+    words = " ".join(f"w{i}" for i in range(60))
+    near = [(1, words, "s"), (7, f"{words} end", "s"), (7, "quite another text", "s"), (None, f"{words} finish", "s"), (9, "row that stands twice", "s"), (9, "row that stands twice", "s"), (None, "nameless", "s"), (None, "Nameless", "s")]
+    stays = Counter((r["doc_id"], r["text"]) for r in minhash.near_dedup(spark.createDataFrame(near, "doc_id long, text string, source string")).collect())
+    assert set(stays) - {(None, "nameless"), (None, "Nameless")} == {near[0][:2], near[2][:2], near[4][:2]} and sum(stays.values()) == 4
+    exact = [(1, "alpha", "s"), (1, "beta", "s"), (2, "Alpha", "s"), (2, "Alpha", "t"), (None, "gamma", "s"), (None, "Gamma", "s"), (None, "BETA", "s")]
+    stays = sorted((r["doc_id"] or 0, r["text"].lower()) for r in exact_dedup.exact_dedup(spark.createDataFrame(exact, "doc_id long, text string, source string")).collect())
+    assert stays == [(0, "gamma"), (1, "beta"), (2, "alpha")]
+    twice = spark.createDataFrame([(5, "same row", "s")] * 3 + [(6, "other row", "t")], "doc_id long, text string, source string")
+    assert max(Counter(r["text"] for r in mixing.mix(twice).collect()).values()) <= 6
 
 
 def test_mixing_meets_its_targets(spark):
@@ -357,7 +366,92 @@ def test_language(spark, docs, none):
     assert language.predict(odd, language.train(none)).filter("lang_pred <> 'und'").count() == 0
 
 
-def test_pipeline_keeps_columns(spark):
+def test_pipeline_runs_whole(spark, tmp_path):
+    """Every stage on what the one before kept, against plain Python: rejected, exact and near
+    copies go, sources are mixed within their bounds, and every token of the mix is packed."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "mixing", "packing"]
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    more = [(-1, "12345 !!", "en", "web", 8), (-2, None, "en", "web", 0), (None, "Nameless text about nothing in particular", "en", "web", 40), (-3, "Nameless TEXT about nothing in particular", "en", "web", 40)]
+    rows.unionByName(spark.createDataFrame(more, rows.schema)).write.parquet(str(tmp_path / "documents.parquet"))
+    docs, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if k < 4:
+            assert docs.columns == rows.columns
+            kept.append([(r["doc_id"], r["text"], r["source"]) for r in docs.collect()])
+    low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    ids = {x[0] for x in kept[0]}
+    assert -1 not in ids and -2 not in ids and len(kept[0]) >= 0.95 * rows.filter("text IS NOT NULL").count()
+    best: dict[str, int] = {}
+    for d, t, _ in kept[0]:
+        best[low(t)] = max(best.get(low(t), -(10**9)), d if d is not None else -(10**9))
+    assert sorted((d, low(t)) for d, t, _ in kept[1]) == sorted((d, t) for t, d in best.items())
+    report = {r["doc_id"]: r["kept"] for r in minhash.near_duplicates(spark.read.parquet(str(tmp_path / "exact_dedup"))).collect()}
+    assert sorted(x[0] for x in kept[2]) == sorted(d for d, k in report.items() if k)
+    mixed, before = Counter(kept[3]), set(kept[2])
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert set(mixed) <= before and max(mixed.values()) <= 2
+    assert abs(sum(size(t) * n for (_, t, _), n in mixed.items()) - 1.5 * sum(size(t) for _, t, _ in before)) <= max(size(t) for _, t, _ in before)
+    tokenizer = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    assert docs.agg(F.sum("length")).first()[0] == sum(n * (len(tokenizer.encode(t, add_special_tokens=False).ids) + 1) for (_, t, _), n in mixed.items())
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+
+def test_dealt_members_meet_once(spark):
+    from tidemark.llm._groups import dealt
+
+    rows = [(b, b * 1000 + i, 0 if i < common else i % 7) for b, (size, common) in enumerate([(40, 36), (30, 0), (9, 5), (2, 1)]) for i in range(size)]
+    got = dealt(spark.createDataFrame(rows, "bucket long, node long, root long"), ["bucket"], "root", "node", 4).collect()
+    groups: dict[tuple, list] = {}
+    for r in got:
+        groups.setdefault((r["bucket"], r["low"], r["high"]), []).append(r)
+    met = Counter(tuple(sorted((x["node"], y["node"]))) for (_, low, high), g in groups.items() for i, x in enumerate(g) for y in g[i + 1 :] if x["root"] != y["root"] and (low == high or x["side"] != y["side"]))
+    want = {tuple(sorted((a[1], b[1]))) for i, a in enumerate(rows) for b in rows[i + 1 :] if a[0] == b[0] and a[2] != b[2]}
+    assert set(met) == want and set(met.values()) == {1}
+    assert sum(r["bucket"] == 0 for r in got) <= 36 + 4 * 10
+
+
+def test_embeddings_recall(spark):
+    """Against brute force, on clusters whose links lie all over the range from the threshold up."""
+    rng = np.random.default_rng(8)
+    centers = rng.standard_normal((60, 64))
+    x = np.repeat(centers, 12, axis=0) + rng.uniform(0.1, 0.42, 720)[:, None] * rng.standard_normal((720, 64))
+    x[5] *= 1e200  # squares overflow
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    unit = x / np.abs(x).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = ((unit @ unit.T) >= 0.9).sum(axis=1) - 1
+    found = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert want.sum() > 1500 and (found <= want).all() and found.sum() >= 0.95 * want.sum() and (found[5] > 0) == (want[5] > 0)
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    """Every pair at the threshold or above is linked, by weighted Jaccard over all sets."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: _bytes.LOWER[np.frombuffer((r["text"] or "").encode(), dtype=np.uint8)].tobytes().decode() for r in docs.select("doc_id", "text").collect()}
+    sets: dict[int, Counter] = {}
+    for k, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        sets[k] = Counter(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else Counter()
+    n, df = len(sets), Counter(s for c in sets.values() for s in c)
+    weighed = {k: {s: m * float(minhash.inverse_frequency(np.array([df[s]]), n, 0.85)[0]) for s, m in c.items()} for k, c in sets.items()}
+    root = {k: k for k in sets}
+    ids = sorted(sets)
+    near = []
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            x, y = weighed[a], weighed[b]
+            if x and y and not x.keys().isdisjoint(y):
+                shared = sum(min(v, y[s]) for s, v in x.items() if s in y)
+                if shared >= 0.8 * (sum(x.values()) + sum(y.values()) - shared):
+                    near.append((a, b))
+    for _ in range(10):
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()}
+    assert len(near) > 5 and sum(got[k] != root[k] for k in ids) <= 0.02 * len(ids)

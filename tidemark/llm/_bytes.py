@@ -45,7 +45,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(max(n, 1 << 20), base, dtype=np.uint64)
     out[0] = 1
     np.multiply.accumulate(out, out=out)
-    if len(out) <= 8 << 20:
+    if len(out) <= 2 << 20:
         _known_powers[base] = out
     return out[:n]
 

@@ -1,11 +1,14 @@
 """Corpus-wide counts of hashed features, by an exchange of packed blocks.
 
 A corpus has too many words or shingles for a row each. Instead every block of documents sends,
-for each of P ranges of the hash space, one packed row with its distinct features and their counts.
-A range adds up what all blocks sent, and answers each block with the totals of the features the
+for each range of the hash space, one packed row with its distinct features and their counts. A
+range adds up what all blocks sent, and answers each block with the totals of the features the
 block asked about, in the block's own order. A feature that is in every document costs a range one
-entry a block, so no key is hot; a block and a range are as large as the input divided by their
-number, which is Spark's number of shuffle partitions.
+entry a block, so no key is hot.
+
+A block and a range stand for about ``BLOCK`` bytes of text whatever the input and the number of
+shuffle partitions, so a task holds one small block at a time and more input means more of them.
+A range without features of a block gets no row from it: there are never more rows than features.
 
 Features are told apart by ``bits`` of their hash.
 """
@@ -17,12 +20,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 from tidemark.llm import _bytes
+from tidemark.llm._tables import pieces
+
+#: Bytes of text of a block and of a range.
+BLOCK = 4 << 20
 
 REQUEST = "p int, kind int, block long, keys binary, counts binary"
 _REQUEST = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
+def measured(df: DataFrame, text: str, block: int = BLOCK) -> tuple[int, int]:
+    """Number of rows, and of the blocks and ranges for their texts."""
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(df[text]).cast("long")), F.lit(0))).first()
+    return rows, pieces(size, block)
+
+
+def block_of(key: Column, text: Column, many: int) -> Column:
+    return F.pmod(F.xxhash64(key, text), F.lit(many).cast("long"))
+
+
 def trimmed(hashes: np.ndarray, bits: int) -> np.ndarray:
     return hashes >> np.uint64(64 - bits)
 
@@ -62,10 +82,9 @@ class Tally:
 def ranges(keys: np.ndarray, bits: int, many: int) -> Iterator[tuple[int, slice]]:
     """The non-empty ranges that sorted keys fall in."""
     p = ((keys >> np.uint64(bits - 32)) * np.uint64(many)) >> np.uint64(32)
-    edges = np.searchsorted(p, np.arange(many + 1, dtype=np.uint64))
-    for i in range(many):
-        if edges[i] < edges[i + 1]:
-            yield i, slice(edges[i], edges[i + 1])
+    edges = np.flatnonzero(np.concatenate((np.ones(min(len(p), 1), dtype=bool), p[1:] != p[:-1])))
+    for a, b in zip(edges, np.append(edges[1:], len(p)), strict=True):
+        yield int(p[a]), slice(a, b)
 
 
 def request_rows(block: int, kind: int, keys: np.ndarray, counts: np.ndarray, bits: int, many: int) -> list[dict]:

@@ -1,4 +1,4 @@
-"""Groups of rows that come sorted, batch by batch, without gathering a partition."""
+"""Groups of rows: read sorted, batch by batch, without gathering a partition; dealt into blocks."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -28,3 +30,21 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
             last = own
     if held:
         yield pa.concat_tables(held).combine_chunks()
+
+
+def dealt(members: DataFrame, bucket: list[str], cluster: str, node: str, block: int) -> DataFrame:
+    """Deal the members of buckets into pairs of blocks (low, high), so that every two members of
+    different clusters meet once; with ``side``, the block that a row stands for.
+
+    Members of a bucket's largest cluster need not meet each other: they go to the blocks of the
+    others alone, one each where those fill one block. So a bucket that is nearly one cluster costs
+    about a row a member, however large it is.
+    """
+    sizes = members.groupBy(*bucket, cluster).agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy(*bucket).agg(F.max(F.struct("n", cluster)).alias("main"), F.sum("n").alias("m"))
+    main = main.select(*bucket, F.col(f"main.{cluster}").alias("main"), F.ceil(F.col("main.n") / block).alias("wide"), F.ceil((F.col("m") - F.col("main.n")) / block).alias("narrow"))
+    rows = members.join(main, bucket).withColumn("common", F.col(cluster) == F.col("main"))
+    side = F.when(F.col("common"), F.col("narrow") + F.pmod(F.xxhash64(node), "wide")).otherwise(F.pmod(F.xxhash64(node), "narrow"))
+    others = F.sequence(F.lit(0).cast("long"), F.when(F.col("common"), F.col("narrow")).otherwise(F.col("narrow") + F.col("wide")) - 1)
+    rows = rows.withColumn("side", side).withColumn("other", F.explode(others))
+    return rows.withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other")).drop("main", "wide", "narrow", "common", "other")

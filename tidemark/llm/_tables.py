@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,18 +44,29 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def without(df: DataFrame, key: str, gone: DataFrame, most_broadcast: int = 1_000_000) -> DataFrame:
-    """The rows of ``df`` whose key is not in the one column of ``gone``. At most ``most_broadcast``
-    keys are broadcast, so that the rows stay where they are; more are joined by a shuffle."""
-    name = unused(df, "gone")
-    gone = materialise(gone.toDF(name).filter(F.col(name).isNotNull()).distinct(), "gone")
+def mark_of(key: Column, text: Column) -> Column:
+    """A digest of a row's id and text. Rows with one mark are copies of each other in both, so it
+    does not matter which of them stays."""
+    part = lambda letter, x: F.when(x.isNull(), F.lit("-")).otherwise(F.concat(F.lit(letter), x.cast("string")))
+    return F.md5(F.concat_ws("\0", part("k", key), part("t", text)))
+
+
+def without(df: DataFrame, gone: DataFrame, on: str, most_broadcast: int = 250_000) -> DataFrame:
+    """The rows of ``df`` whose column ``on``, never null, is not in ``gone``. At most
+    ``most_broadcast`` values are broadcast, so that the rows stay where they are; more are joined
+    by a shuffle."""
+    gone = materialise(gone.select(on).distinct(), "gone")
     if gone.count() <= most_broadcast:
         gone = F.broadcast(gone)
-    return df.join(gone, df[key] == gone[name], "left_anti")
+    return df.join(gone, on, "left_anti")
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def one_of_each(df: DataFrame, repeated: DataFrame, on: str) -> DataFrame:
+    """One row for each value of ``on`` that is in ``repeated``, and all rows with other values."""
+    repeated = materialise(repeated.select(on).distinct(), "repeated")
+    if repeated.isEmpty():
+        return df
+    return df.join(repeated, on, "left_anti").unionByName(df.join(repeated, on, "left_semi").dropDuplicates([on]))
 
 
 def pieces(n_bytes: int, piece: int) -> int:

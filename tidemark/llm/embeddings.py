@@ -11,8 +11,9 @@ of one center are linked with each other for certain, so a large group of near c
 and not compared. Within a bucket, members of different centers are compared in double precision;
 the pairs themselves never leave the task: a bucket returns for each member its number of new links
 and its root in the bucket. A link found in several tables counts in the first where the two share
-a bucket. Buckets of more than ``block`` members are cut into blocks, and
-each pair of blocks is compared by itself.
+a bucket. Buckets are dealt into blocks of ``block`` members, and each pair of blocks is compared
+by itself; members of a bucket's largest center meet the others only, so a bucket that is nearly
+one center costs about a row a member.
 
 Defined cases: vectors that are null, zero, empty or hold null or non-finite components link with
 nothing; vectors of another length than most are compared only among their own length; rows whose
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _bytes
-from tidemark.llm._groups import sorted_groups
+from tidemark.llm._groups import dealt, sorted_groups
 from tidemark.llm._tables import materialise
 from tidemark.llm.components import components
 
@@ -76,6 +77,7 @@ class Tables:
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
@@ -210,11 +212,9 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     centers = materialise(clusters(nodes, coded, threshold, min(first_tables, many)), "vector-clusters")
     placed = nodes.join(centers, "node", "left").withColumn("center", F.coalesce("center", "node"))
     marked = coded.join(placed.select("node", "center"), "node")
-    buckets = marked.groupBy("t", "code").agg(F.count(F.lit(1)).alias("m"), F.min("center").alias("lo"), F.max("center").alias("hi")).filter("lo < hi").select("t", "code", "m")
-    blocks = F.ceil(F.col("m") / block)
-    members = coded.join(buckets, ["t", "code"]).withColumn("side", F.pmod(F.xxhash64("node"), blocks))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    members = members.select("node", "t", "code", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")).join(placed, "node")
+    buckets = marked.groupBy("t", "code").agg(F.min("center").alias("lo"), F.max("center").alias("hi")).filter("lo < hi").select("t", "code")
+    open_ = materialise(marked.join(buckets, ["t", "code"]), "vector-buckets")
+    members = dealt(open_, ["t", "code"], "center", "node", block).drop("center").join(placed, "node")
     by = ["t", "code", "low", "high"]
     found = members.select(*by, "node", "center", "side", "copies", "v").repartition(*by).sortWithinPartitions(*by)
     linked = materialise(found.mapInArrow(_compared(k, many, width, seed, threshold), "node long, links long, root long"), "vector-links")

@@ -8,9 +8,11 @@ digest *and* full content, so that two texts with one digest never meet:
    spread over ``salts`` reducers;
 3. global: the salt winners (at most ``salts`` a text) merge.
 
-The winners go to the shared folder without their texts. Rows then find their winner by digest
-alone, which is exact as long as no digest has two texts; that is checked, and otherwise rows are
-joined by digest and content.
+Winners of two rows or more go to the shared folder without their texts, and rows find theirs by
+digest; all others are alone. That is exact as long as no digest has two texts; this is checked,
+and otherwise rows are joined by digest and content. Few winners are broadcast, so that the many
+rows of one text stay where they are; more are joined by a shuffle, which adaptive execution splits
+where one text has many rows.
 
 Defined cases: a null text counts as empty; a null id ranks below every other; where all ids of a
 group are null, keep_id is null and the rows count as kept; rows that repeat the winner's id all
@@ -25,7 +27,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._tables import materialise, without
+from tidemark.llm._tables import mark_of, materialise, one_of_each, unused, without
 
 
 def ascii_lower(text: Column) -> Column:
@@ -47,34 +49,34 @@ def winners(keyed: DataFrame, salts: int) -> DataFrame:
     return merged.groupBy("text_sha256", "norm").agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"))
 
 
-def exact_dedup_report(df: DataFrame, key: str = "doc_id", text: str = "text", salts: int = 16) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
-    keyed = _keyed(df, key, text)
-    found = winners(keyed, salts)
+def _reported(keyed: DataFrame, salts: int, most_broadcast: int) -> DataFrame:
+    """``keyed`` with keep_id, group_size and kept."""
+    found = winners(keyed, salts).filter("group_size > 1")
     groups = materialise(found.select("text_sha256", "keep_id", "group_size"), "exact-winners")
     on = ["text_sha256"]
     if not groups.groupBy("text_sha256").count().filter("count > 1").isEmpty():
         groups, on = found, ["text_sha256", "norm"]
-    return keyed.join(groups, on).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
-    )
+    elif groups.count() <= most_broadcast:
+        groups = F.broadcast(groups)
+    alone = F.col("group_size").isNull()
+    keep = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
+    return keyed.join(groups, on, "left").select(
+        *[c for c in keyed.columns if c != "text_sha256"], keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), (alone | F.col("doc_id").eqNullSafe(keep)).alias("kept"), "text_sha256"
+    )
 
 
-def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", salts: int = 16) -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns; one row for each kept id and text.
-
-    Rows whose id is null have no identity to be dropped by, so one row of each all-null group
-    cannot be told from the others: such rows stay.
-    """
-    report = exact_dedup_report(df, key, text, salts)
-    twice = report.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), (F.min("text_sha256") != F.max("text_sha256")).alias("differ")).filter("n > 1")
-    if not twice.filter("differ").isEmpty():  # ids do not tell the rows apart
-        norm = ascii_lower(F.coalesce(df[text], F.lit("")))
-        marked = df.withColumn("__same", F.concat_ws(":", F.sha2(norm, 256), df[key].cast("string")))
-        gone = report.filter("NOT kept AND doc_id IS NOT NULL").select(F.concat_ws(":", "text_sha256", F.col("doc_id").cast("string")))
-        kept = without(marked, "__same", gone)
-        return kept.filter(kept[key].isNull()).unionByName(kept.filter(kept[key].isNotNull()).dropDuplicates(["__same"])).drop("__same")
-    kept = without(df, key, report.filter(~F.col("kept")).select("doc_id"))
-    if not twice.isEmpty():
-        kept = kept.filter(df[key].isNull()).unionByName(kept.filter(df[key].isNotNull()).dropDuplicates([key]))
-    return kept
+def exact_dedup_report(df: DataFrame, key: str = "doc_id", text: str = "text", salts: int = 16, most_broadcast: int = 250_000) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _reported(_keyed(df, key, text), salts, most_broadcast).drop("norm")
+
+
+def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", salts: int = 16, most_broadcast: int = 250_000) -> DataFrame:
+    """The rows of ``df`` that stay, one of each text, with all their columns. Rows are told apart
+    by id and text together, so ids may be null or repeated."""
+    mark = unused(df, "mark")
+    of = mark_of(df[key], ascii_lower(F.coalesce(df[text], F.lit(""))))
+    report = _reported(_keyed(df, key, text), salts, most_broadcast)
+    report = materialise(report.select(mark_of(F.col("doc_id"), F.col("norm")).alias(mark), "kept", "group_size"), "exact-report")
+    stays = without(df.withColumn(mark, of), report.filter(~F.col("kept")), mark, most_broadcast)
+    repeated = report.filter("kept AND group_size > 1").groupBy(mark).count().filter("count > 1")
+    return one_of_each(stays, repeated, mark).select(*df.columns)

@@ -6,8 +6,8 @@ candidates to the languages that use them. Viterbi then labels the words of a te
 penalty at each switch, so spans of one language come out whole. The text's language is the one
 with the most letters; the score is its share of the letters.
 
-The tables are learned from at most ``rows_per_language`` labelled texts a language, chosen by
-digest of their ids, whole texts; so what is broadcast has a fixed size.
+The tables are learned from at most ``rows_per_language`` labelled texts and ``chars_per_language``
+characters a language, chosen by digest of their ids, whole texts; so what is broadcast has a fixed size.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; rows without a label
 are not learned from; with no labelled rows at all every text is ``und``; a null id counts as an
@@ -131,12 +131,12 @@ def fit(sample: list[tuple[str, str]], penalty: float = 6.0) -> Model:
             total += len(starts)
         scripts[:, i] /= max(total, 1)
     logs = []
-    for table in [*grams, word]:
+    for table in [*grams, word] if many else []:
         p = np.log(table / table.sum(axis=0))
         logs.append((p - p.mean(axis=1, keepdims=True)).astype(np.float32))
     allowed = scripts >= 0.01
     allowed[~allowed.any(axis=1)] = True
-    return Model(languages, logs[:-1], logs[-1], allowed, penalty)
+    return Model(languages, logs[:-1], logs[-1] if many else word, allowed, penalty)
 
 
 def word_scores(model: Model, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -257,13 +257,15 @@ def crc_of(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")))
 
 
-def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows_per_language: int = 300, penalty: float = 6.0) -> Model:
-    """Fit on at most ``rows_per_language`` labelled texts a language, those of the least digests."""
+def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows_per_language: int = 300, chars_per_language: int = 4_000_000, penalty: float = 6.0) -> Model:
+    """Fit on at most ``rows_per_language`` labelled texts a language, those of the least digests,
+    and of these on the first that together hold at most ``chars_per_language`` characters."""
     named = df.select(df[key].alias("doc_id"), df[text].alias("text"), df[lang].alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
     h = F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = named.select("lang", "doc_id", h.alias("h")).withColumn("nth", nth).filter(F.col("nth") <= rows_per_language)
-    ids = chosen.select("lang", F.col("doc_id").alias("its"))
+    chosen = named.select("lang", "doc_id", h.alias("h"), F.length("text").alias("chars")).withColumn("nth", nth).filter(F.col("nth") <= rows_per_language)
+    together = F.sum("chars").over(Window.partitionBy("lang").orderBy("nth"))
+    ids = chosen.withColumn("together", together).filter((F.col("together") <= chars_per_language) | (F.col("nth") == 1)).select("lang", F.col("doc_id").alias("its"))
     sample = named.join(F.broadcast(ids), (named["doc_id"].eqNullSafe(F.col("its"))) & (named["lang"] == ids["lang"]), "left_semi")
     return fit(sorted((r["lang"], r["text"]) for r in sample.select("lang", "text").collect()), penalty)
 

@@ -320,7 +320,7 @@ def _firsts(placed: DataFrame) -> DataFrame:
     return at.filter("m > 1").drop("m")
 
 
-def line_report(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, chars_per_edit: int = 10, hot: int = 16, fine: int = 6, most_broadcast: int = 1_000_000) -> DataFrame:
+def line_report(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, chars_per_edit: int = 10, hot: int = 16, fine: int = 4, most_broadcast: int = 1_000_000) -> DataFrame:
     """One row per line: doc_id, line_no (from 0), class_id, first_doc_id, first_line_no, n_links
     (other different lines linked directly), kept (it is the first of its class)."""
     lines = split_lines(df, key, text)

@@ -13,7 +13,8 @@ full weighted sets, is at least ``threshold``.
 A bucket of a band is never expanded into all its pairs: first every member is compared with the
 bucket's least member. Most buckets are one component after that. In the others, members of
 different components are compared with each other within the tasks that hold them, block by block,
-and only links come out; so no candidate pair stays undecided and none is emitted.
+and only links come out; so no candidate pair stays undecided and none is emitted. Members of a
+bucket's largest component meet the others only, not each other.
 
 Defined cases: words are runs of characters other than white space, A-Z lower-cased; texts of one
 to four words are a single shingle; texts without a word (null, empty) link with nothing; texts
@@ -29,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _bytes, _exchange
-from tidemark.llm._groups import sorted_groups
-from tidemark.llm._tables import materialise, partitions, without
+from tidemark.llm._groups import dealt, sorted_groups
+from tidemark.llm._tables import mark_of, materialise, one_of_each, unused, without
 from tidemark.llm.components import components
 
 WIDTH = 5
 BITS = 48
 _FINE, _COARSE = 1 << 18, 1 << 16
-_SETS = "doc_id {kind}, node long, check long, bands array<long>, vector binary, weights binary"
+_SETS = "doc_id {kind}, mark string, node long, check long, bands array<long>, vector binary, weights binary"
 
 
 def _gamma_table(n: int) -> np.ndarray:
@@ -130,7 +131,7 @@ def inverse_frequency(df: np.ndarray, n: int, floor: float) -> np.ndarray:
 
 
 def _sets(many: int, n: int, floor: float, bands: int, rows: int, kind):
-    schema = pa.schema([("doc_id", kind), ("node", pa.int64()), ("check", pa.int64()), ("bands", pa.list_(pa.int64())), ("vector", pa.binary()), ("weights", pa.binary())])
+    schema = pa.schema([("doc_id", kind), ("mark", pa.string()), ("node", pa.int64()), ("check", pa.int64()), ("bands", pa.list_(pa.int64())), ("vector", pa.binary()), ("weights", pa.binary())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by("doc_id")  # the least id of equal texts carries their set
@@ -170,8 +171,9 @@ def _sets(many: int, n: int, floor: float, bands: int, rows: int, kind):
                 short = (keys[starts[i] : ends[i]] >> np.uint64(BITS - 32)).astype(np.uint32)  # sorted, as the keys are
                 own = weights[starts[i] : ends[i]].astype(np.float32)
                 out.append((*pair, marks[i].astype(np.int64).tolist(), _bytes.pack(short), _bytes.pack_counts(own.view(np.uint32))))
+        _bytes.give_back()
         columns = zip(*out, strict=True) if out else [[]] * 5
-        return pa.Table.from_arrays([left["doc_id"].combine_chunks(), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
+        return pa.Table.from_arrays([left["doc_id"].combine_chunks(), left["mark"].combine_chunks(), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:], strict=True)]], schema=schema)
 
     return run
 
@@ -253,13 +255,11 @@ def _across(threshold: float):
     return run
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, bands: int = 12, rows: int = 4, idf_floor: float = 0.85, block_size: int = 512, most_broadcast: int = 1_000_000) -> DataFrame:
-    """One row per document: doc_id, component_id (the least id of its class), component_size, kept."""
-    spark = df.sparkSession
-    many = partitions(spark)
-    n = max(df.count(), 2)
-    block = F.pmod(F.xxhash64(df[key], df[text]), F.lit(many)).cast("long")
-    docs = df.select(block.alias("block"), df[key].alias("doc_id"), F.coalesce(df[text], F.lit("")).alias("text"))
+def _classified(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, bands: int = 12, rows: int = 4, idf_floor: float = 0.85, block_size: int = 512, most_broadcast: int = 1_000_000) -> DataFrame:
+    """One row per document: mark (of id and text), doc_id, component_id, component_size, kept."""
+    n, many = _exchange.measured(df, text)
+    n = max(n, 2)
+    docs = df.select(_exchange.block_of(df[key], df[text], many).alias("block"), df[key].alias("doc_id"), mark_of(df[key], df[text]).alias("mark"), F.coalesce(df[text], F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType
     asked = docs.groupBy("block").applyInArrow(_requests(many), _exchange.REQUEST)
     back = asked.groupBy("p").applyInArrow(_merge, "p int, block long, payload binary")
@@ -267,6 +267,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
 
     made = docs.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_sets(many, n, idf_floor, bands, rows, to_arrow_type(kind)), _SETS.format(kind=kind.simpleString()))
     sets = materialise(made, "weighted-sets")
+    # texts that share 64 bits of hash, n * n / 2^65 of n, are told apart by the second hash
+    clash = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("check").alias("x"), F.max("check").alias("y")).filter("x <> y")
+    clash = [r["node"] for r in clash.select("node").collect()]
+    sets = sets.withColumn("node", F.when(F.col("node").isin(clash), F.xxhash64("node", "check")).otherwise(F.col("node")))
 
     members = sets.filter("bands IS NOT NULL").select("node", F.explode("bands").alias("bucket")).distinct()
     heads = members.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
@@ -276,27 +280,39 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     first = materialise(components(links), "star-components")
     # buckets whose members are not one component yet: their members are compared across components
     placed = shared.join(first, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    split = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m")).filter("low < high").select("bucket", "m")
+    split = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("bucket")
     open_ = materialise(placed.join(split, "bucket"), "open-buckets")
-    blocks = F.ceil(F.col("m") / block_size)
-    sided = open_.withColumn("side", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    sided = sided.select("bucket", "node", "root", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
+    sided = dealt(open_, ["bucket"], "root", "node", block_size)
     full = _full_sets(open_.select("node").distinct(), sets, most_broadcast, "bands")
     by = ["bucket", "low", "high"]
     met = sided.join(full, "node").repartition(*by).sortWithinPartitions(*by)
     more = materialise(met.mapInArrow(_across(threshold), "a long, b long"), "cross-links")
     whole = materialise(components(links.union(more)), "components")
 
-    nodes = sets.select("doc_id", "node").join(whole, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
-    named = nodes.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("component_size"))
-    alone = F.col("root").isNull()
+    nodes = sets.select("mark", "doc_id", "node").join(whole, "node", "left").select("mark", "doc_id", F.coalesce("root", "node").alias("root"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")).alias("first")
+    named = materialise(nodes.filter("root IS NOT NULL").groupBy("root").agg(first, F.count(F.lit(1)).alias("component_size")).filter("component_size > 1"), "near-classes")
+    alone = F.col("component_size").isNull()
     return nodes.join(named, "root", "left").select(
+        "mark",
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(alone, F.lit(1)).otherwise(F.col("component_size")).cast("long").alias("component_size"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-
-
-def near_dedup(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` that stay, one document of each class, with all their columns."""
-    return without(df, key, near_duplicates(df, key, **options).filter(~F.col("kept")).select("doc_id"))
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        F.coalesce("component_size", F.lit(1)).cast("long").alias("component_size"),
+        (alone | (F.col("mark") == F.col("first.mark"))).alias("kept"),
+    )
+
+
+def near_duplicates(df: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, component_id (the least id of its class), component_size, kept
+    (it is the one that stays; of several rows with one id and text all are marked)."""
+    return _classified(df, **options).drop("mark")
+
+
+def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that stay, one document of each class, with all their columns. Rows are
+    told apart by id and text together, so ids may be null or repeated."""
+    mark = unused(df, "mark")
+    report = materialise(_classified(df, key, text, **options).select(F.col("mark").alias(mark), "kept", "component_size"), "near-report")
+    stays = without(df.withColumn(mark, mark_of(df[key], df[text])), report.filter(~F.col("kept")), mark)
+    repeated = report.filter("kept AND component_size > 1").groupBy(mark).count().filter("count > 1")
+    return one_of_each(stays, repeated, mark).select(*df.columns)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._tables import materialise
+from tidemark.llm._tables import mark_of, materialise, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 ORDER = ("finish", "place", "epoch", "h", "doc_id")
@@ -92,12 +92,12 @@ def _cut(copies: DataFrame, budget: int, ends: float, bins: int):
     return binned.filter(F.col("bin") < held["bin"]).agg(F.max(F.struct(*ORDER)).alias("x")).first()["x"]
 
 
-def mix_plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=(3, 1, 2), share: float = 1.5, epochs: int = 2, bucket_rows: int = 4096, row: str | None = None) -> DataFrame:
+def mix_plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=(3, 1, 2), share: float = 1.5, epochs: int = 2, bucket_rows: int = 4096, carry: Column | None = None) -> DataFrame:
     """One row per input row: doc_id, size, source_size, target, taken, then finish, the virtual
-    finish time of its first copy, and copies, how often the mix takes it. ``row`` names a column
-    to carry along, as column ``row``."""
+    finish time of its first copy, and copies, how often the mix takes it. ``carry`` is a Column
+    to carry along, as column ``carried``."""
     key_text = F.coalesce(df[key].cast("string"), F.lit(""))
-    carried = [] if row is None else [df[row].alias("row")]
+    carried = [] if carry is None else [carry.alias("carried")]
     sized = materialise(df.select(*carried, df[key].alias("doc_id"), df[source].alias("source"), word_count(df[text]).alias("size"), F.md5(key_text).alias("h")), "mix-sizes")
     sources = materialise(source_targets(sized, list(weights), share, epochs), "mix-sources")
     queued = materialise(_queued(sized, sources, bucket_rows), "mix-queue")
@@ -111,16 +111,21 @@ def mix_plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str
         nth = lambda e: F.struct(((F.lit(e) * F.col("source_size") + F.col("upto")) / F.col("weight")).alias("finish"), F.col("place"), F.lit(e).alias("epoch"), F.col("h"), F.col("doc_id"))
         within = sum((F.when(nth(e) <= edge, 1).otherwise(0) for e in range(epochs)), F.lit(0))
     return queued.withColumn("copies", within.cast("long")).select(
-        *["row" for _ in carried], "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), (F.col("upto") / F.col("weight")).alias("finish"), "copies"
+        *["carried" for _ in carried], "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), (F.col("upto") / F.col("weight")).alias("finish"), "copies"
     )
 
 
-def mix(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The mixed rows with the columns of ``df``, a row for each copy, globally sorted by the
-    finish time of the first copy. Rows are told apart by a number, written once, so ids may be
-    null or repeated."""
-    rows = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    plan = mix_plan(rows, key, row="__row", **options).filter("copies > 0").select(F.col("row").alias("__row"), F.col("finish").alias("__finish"), F.col("copies").alias("__copies"))
-    joined = rows.join(plan, "__row")
-    repeated = joined.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return repeated.orderBy("__finish", key, "__row").select(*df.columns)
+def mix(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The mixed rows with the columns of ``df``, a row for each copy, globally sorted by the finish
+    time of the first copy. Rows are told apart by id and text together; rows alike in both are
+    numbered on either side, so ids may be null or repeated."""
+    mark, nth, finish, copies = (unused(df, name) for name in ("mark", "nth", "finish", "copies"))
+    plan = mix_plan(df, key, text, carry=mark_of(df[key], df[text]), **options)
+    plan = materialise(plan.select(F.col("carried").alias(mark), F.col("finish").alias(finish), F.col("copies").alias(copies)), "mix-plan")
+    rows, on = df.withColumn(mark, mark_of(df[key], df[text])), [mark]
+    if not plan.groupBy(mark).count().filter("count > 1").isEmpty():
+        alike = Window.partitionBy(mark)
+        rows, plan, on = rows.withColumn(nth, F.row_number().over(alike.orderBy(F.lit(0)))), plan.withColumn(nth, F.row_number().over(alike.orderBy(finish))), [mark, nth]
+    joined = rows.join(plan.filter(F.col(copies) > 0), on)
+    repeated = joined.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+    return repeated.orderBy(finish, mark, nth).select(*df.columns)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _bytes, _exchange
-from tidemark.llm._tables import materialise, partitions
+from tidemark.llm._tables import materialise
 
 END = np.uint64(0x5BD1E9955BD1E995)
 WORDS, PAIRS = 0, 1
@@ -107,7 +107,7 @@ def _requests(many: int):
     def run(table: pa.Table) -> pa.Table:
         tallies = {WORDS: _exchange.Tally(), PAIRS: _exchange.Tally()}
         trained = np.array(table["train"].to_pylist(), dtype=np.int64)
-        for chunk in _bytes.chunks(table["text"]):
+        for chunk in _bytes.chunks(table["text"], 1 << 20):
             hashes, rows, before = tokens(chunk)
             once = trained[chunk.first + rows]
             tallies[WORDS].add(hashes, once)
@@ -134,7 +134,7 @@ def _merge(bits_per_entry: int):
 def _score(many: int, n: int, v: int, weight: float):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         tallies = {WORDS: _exchange.Tally(), PAIRS: _exchange.Tally()}
-        for chunk in _bytes.chunks(left["text"]):
+        for chunk in _bytes.chunks(left["text"], 1 << 20):
             hashes, _, before = tokens(chunk)
             for kind, asked in ((WORDS, hashes), (PAIRS, pair_keys(before, hashes))):
                 tallies[kind].add(asked, np.zeros(len(asked), dtype=np.int64))
@@ -153,7 +153,7 @@ def _score(many: int, n: int, v: int, weight: float):
         pair_count = count_of(answers(PAIRS, "levels", pairs))
         own = np.minimum((own_count + _ADD) / (n + _ADD * (v + 1)), 1.0)
         out = []
-        for chunk in _bytes.chunks(left["text"]):
+        for chunk in _bytes.chunks(left["text"], 1 << 20):
             hashes, rows, before = tokens(chunk)
             at, prior = np.searchsorted(keys, hashes), np.minimum(np.searchsorted(keys, before), len(keys) - 1)
             both = pair_count[np.searchsorted(pairs, pair_keys(before, hashes))]
@@ -161,6 +161,7 @@ def _score(many: int, n: int, v: int, weight: float):
             probability = np.where(ahead > 0, weight * np.minimum(both / np.maximum(ahead, 1), 1.0) + (1 - weight) * own[at], own[at])
             size = len(chunk)
             out.append((np.bincount(rows, minlength=size), np.bincount(rows, counts[at] > 0, minlength=size), np.bincount(rows, base[at], minlength=size), np.bincount(rows, np.log10(probability), minlength=size)))
+        _bytes.give_back()
         tokens_, known, base_, score = (np.concatenate(x) for x in zip(*out, strict=True))
         return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": tokens_.astype(np.int64), "n_known": known.astype(np.int64), "train_tokens": np.full(len(tokens_), n, dtype=np.int64), "base_score": base_, "score": score})
 
@@ -172,9 +173,8 @@ def score(df: DataFrame, held_out, key: str = "doc_id", text: str = "text", bits
 
     ``held_out`` is a Column: rows for which it holds are scored but not learned from.
     """
-    many = partitions(df.sparkSession)
-    block = F.pmod(F.xxhash64(df[key], df[text]), F.lit(many)).cast("long")
-    docs = df.select(block.alias("block"), df[key].alias("doc_id"), F.coalesce(df[text], F.lit("")).alias("text"), held_out.alias("held_out")).withColumn("train", (~F.col("held_out")).cast("int"))
+    _, many = _exchange.measured(df, text)
+    docs = df.select(_exchange.block_of(df[key], df[text], many).alias("block"), df[key].alias("doc_id"), F.coalesce(df[text], F.lit("")).alias("text"), held_out.alias("held_out")).withColumn("train", (~F.col("held_out")).cast("int"))
     asked = docs.groupBy("block").applyInArrow(_requests(many), _exchange.REQUEST)
     merged = materialise(asked.groupBy("kind", "p").applyInArrow(_merge(bits_per_entry), _MERGED), "lm-counts")
     sums = merged.filter(F.col("block").isNull() & (F.col("kind") == WORDS)).agg(F.sum("total"), F.sum("known")).first()
