@@ -48,7 +48,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: SQL cannot express the stages; tests hold each against a brute-force version.
+#: SQL cannot express the stages; a test runs them and holds each against plain Python.
 ORACLE_SQL: str | None = None
 
 
