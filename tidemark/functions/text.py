@@ -23,8 +23,8 @@ PHONE = r"(?<!\d)(?:\+?254|0)[\s-]?[17]\d{2}[\s-]?\d{3}[\s-]?\d{3}(?!\d)"
 TITLE_PREFIX = r"(?iu)^\s*(?:urgent(?:ly)?(?:\s+(?:required|hiring))?|hiring|vacancy|job(?:\s+vacancy)?|we are hiring|wanted)\s*[:\-–—]\s*"
 TITLE_BRACKETS = r"(?iu)[\(\[\{][^)\]}]*\b(?:urgent|hiring|immediate|apply now|vacanc(?:y|ies)|new|multiple positions?)\b[^)\]}]*[\)\]\}]"
 TITLE_PLACE = r"(?iu)(?:\s*[-–—|,@]\s*|\s+(?:in|at)\s+)([A-Za-z' .]+)$"
-ACRONYMS = "it ict hr qa qc erp bi sql api ceo cfo coo cto ui ux sap crm seo pr ngo gis hse sme aws kra m&e".split()
-SMALL_WORDS = "and or of the in for to a an at on &".split()
+ACRONYMS = ["it", "ict", "hr", "qa", "qc", "erp", "bi", "sql", "api", "ceo", "cfo", "coo", "cto", "ui", "ux", "sap", "crm", "seo", "pr", "ngo", "gis", "hse", "sme", "aws", "kra", "m&e"]
+SMALL_WORDS = ["and", "or", "of", "the", "in", "for", "to", "a", "an", "at", "on", "&"]
 
 #: Levels of seniority in order of precedence, and the words that tell them.
 LEVELS = [
