@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import lens
-from tidemark.functions import classify, dates, geo, salary, skills, stats, text
+from tidemark.functions import classify, dates, skills, stats, text
 from tidemark.lens import LENS_SQL, read
 from tidemark.operators import merge, versions
 from tidemark.plans import quality, serving, views, warehouse
@@ -56,8 +56,9 @@ def _pct(k: str, n: str) -> str:
 EVENTS = "event_type AS source, CAST(user_id AS VARCHAR) AS job_key, ts, event_id"
 
 
-def _raw(spark: SparkSession, d: str) -> DataFrame:
+def _raw(spark: SparkSession, d: str, fetched: bool = False) -> DataFrame:
     e = read(spark, d, "events")
+    e = e.filter("value > 50") if fetched else e
     return e.select(F.col("event_id").alias("id"), F.col("event_type").alias("source"), F.col("user_id").cast("string").alias("job_key"), F.col("ts").cast("timestamp").alias("scraped_at"), F.sha2(F.concat_ws("|", "user_id", "props"), 256).alias("content_hash"), F.col("props"))
 
 
@@ -73,13 +74,13 @@ def latest_version(spark, d):
 
 @query(
     "first_last_seen",
-    f"""WITH e AS (SELECT {EVENTS} FROM events), s AS (SELECT source, job_key, min({_day("ts")}) AS a, max({_day("ts")}) AS b FROM e WHERE job_key::BIGINT % 2 = 0 GROUP BY ALL),
+    f"""WITH e AS (SELECT {EVENTS} FROM events), s AS (SELECT source, job_key, min({_day("ts")}) AS a, max({_day("ts")}) AS b FROM (SELECT {EVENTS} FROM events WHERE value > 50) GROUP BY ALL),
  r AS (SELECT source, job_key, arg_max(event_id, (ts, event_id)) AS id, min(ts) AS lo, max(ts) AS hi FROM e GROUP BY ALL)
  SELECT source, job_key, id, CAST(floor(epoch(coalesce(a + INTERVAL 9 HOUR, lo))) AS BIGINT) AS first_s, CAST(floor(epoch(coalesce(b + INTERVAL 9 HOUR, hi))) AS BIGINT) AS last_s FROM r LEFT JOIN s USING (source, job_key)""",
 )
 def first_last_seen(spark, d):
     raw = _raw(spark, d)
-    log = versions.seed_sightings(spark.createDataFrame([], "source string, job_key string, seen_on date, fetched boolean"), raw.filter(F.col("job_key").cast("long") % 2 == 0))
+    log = versions.seed_sightings(spark.createDataFrame([], "source string, job_key string, seen_on date, fetched boolean"), _raw(spark, d, fetched=True))
     found = versions.first_last_seen(raw, log)
     return found.select("source", "job_key", "id", F.unix_timestamp("first_seen").alias("first_s"), F.unix_timestamp("last_seen").alias("last_s"))
 
@@ -208,12 +209,6 @@ def wilson(spark, d):
     return counted.select("k", "n", views.rounded(100 * stats.wilson_low(F.col("k"), F.col("n")), 1).alias("low_pct"), views.rounded(100 * stats.wilson_high(F.col("k"), F.col("n")), 1).alias("high_pct"))
 
 
-@query("km_textbook", "SELECT t, at_risk, n_events, CAST(survival AS DOUBLE) AS survival FROM (VALUES (1, 6, 1, 0.8333), (2, 5, 1, 0.6667), (3, 3, 1, 0.4444), (4, 2, 0, 0.4444), (5, 1, 1, 0.0)) v(t, at_risk, n_events, survival)")
-def km_textbook(spark, d):
-    df = spark.sql("SELECT 'a' AS g, array(1, 2, 2, 3, 4, 5) AS d, array(true, true, false, true, false, true) AS e")
-    return stats.km_arrays(df, ["g"], "d", "e").select("t", "at_risk", "n_events", F.round("survival", 4).alias("survival"))
-
-
 # ---- text over documents and pages ----
 
 
@@ -238,35 +233,12 @@ def parse_date(spark, d):
     return read(spark, d, "events").select("event_id", text.parse_date(F.concat(F.lit("on "), F.col("ts").cast("string"))).alias("day"))
 
 
-@query("seniority", "SELECT c_mktsegment AS title, 'unspecified' AS level, count(*) AS n FROM customer GROUP BY 1")
-def seniority(spark, d):
-    return read(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("title"), text.seniority(F.col("c_mktsegment")).alias("level")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("classify_category", "SELECT title, category, count(*) AS n FROM fact GROUP BY ALL", lensed=True)
 def classify_category(spark, d):
     rows = lens.tables(spark, d)["fact"]
     return rows.groupBy(F.col("title_clean").alias("title"), classify.classify_category(F.col("title_clean"), F.col("industry")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("map_location", "SELECT * FROM (VALUES ('Westlands, Nairobi', 'Nairobi', 47, FALSE), ('Remote - Kisumu City', 'Kisumu', 42, TRUE), ('Berlin', NULL, NULL, FALSE), ('Thika / Nakuru', 'Kiambu', 22, FALSE)) v(place, county, county_code, is_remote)")
-def map_location(spark, d):
-    rows = spark.createDataFrame([("Westlands, Nairobi",), ("Remote - Kisumu City",), ("Berlin",), ("Thika / Nakuru",)], "place string")
-    return rows.select("place", geo.map_location(F.col("place")).alias("x")).select("place", "x.*")
-
-
-@query("parse_salary_text", "SELECT said, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high, period FROM (VALUES ('KES 80,000 - 120,000 per month', 80000.0, 120000.0, 'month'), ('up to KES 100,000', NULL, NULL, NULL), ('Ksh 50 - 80k monthly', 50000.0, 80000.0, 'month')) v(said, low, high, period)")
-def parse_salary_text(spark, d):
-    rows = spark.createDataFrame([("KES 80,000 - 120,000 per month",), ("up to KES 100,000",), ("Ksh 50 - 80k monthly",)], "said string")
-    return rows.select("said", salary.from_text(F.col("said")).alias("x")).select("said", F.col("x.min").alias("low"), F.col("x.max").alias("high"), F.col("x.period").alias("period"))
-
-
-@query("clean_title", "SELECT * FROM (VALUES ('URGENT: ACCOUNTANT - NAIROBI', 'Accountant'), ('data analyst (Urgent hiring)', 'Data Analyst'), ('Sales Manager, Nairobi, Kenya', 'Sales Manager')) v(raw, clean)")
-def clean_title(spark, d):
-    rows = spark.createDataFrame([("URGENT: ACCOUNTANT - NAIROBI",), ("data analyst (Urgent hiring)",), ("Sales Manager, Nairobi, Kenya",)], "raw string")
-    return rows.select("raw", text.clean_title(F.col("raw")).alias("clean"))
-
-
 _TERMS = ["the", "and", "des", "und", "que", "licensed", "token", "is", "of", "een"]
 
 
@@ -276,11 +248,6 @@ def skill_extract(spark, d):
     return skills.match_terms(read(spark, d, "documents"), "doc_id", "text", F.broadcast(terms))
 
 
-@query("skill_dictionary")
-def skill_dictionary(spark, d):
-    return read(spark, d, "documents").select("doc_id", F.array_join(F.transform(skills.extract_skills(F.col("text")), lambda s: s["skill"]), ",").alias("skills"))
-
-
 @query("html_title_h1_links", r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '\s+', ' ', 'g')) AS title, trim(regexp_replace(regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1\s*>', 1), '\s+', ' ', 'g')) AS h1, (length(html) - length(replace(html, '<a href=', ''))) // 8 AS links FROM pages")
 def html_title_h1_links(spark, d):
     p = read(spark, d, "pages")
