@@ -51,13 +51,11 @@ def fresh_keys(log: DataFrame, source: str, as_of: Column, days: int) -> DataFra
 
 def flag_duplicates(postings: DataFrame) -> DataFrame:
     """is_duplicate and the canonical posting of each: the earliest posted of equal dedup keys.
-    Postings without a key stay out of the window, so they form no group."""
-    order = [F.col("date_posted").asc_nulls_last(), F.col("first_seen_at").asc_nulls_last(), F.col("source"), F.col("job_key")]
-    by_key = Window.partitionBy("dedup_key").orderBy(*order)
-    keyed = postings.filter(F.col("dedup_key").isNotNull())
-    ranked = keyed.withColumn("__nth", F.row_number().over(by_key)).withColumn("__s", F.first("source").over(by_key)).withColumn("__k", F.first("job_key").over(by_key))
-    twin = F.col("__nth") > 1
-    flagged = ranked.select(*postings.columns, twin.alias("is_duplicate"), F.when(twin, F.col("__s")).alias("canonical_source"), F.when(twin, F.col("__k")).alias("canonical_job_key"))
-    rest = postings.filter(F.col("dedup_key").isNull())
-    none = F.lit(None).cast("string")
-    return flagged.unionByName(rest.select(*postings.columns, F.lit(False).alias("is_duplicate"), none.alias("canonical_source"), none.alias("canonical_job_key")))
+    The first of each key is an aggregate that combines before the shuffle, so a key that many
+    postings share gathers them nowhere. Postings without a key form no group."""
+    date, seen = F.col("date_posted"), F.col("first_seen_at")
+    order = F.struct(date.isNull().alias("a"), date.alias("b"), seen.isNull().alias("c"), seen.alias("d"), F.col("source").alias("s"), F.col("job_key").alias("k"))
+    firsts = postings.filter(F.col("dedup_key").isNotNull()).groupBy(F.col("dedup_key").alias("of")).agg(F.min(order).alias("first"))
+    joined = postings.join(firsts, F.col("dedup_key") == F.col("of"), "left")
+    twin = F.col("first").isNotNull() & ~(F.col("source").eqNullSafe(F.col("first.s")) & F.col("job_key").eqNullSafe(F.col("first.k")))
+    return joined.select(*[postings[c] for c in postings.columns], twin.alias("is_duplicate"), F.when(twin, F.col("first.s")).alias("canonical_source"), F.when(twin, F.col("first.k")).alias("canonical_job_key"))

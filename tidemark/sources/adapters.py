@@ -20,14 +20,14 @@ def _kind(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
 
 
-def _is(v: Column, kind: str) -> Column:
+def is_kind(v: Column, kind: str) -> Column:
     return _kind(v).startswith(kind)
 
 
 def scalar(payload: Column, path: str) -> Column:
     """Text of a scalar field; null for objects, arrays and empty text."""
     v = F.try_variant_get(payload, path, "variant")
-    return F.when(~_is(v, "OBJECT") & ~_is(v, "ARRAY"), text_at(payload, path))
+    return F.when(~is_kind(v, "OBJECT") & ~is_kind(v, "ARRAY"), text_at(payload, path))
 
 
 def joined(payload: Column, path: str) -> Column:
@@ -42,8 +42,8 @@ def names(payload: Column, path: str) -> Column:
     return F.filter(F.transform(items, lambda v: scalar(v, "$.name")), lambda n: n.isNotNull())
 
 
-def _as_list(v: Column) -> Column:
-    return F.when(_is(v, "ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(v.isNotNull(), F.array(v))
+def as_list(v: Column) -> Column:
+    return F.when(is_kind(v, "ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(v.isNotNull(), F.array(v))
 
 
 def _places(location: Column) -> Column:
@@ -53,9 +53,9 @@ def _places(location: Column) -> Column:
         inner = F.coalesce(F.try_variant_get(loc, "$.address", "variant"), loc)
         fields = F.filter(F.array(*[scalar(inner, f"$.{f}") for f in ADDRESS_PARTS]), lambda x: x.isNotNull())
         whole = F.nullif(F.try_variant_get(inner, "$", "string"), F.lit(""))
-        return F.when(_is(inner, "OBJECT"), fields).when(_is(inner, "STRING") & whole.isNotNull(), F.array(whole)).otherwise(F.array().cast("array<string>"))
+        return F.when(is_kind(inner, "OBJECT"), fields).when(is_kind(inner, "STRING") & whole.isNotNull(), F.array(whole)).otherwise(F.array().cast("array<string>"))
 
-    return F.coalesce(F.flatten(F.transform(_as_list(location), parts)), F.array().cast("array<string>"))
+    return F.coalesce(F.flatten(F.transform(as_list(location), parts)), F.array().cast("array<string>"))
 
 
 def place_in_headline(headline: Column, title: Column) -> Column:
@@ -81,7 +81,7 @@ def _salary(v: Column) -> dict[str, Column]:
         "base_currency": scalar(v, "$.currency"),
         "base_low": scalar(v, "$.value.minValue"),
         "base_high": scalar(v, "$.value.maxValue"),
-        "base_single": F.when(_is(value, "OBJECT"), scalar(v, "$.value.value")).otherwise(scalar(v, "$.value")),
+        "base_single": F.when(is_kind(value, "OBJECT"), scalar(v, "$.value.value")).otherwise(scalar(v, "$.value")),
         "base_unit": scalar(v, "$.value.unitText"),
     }
 
@@ -90,17 +90,17 @@ def schema_org(payload: Column) -> list[Column]:
     """schema.org job postings, on their own or under job_posting beside the page's data."""
     at = lambda name: F.try_variant_get(posting, f"$.{name}", "variant")
     inner = F.try_variant_get(payload, "$.job_posting", "variant")
-    posting = F.when(_is(inner, "OBJECT"), inner).otherwise(payload)
-    org = F.get(_as_list(at("hiringOrganization")), F.lit(0))
+    posting = F.when(is_kind(inner, "OBJECT"), inner).otherwise(payload)
+    org = F.get(as_list(at("hiringOrganization")), F.lit(0))
     title = scalar(posting, "$.title")
     page = place_in_headline(text_at(payload, "$.page_meta.og_title"), title)
     listed = F.nullif(F.array_join(_places(at("jobLocation")), ", "), F.lit(""))
     places = F.array_distinct(F.filter(F.array(page, listed), lambda p: p.isNotNull()))
-    salary = {k: F.when(_is(at("baseSalary"), "OBJECT"), v) for k, v in _salary(at("baseSalary")).items()}
+    salary = {k: F.when(is_kind(at("baseSalary"), "OBJECT"), v) for k, v in _salary(at("baseSalary")).items()}
     return _row(
         url=F.coalesce(scalar(payload, "$.url"), scalar(posting, "$.url")),
         title=title,
-        company=F.when(_is(org, "OBJECT"), scalar(org, "$.name")).otherwise(scalar(org, "$")),
+        company=F.when(is_kind(org, "OBJECT"), scalar(org, "$.name")).otherwise(scalar(org, "$")),
         location_text=F.array_join(places, ", "),
         remote_hint=F.coalesce(F.upper(scalar(posting, "$.jobLocationType")) == "TELECOMMUTE", F.lit(False)),
         date_posted=scalar(posting, "$.datePosted"),
