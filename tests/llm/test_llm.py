@@ -125,6 +125,20 @@ def test_secrets_anywhere_in_nested_layers():
         assert all(not r["base"] and 2 <= r["start"] < r["end"] <= 2 + len(inner) for r in found)
 
 
+def test_secrets_in_very_long_texts():
+    """One escape in a long text, and many secrets behind characters of two bytes: both in proportion to the text."""
+    import time
+
+    began = time.process_time()
+    text = b"word " * 400_000 + b"token = abc%41defg " + b"more " * 1000
+    found = secrets.scan_text(text)
+    assert [(r["kind"], r["base"], text[r["start"] : r["end"]]) for r in found] == [("assign", False, b"token = abc%41defg")]
+    many = "é token=abcdef12 " * 40_000
+    found = [r for r in secrets.scan_text(many.encode()) if r["base"]]
+    assert len(found) == 40_000 and all(many[r["start"] : r["end"]] == "token=abcdef12" for r in found[:: 997])
+    assert time.process_time() - began < 30
+
+
 def test_base_secrets_equal_plain_regular_expressions():
     rng = np.random.default_rng(1)
     parts = ["token", "API_KEY", " ", "=", ":", '"', "abcdef", "AKIA", "ABCDEFGHIJKLMNOP1234", "0123456789abcdef", "é", "ſecret", "passwd", "x"]
@@ -351,6 +365,28 @@ def test_licenses(spark, docs, none):
     assert licenses.scan(docs, F.col("source")).count() == 10 and licenses.scan(none, F.col("source")).count() == 0
 
 
+MIT = """Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+
+
+def test_licences_in_headers_and_files(spark):
+    """Notices broken over lines, heads of licence files, identifiers; near any depth, and no false ones."""
+    apache = "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n"
+    gpl = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n"
+    deep = "/".join(f"d{i}" for i in range(90))
+    rows = [(1, "m/LICENSE", MIT), (2, "a/LICENSE", apache + "body of terms " * 50), (3, "g/COPYING", gpl), (4, "s/x.py", "# SPDX-License-Identifier: MIT\nimport os\n"), (5, f"g/{deep}/y.py", "print(1)"), (6, "u/x.py", "# SPDX-License-Identifier: Foo-9.9\nimport os\n"), (7, "u/z.md", "we license photographs to the press\n" * 3), (8, "h/x.c", "int a;\n" * 400 + MIT), (9, "h/x.c", "int a;\n" * 400 + MIT)]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string"), F.col("path")).collect()}
+    assert [got[i]["license"] for i in range(1, 10)] == ["MIT", "Apache-2.0", "GPL-3.0", "MIT", "GPL-3.0", None, None, "MIT", "MIT"]
+    assert got[5]["origin"] == "inherited" and got[5]["from_doc_id"] == 3 and len(got) == 9
+
+
 def test_language(spark, docs, none):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     held = F.pmod(language.crc_of(F.col("doc_id")), F.lit(4)) == 2

@@ -1,19 +1,20 @@
-"""Operator 9: licence scans by sparse TF-IDF cosine to templates, with directory inheritance.
+"""Operator 9: licence scans by TF-IDF cosine to templates, with directory inheritance.
 
-Every line of every text that holds a word typical of licences is compared with the notices of
-known licences; so is every run of such lines, which catches notices broken over lines, and the
-text as a whole when it is no longer than the longest notice times ``whole_factor``. Vectors are
-sparse over the words of the notices; inverse document frequencies count all texts. Words outside
-the notices weigh as much as the rarest notice word, so long prose around a notice lowers its
-cosine.
+Lines that hold a word typical of licences are picked, with up to ``most_gap`` lines between two of
+them. Each picked line is compared with the templates, and so is every window of picked lines that
+begins at one and is about as long as some template; this finds notices broken over lines and the
+heads of licence files alike, wherever they stand. Vectors are over the words of the templates;
+inverse document frequencies count all texts. Words outside the templates weigh as much as the
+rarest template word, so long prose around a notice lowers its cosine.
 
-A text is a licence file if its name says so or notices make up half of its words. A text without
+A text is a licence file if its name says so or a notice makes up half of its words. A text without
 a licence of its own inherits that of the nearest directory above it with a licence file, by joins
-on the directories that occur.
+on the directories that occur, at any depth.
 
-Defined cases: null text is empty; a null path has no directory and inherits nothing; of several
-licence files in a directory the one with the best score counts, then the least path; an empty
-table gives an empty result. Extra columns are ignored.
+Defined cases: null text is empty; a null path has no directory and inherits nothing; repeated rows
+are scanned as rows of their own; of several licence files in a directory the one with the best
+score counts, then the least path, then the least id; an empty table gives an empty result. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -56,7 +57,18 @@ NOTICES: list[tuple[str, str]] = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. https://fsf.org/ Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. https://fsf.org/ Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. https://fsf.org/ Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
 ]
+#: How a file names its licence by identifier. Only the whole line counts, whatever the threshold.
+IDENTIFIER = "SPDX-License-Identifier: "
+_WHOLE_LINE = 0.999
 #: File names of licence texts.
 FILE_NAME = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([.-][^/]*)?$"
 _TYPICAL = re.compile(r"licen|copyright|permi|redistribut|apache|mozilla|gnu$|creative|commons|bsd$|mit$|cc0?$|spdx|unencumbered|eclipse|warrant|domain")
@@ -71,8 +83,9 @@ class Templates:
     names: list[str]
     vocabulary: np.ndarray  # sorted hashes of the notices' words
     typical: np.ndarray  # which of them are typical of licences
-    counts: np.ndarray  # notice x word
-    longest: int
+    counts: np.ndarray  # template x word
+    least: np.ndarray  # cosine that a template needs besides the threshold
+    lengths: np.ndarray  # words of the templates, each number once
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,6 +95,9 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def templates(notices: list[tuple[str, str]] = NOTICES) -> Templates:
+    named = [(name, IDENTIFIER + name) for name in dict.fromkeys(name for name, _ in notices)]
+    least = np.array([0.0] * len(notices) + [_WHOLE_LINE] * len(named))
+    notices = [*notices, *named]
     chunk = next(_bytes.chunks(pa.array([t for _, t in notices], pa.large_string())))
     hashes, _, rows = _words(chunk.data, chunk.offsets)
     vocabulary, at = np.unique(hashes, return_inverse=True)
@@ -92,7 +108,7 @@ def templates(notices: list[tuple[str, str]] = NOTICES) -> Templates:
     hashes, _, _ = _words(keys.data, keys.offsets)
     typical = np.zeros(len(vocabulary), dtype=bool)
     typical[np.searchsorted(vocabulary, hashes[[bool(_TYPICAL.search(w)) for w in plain]])] = True
-    return Templates([n for n, _ in notices], vocabulary, typical, counts, int(counts.sum(axis=1).max()))
+    return Templates([n for n, _ in notices], vocabulary, typical, counts, least, np.unique(counts.sum(axis=1)))
 
 
 def _place(known: Templates, hashes: np.ndarray) -> np.ndarray:
@@ -116,16 +132,19 @@ def _frequencies(known: Templates):
 
 
 def _cosines(known: Templates, idf: np.ndarray, rare: float, counts: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best notice of each passage and its cosine. counts: passage x word; others: words outside."""
+    """Best template of each passage and its cosine, 0 where the template needs more than that.
+    counts: passage x word; others: words outside."""
     a, b = counts * idf, known.counts * idf
     norm = np.sqrt((a * a).sum(axis=1) + others * rare * rare)
     cosine = (a @ b.T) / np.maximum(norm[:, None] * np.sqrt((b * b).sum(axis=1)), 1e-12)
+    cosine[cosine < known.least] = 0
     best = cosine.argmax(axis=1)
     return best, cosine[np.arange(len(best)), best]
 
 
-def _passages(known: Templates, chunk: _bytes.Chunk, whole: float):
-    """Of a chunk: row, first and last line, word counts of each passage worth comparing; words of each row."""
+def _passages(known: Templates, chunk: _bytes.Chunk, most_gap: int):
+    """Of a chunk: row, word counts and outside words of each passage worth comparing, some at a
+    time; and the words of each row."""
     hashes, starts, rows = _words(chunk.data, chunk.offsets)
     size = len(known.vocabulary)
     in_row = np.bincount(rows, minlength=len(chunk)) if len(rows) else np.zeros(len(chunk), dtype=np.int64)
@@ -134,46 +153,58 @@ def _passages(known: Templates, chunk: _bytes.Chunk, whole: float):
     line = np.searchsorted(breaks, starts) + rows  # grows from line to line and from row to row
     marked = np.zeros(len(at), dtype=bool)
     marked[at >= 0] = known.typical[at[at >= 0]]
-    lines = np.unique(line[marked])
-    if not len(lines):
-        return [], in_row
-    picked = np.isin(line, lines)
-    index = np.searchsorted(lines, line[picked])
-    counts, others = np.zeros((len(lines), size)), np.zeros(len(lines))
-    inside = at[picked] >= 0
-    np.add.at(counts, (index[inside], at[picked][inside]), 1)
-    np.add.at(others, index[~inside], 1)
-    row_of = np.zeros(len(lines), dtype=np.int64)
-    row_of[index] = rows[picked]
-    passages = [(int(row_of[i]), counts[i], others[i]) for i in range(len(lines))]
-    run = 0
-    for i in range(1, len(lines) + 1):  # runs of neighbouring lines
-        if i == len(lines) or lines[i] != lines[i - 1] + 1 or row_of[i] != row_of[i - 1]:
-            if i - run > 1:
-                passages.append((int(row_of[run]), counts[run:i].sum(axis=0), others[run:i].sum()))
-            run = i
-    short = np.unique(row_of[in_row[row_of] <= whole * known.longest])
-    for row in short:
-        own = at[rows == row] if len(short) < 64 else at[np.searchsorted(rows, row) : np.searchsorted(rows, row, side="right")]
-        passages.append((int(row), np.bincount(own[own >= 0], minlength=size).astype(float), float((own < 0).sum())))
-    return passages, in_row
-
-
-def _scanned(known: Templates, idf: np.ndarray, rare: float, threshold: float, whole: float):
+    typical, where = np.unique(line[marked], return_index=True)
+    if not len(typical):
+        return iter(()), in_row
+    row_of = rows[marked][where]
+    new = np.concatenate(([True], (np.diff(row_of) != 0) | (np.diff(typical) > most_gap + 1)))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(typical)) - 1
+    index_of = np.full(int(line.max()) + 2, -1, dtype=np.int64)  # which run of picked lines a line is in
+
+    def all_runs() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for k, (i, j) in enumerate(zip(first, last, strict=True)):
+            index_of[typical[i] : typical[j] + 1] = k
+        run = index_of[line]
+        picked = np.flatnonzero(run >= 0)
+        edges = np.searchsorted(run[picked], np.arange(len(first) + 1))  # words come run by run
+        for k, (i, j) in enumerate(zip(first, last, strict=True)):
+            own = picked[edges[k] : edges[k + 1]]
+            lines, which = np.unique(line[own], return_inverse=True)
+            words = np.bincount(which)
+            before = np.concatenate(([0], np.cumsum(words)))
+            ends = [np.arange(len(lines)) + 1]  # single lines, then windows as long as a template
+            ends += [np.minimum(np.searchsorted(before, before[:-1] + n), len(lines)) for n in known.lengths]
+            windows = np.unique(np.stack((np.tile(np.arange(len(lines)), len(ends)), np.concatenate(ends))), axis=1).T
+            inside = at[own] >= 0
+            for w in range(0, len(windows), 1024):
+                part = windows[w : w + 1024]
+                low, high = part[:, 0].min(), part[:, 1].max()
+                near = inside & (which >= low) & (which < high)
+                counts = np.zeros((high - low + 1, size))
+                np.add.at(counts, (which[near] - low + 1, at[own][near]), 1)
+                counts = np.cumsum(counts, axis=0)
+                held = counts[part[:, 1] - low] - counts[part[:, 0] - low]
+                yield np.full(len(part), row_of[i]), held, before[part[:, 1]] - before[part[:, 0]] - held.sum(axis=1)
+
+    return all_runs(), in_row
+
+
+def _scanned(known: Templates, idf: np.ndarray, rare: float, threshold: float, most_gap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in _bytes.chunks(batch.column("text")):
                 names: list[str | None] = [None] * len(chunk)
                 scores, share = np.zeros(len(chunk)), np.zeros(len(chunk))
-                passages, in_row = _passages(known, chunk, whole)
-                for i in range(0, len(passages), 1024):
-                    part = passages[i : i + 1024]
-                    best, cosine = _cosines(known, idf, rare, np.array([c for _, c, _ in part]), np.array([o for _, _, o in part]))
-                    for (row, counts, others), k, value in zip(part, best, cosine, strict=True):
-                        if value >= threshold:
-                            if value > scores[row] or (value == scores[row] and known.names[k] < (names[row] or "~")):
-                                names[row], scores[row] = known.names[k], value
-                            share[row] = max(share[row], (counts.sum() + others) / max(in_row[row], 1))
+                passages, in_row = _passages(known, chunk, most_gap)
+                for rows, counts, others in passages:
+                    best, cosine = _cosines(known, idf, rare, counts, others)
+                    words = counts.sum(axis=1) + others
+                    for i in np.flatnonzero(cosine >= threshold):
+                        row, name = rows[i], known.names[best[i]]
+                        if cosine[i] > scores[row] or (cosine[i] == scores[row] and name < (names[row] or "~")):
+                            names[row], scores[row] = name, cosine[i]
+                        share[row] = max(share[row], words[i] / max(in_row[row], 1))
                 kept = [batch.column(c).slice(chunk.first, len(chunk)) for c in ("doc_id", "path")]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores), pa.array(share)], names=["doc_id", "path", "license", "score", "share"])
 
@@ -185,11 +216,8 @@ def parent(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def scan(df: DataFrame, path: Column, key: str = "doc_id", text: str = "text", notices: list[tuple[str, str]] = NOTICES, threshold: float = 0.75, whole_factor: float = 4.0, most_depth: int = 64) -> DataFrame:
-    """One row per text: doc_id, path, license, score, origin (own, inherited, none), from_doc_id.
-
-    Paths deeper than ``most_depth`` directories look at the ``most_depth`` nearest ones.
-    """
+def scan(df: DataFrame, path: Column, key: str = "doc_id", text: str = "text", notices: list[tuple[str, str]] = NOTICES, threshold: float = 0.75, most_gap: int = 3) -> DataFrame:
+    """One row per text: doc_id, path, license, score, origin (own, inherited, none), from_doc_id."""
     known = templates(notices)
     files = df.select(df[key].alias("doc_id"), path.alias("path"), df[text].alias("text"))
     counted = files.select("text").mapInArrow(_frequencies(known), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -199,7 +227,7 @@ def scan(df: DataFrame, path: Column, key: str = "doc_id", text: str = "text", n
     n = files.count()
     idf = 1 + np.log((1 + n) / (1 + frequency))
     kind = files.schema["doc_id"].dataType.simpleString()
-    own = materialise(files.mapInArrow(_scanned(known, idf, float(idf.max()), threshold, whole_factor), f"doc_id {kind}, path string, license string, score double, share double"), "licences")
+    own = materialise(files.mapInArrow(_scanned(known, idf, float(idf.max()), threshold, most_gap), f"doc_id {kind}, path string, license string, score double, share double"), "licences")
 
     files = own.filter("license IS NOT NULL AND path IS NOT NULL").filter(F.col("path").rlike(FILE_NAME) | (F.col("share") >= 0.5))
     best = F.min(F.struct((-F.col("score")).alias("s"), "path", "doc_id", "license", "score"))
@@ -207,7 +235,7 @@ def scan(df: DataFrame, path: Column, key: str = "doc_id", text: str = "text", n
     dirs = own.filter("path IS NOT NULL").select(parent(F.col("path")).alias("of")).distinct()
     parts = F.split("of", "/")
     depth = F.size(parts)
-    above = F.transform(F.sequence(depth, F.greatest(F.lit(0), depth - most_depth)), lambda k: F.struct(F.array_join(F.slice(parts, 1, k), "/").alias("dir"), k.alias("depth")))
+    above = F.transform(F.sequence(depth, F.lit(0)), lambda k: F.struct(F.array_join(F.slice(parts, 1, k), "/").alias("dir"), k.alias("depth")))
     nearest = dirs.select("of", F.inline(above)).distinct().join(held, "dir").groupBy("of").agg(F.max(F.struct("depth", "best")).alias("near")).select("of", F.col("near.best").alias("best"))
     joined = own.withColumn("of", F.when(F.col("license").isNull(), parent(F.col("path")))).join(nearest, "of", "left")
     mine, theirs = F.col("license").isNotNull(), F.col("best").isNotNull()

@@ -24,6 +24,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,51 +65,63 @@ class Same:
     def __init__(self, value, n: int):
         self.value, self.n = value, n
 
-    def __len__(self) -> int:
-        return self.n
-
     def __getitem__(self, i):
-        return Same(self.value, len(range(*i.indices(self.n)))) if isinstance(i, slice) else self.value
+        return self.value
+
 
-    def __iter__(self):
-        return iter([self.value] * self.n)
+def _at(values: range | Same | np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The values at these places. A range begins at 0."""
+    if isinstance(values, range):
+        return places
+    return np.full(len(places), values.value) if isinstance(values, Same) else values[places]
 
 
 class Layer:
-    """Bytes with, for each, the span of the text it came from, and whether it was decoded."""
+    """Bytes with, for each, the span of the text it came from, and whether it was decoded.
+
+    Only bytes that stand under an encoding hold numbers of their own: the text itself is a range,
+    and what was unpacked from one payload is one span.
+    """
 
-    def __init__(self, data: bytes, starts: list[int] | range | Same, ends: list[int] | range | Same, decoded: list[bool] | Same | None, via: str):
+    def __init__(self, data: bytes, starts: range | Same | np.ndarray, ends: range | Same | np.ndarray, decoded: np.ndarray | Same | None, via: str):
         self.data, self.starts, self.ends, self.decoded, self.via = data, starts, ends, decoded, via
 
     def span(self, a: int, b: int) -> tuple[int, int]:
-        return self.starts[a], self.ends[b - 1]
+        return int(self.starts[a]), int(self.ends[b - 1])
 
     def fresh(self, a: int, b: int) -> bool:
-        return self.decoded is not None and any(self.decoded[a:b])
+        if self.decoded is None or isinstance(self.decoded, Same):
+            return self.decoded is not None
+        return bool(self.decoded[a:b].any())
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | None:
     """The layer with each match of ``pattern`` decoded, None if nothing is."""
-    out, starts, ends, flags, at = bytearray(), [], [], [], 0
+    out, cuts, at = bytearray(), [], 0
     for m in pattern.finditer(layer.data):
         piece = decode(m)
         if piece is None:
             continue
         a, b = m.span()
-        kept = range(at, a)
         out += layer.data[at:a] + piece
-        starts += [layer.starts[i] for i in kept] + [layer.starts[a]] * len(piece)
-        ends += [layer.ends[i] for i in kept] + [layer.ends[b - 1]] * len(piece)
-        flags += [bool(layer.decoded and layer.decoded[i]) for i in kept] + [True] * len(piece)
+        cuts.append((a, b, len(piece)))
         at = b
-    if not at:
+    if not cuts:
         return None
-    rest = range(at, len(layer.data))
     out += layer.data[at:]
-    starts += [layer.starts[i] for i in rest]
-    ends += [layer.ends[i] for i in rest]
-    flags += [bool(layer.decoded and layer.decoded[i]) for i in rest]
-    return Layer(bytes(out), starts, ends, flags, f"{layer.via}>{name}")
+    a, b, n = np.array(cuts, dtype=np.int64).T
+    # runs of bytes in turn: kept as they are, decoded, kept, ..., kept
+    begins, sizes = np.empty(2 * len(a) + 1, dtype=np.int64), np.empty(2 * len(a) + 1, dtype=np.int64)
+    begins[0], begins[2::2], begins[1::2] = 0, b, a
+    sizes[1::2], sizes[0::2] = n, np.append(a, len(layer.data)) - begins[0::2]
+    new = np.repeat(np.arange(len(sizes)) % 2 == 1, sizes)
+    within = np.arange(len(out)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = np.repeat(begins, sizes) + np.where(new, 0, within)
+    last = first.copy()
+    last[new] = np.repeat(b - 1, n)
+    old = new if layer.decoded is None else new | _at(layer.decoded, first).astype(bool)
+    ends = last + 1 if isinstance(layer.ends, range) else _at(layer.ends, last)
+    return Layer(bytes(out), _at(layer.starts, first), ends, old, f"{layer.via}>{name}")
 
 
 def _escaped(m: re.Match) -> bytes | None:
@@ -165,15 +178,18 @@ def _base64(layer: Layer, a: int, b: int) -> Iterator[Layer]:
     """The layers under a base64 run, and under what is compressed in it, at each alignment."""
     raw = layer.data[a:b].rstrip(b"=")
     run = _BREAK.sub(b"", raw)
-    places: range | list[int] = range(a, a + len(raw)) if len(run) == len(raw) else [a + i for i, c in enumerate(raw) if c not in b"\x20\t\r\n"]
+    places = np.arange(a, a + len(raw))
+    if len(run) < len(raw):
+        places = places[~np.isin(np.frombuffer(raw, dtype=np.uint8), np.frombuffer(b"\x20\t\r\n", dtype=np.uint8))]
     run = run.translate(bytes.maketrans(b"-_", b"+/"))
     for k in range(4):
         part = run[k : len(run) - ((len(run) - k) % 4 == 1)]
         data = base64.b64decode(part + b"=" * (-len(part) % 4))
         if len(data) < _LEAST:
             continue
-        starts = [layer.starts[places[k + j * 8 // 6]] for j in range(len(data))]
-        ends = [layer.ends[places[k + (j * 8 + 7) // 6]] for j in range(len(data))]
+        j = np.arange(len(data)) * 8
+        starts, last = _at(layer.starts, places[k + j // 6]), places[k + (j + 7) // 6]
+        ends = last + 1 if isinstance(layer.ends, range) else _at(layer.ends, last)
         for name, s, e, inner in _payloads(data):
             n = len(inner)
             yield Layer(inner, Same(starts[s], n), Same(layer.ends[b - 1] if e >= len(data) else ends[e - 1], n), Same(True, n), f"{layer.via}>base64>{name}")
@@ -212,13 +228,17 @@ def scan_text(text: bytes) -> list[dict]:
             elif layer.fresh(a, b):
                 found.setdefault((kind, *layer.span(a, b)), (False, layer.via))
         for inner in unwrapped(layer):
-            mark = (inner.data, inner.starts[0] if inner.data else 0)
+            mark = (inner.data, int(inner.starts[0]) if inner.data else 0)
             if mark not in seen:
                 seen.add(mark)
                 work.append(inner)
     if not found:
         return []
-    at = (lambda i: i) if text.isascii() else (lambda i: len(text[:i].decode("utf-8", "ignore")))
+    if text.isascii():
+        at = int
+    else:  # characters begin at bytes that continue none
+        before = np.concatenate(([0], np.cumsum((np.frombuffer(text, dtype=np.uint8) & 0xC0) != 0x80)))
+        at = lambda i: int(before[i])
     rows = [{"kind": k, "start": at(a), "end": at(b), "base": base, "via": via} for (k, a, b), (base, via) in found.items()]
     return sorted(rows, key=lambda r: (r["start"], KINDS.index(r["kind"]), r["end"]))
 
