@@ -9,8 +9,10 @@ own, the few substrings that could be such a segment.
 
 A segment that many lines share would pair them all. Lines that meet in such a hot segment are
 cut finer: of ``fine`` segments all but t stand unchanged, and the key is made from all of those
-together. What still meets also needs nearly the same counts of characters, in 16 classes. Both
-are necessary for a link, so none is lost.
+together. What still meets is tested in the join itself: it needs nearly the same counts of
+characters, in 16 classes, and similar middles between the common ends. All of that is necessary
+for a link, so none is lost, and unlike lines emit no pair. The comparisons inside what still meets
+grow with the square of its size; the rows do not.
 
 Candidates are verified by the banded bit-parallel recurrence on what remains between their common
 beginning and end.
@@ -242,6 +244,20 @@ def _may_be_near(x: Column, y: Column, edits: int) -> Column:
     return found
 
 
+def _may_link(x: Column, y: Column, edits: int) -> Column:
+    """Necessary for ``x`` and the not shorter ``y`` to be within ``edits``: what remains between
+    their common beginning and end may be."""
+
+    def inside(head: Column) -> Column:
+        def middles(tail: Column) -> Column:
+            cut = lambda c: F.substring(c, head + 1, F.length(c) - head - tail)
+            return _let(F.struct(cut(x).alias("x"), cut(y).alias("y")), lambda m: _may_be_near(m["x"], m["y"], edits))
+
+        return _let(_shared(x, y, F.length(x) - head, F.right), middles)
+
+    return _let(_shared(x, y, F.length(x), F.left), inside)
+
+
 def verified(pairs: DataFrame, edits: int, chars_per_edit: int) -> DataFrame:
     """Of (a, b, xa, xb), ids and lines, those near enough; the common ends are cut off first."""
     shorter = F.length("xa") <= F.length("xb")
@@ -298,9 +314,11 @@ def line_links(texts: DataFrame, edits: int, chars_per_edit: int, hot: int, fine
     cold = materialise(_met(indexed.join(shared, "key", "left_anti"), probes), "cold-pairs")
     inside = indexed.join(shared, "key", "left_semi").select("node").union(probes.join(shared, "key", "left_semi").select("node")).distinct()
     dense = materialise(_of_nodes(long, materialise(inside, "hot-nodes"), most_broadcast).withColumn("counts", character_counts(line)), "hot-lines")
-    fine_indexed = _keyed(dense, fine_keys(line, n, edits, chars_per_edit, fine, False), "node", "counts")
-    fine_probes = _keyed(dense, fine_keys(line, n, edits, chars_per_edit, fine, True), "node", "counts")
-    hot_pairs = _met(fine_indexed, fine_probes, _counts_apart(F.col("i.counts"), F.col("p.counts")) <= 2 * edits)
+    fine_indexed = _keyed(dense, fine_keys(line, n, edits, chars_per_edit, fine, False), "node", "counts", "line")
+    fine_probes = _keyed(dense, fine_keys(line, n, edits, chars_per_edit, fine, True), "node", "counts", "line")
+    # tested where they meet, so that a group of unlike lines that share segments emits no pairs
+    likely = (_counts_apart(F.col("i.counts"), F.col("p.counts")) <= 2 * edits) & _may_link(F.col("i.line"), F.col("p.line"), edits)
+    hot_pairs = _met(fine_indexed, fine_probes, likely)
     pairs = materialise(cold.union(hot_pairs).distinct(), "line-pairs")
     needed = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "paired-nodes")
     full = _of_nodes(long, needed, most_broadcast)
