@@ -48,7 +48,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: SQL cannot express the stages; a test runs them and holds each against plain Python.
+#: SQL cannot express the stages; a test runs them all and holds them against plain Python, near dedup
+#: against the report of its operator, which has a brute-force test of its own.
 ORACLE_SQL: str | None = None
 
 
