@@ -298,9 +298,10 @@ def _of_nodes(texts: DataFrame, nodes: DataFrame, most_broadcast: int) -> DataFr
 
 
 def _met(indexed: DataFrame, probes: DataFrame, more: Column | None = None) -> DataFrame:
-    """Candidate pairs (a, b), the lesser id first, each once."""
+    """Candidate pairs (a, b), the lesser id first, each once. Who meets an index row without a node
+    is paired with itself."""
     i, p = indexed.alias("i"), probes.alias("p")
-    on = (F.col("i.key") == F.col("p.key")) & (F.col("i.node") != F.col("p.node"))
+    on = (F.col("i.key") == F.col("p.key")) & ~F.col("i.node").eqNullSafe(F.col("p.node"))
     return i.join(p, on if more is None else on & more).select(F.least("i.node", "p.node").alias("a"), F.greatest("i.node", "p.node").alias("b")).distinct()
 
 
@@ -311,15 +312,18 @@ def line_links(texts: DataFrame, edits: int, chars_per_edit: int, hot: int, fine
     indexed = _keyed(long, index_keys(line, n, edits, chars_per_edit), "node")
     probes = _keyed(long, probe_keys(line, n, edits, chars_per_edit), "node")
     shared = materialise(indexed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > hot).select("key"), "hot-keys")
-    cold = materialise(_met(indexed.join(shared, "key", "left_anti"), probes), "cold-pairs")
-    inside = indexed.join(shared, "key", "left_semi").select("node").union(probes.join(shared, "key", "left_semi").select("node")).distinct()
-    dense = materialise(_of_nodes(long, materialise(inside, "hot-nodes"), most_broadcast).withColumn("counts", character_counts(line)), "hot-lines")
+    # one row stands for a hot key in the index, so the same join finds the pairs of the other keys and
+    # the lines of the hot ones; a line's own segments are among its probes, so no line is missed
+    marked = indexed.join(shared, "key", "left_anti").select("key", "node").union(shared.select("key", F.lit(None).cast("long").alias("node")))
+    met = materialise(_met(marked, probes), "cold-pairs")
+    inside = met.filter("a = b").select(F.col("a").alias("node"))
+    dense = materialise(_of_nodes(long, inside, most_broadcast).withColumn("counts", character_counts(line)), "hot-lines")
     fine_indexed = _keyed(dense, fine_keys(line, n, edits, chars_per_edit, fine, False), "node", "counts", "line")
     fine_probes = _keyed(dense, fine_keys(line, n, edits, chars_per_edit, fine, True), "node", "counts", "line")
     # tested where they meet, so that a group of unlike lines that share segments emits no pairs
     likely = (_counts_apart(F.col("i.counts"), F.col("p.counts")) <= 2 * edits) & _may_link(F.col("i.line"), F.col("p.line"), edits)
     hot_pairs = _met(fine_indexed, fine_probes, likely)
-    pairs = materialise(cold.union(hot_pairs).distinct(), "line-pairs")
+    pairs = materialise(met.filter("a <> b").union(hot_pairs).distinct(), "line-pairs")
     needed = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "paired-nodes")
     full = _of_nodes(long, needed, most_broadcast)
     of = lambda c: full.select(F.col("node").alias(c), F.col("line").alias(f"x{c}"))
