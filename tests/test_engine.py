@@ -221,8 +221,9 @@ ARTICLE = """<html><head><script type="application/ld+json">{"@type": "Article",
 
 
 def test_pages(spark):
-    df = spark.createDataFrame([(GRAPH, "linked"), (LABELLED, "labelled"), (ARTICLE, "article"), ("<p>none</p>", "article")], "h string, s string")
-    got = {s: json.loads(r) if (r := df.filter(F.col("s") == s).select(F.to_json(pages.page_record(F.col("h"), F.lit("u"), s))).first()[0]) else None for s in ("linked", "labelled", "article")}
+    df = spark.createDataFrame([(GRAPH, "linked"), (LABELLED, "labelled"), (ARTICLE, "article"), ("<p>none</p>", "none")], "h string, s string").withColumn("u", F.lit("u"))
+    got = {s: json.loads(r) if (r := pages.page_records(df.filter(F.col("s") == s), "h", "u", s).select(F.to_json("record")).first()[0]) else None for s in ("linked", "labelled", "article")}
+    assert pages.page_records(df.filter("s = 'none'"), "h", "u", "article").first()["record"] is None
     jp = got["linked"]["job_posting"]
     assert jp["hiringOrganization"]["name"] == "Inn" and jp["jobLocation"]["address"]["addressLocality"] == "Embu" and got["linked"]["page_meta"]["og_title"] == "Cook in Embu"
     jp = got["labelled"]["job_posting"]

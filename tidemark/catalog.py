@@ -257,8 +257,8 @@ def html_title_h1_links(spark, d):
 
 @query("page_records")
 def page_records(spark, d):
-    record = pages.page_record(F.col("html"), F.col("url"), "article")
-    return read(spark, d, "pages").select("page_id", F.try_variant_get(record, "$.job_posting.title", "string").alias("title"), F.length(F.try_variant_get(record, "$.job_posting.description", "string")).alias("chars"))
+    found = pages.page_records(read(spark, d, "pages"), style="article")
+    return found.select("page_id", F.try_variant_get("record", "$.job_posting.title", "string").alias("title"), F.length(F.try_variant_get("record", "$.job_posting.description", "string")).alias("chars"))
 
 
 @query("html_to_text")
