@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import classify, dates, stats
+from tidemark.operators.selection import percentiles
+from tidemark.shared import kept
 
 Tables = dict[str, DataFrame]
 TECH = ["Data & Analytics", "Software & IT"]
@@ -24,6 +26,11 @@ def rounded(x: Column, digits: int) -> Column:
     return F.round(x.cast("decimal(38,9)"), digits).cast("double")
 
 
+def _named(found: DataFrame, group: str) -> DataFrame:
+    """``found`` with its group under another name, to be joined null-safe."""
+    return found.withColumnRenamed(group, f"of_{group}")
+
+
 def live(t: Tables) -> DataFrame:
     return t["fact"].filter(~F.col("is_duplicate"))
 
@@ -56,17 +63,11 @@ def hiring_by_county(t: Tables) -> DataFrame:
 
 def salary_by_seniority(t: Tables) -> DataFrame:
     mid = F.col("salary_mid_monthly_kes")
-    return (
-        live(t)
-        .filter("has_salary")
-        .groupBy("seniority")
-        .agg(
-            F.count(F.lit(1)).alias("postings_with_salary"),
-            rounded(F.avg(mid), 0).alias("avg_band_midpoint_kes"),
-            rounded(F.percentile(mid.cast("double"), 0.5), 0).alias("median_band_midpoint_kes"),
-        )
-        .orderBy(F.desc("postings_with_salary"), "seniority")
-    )
+    paid = kept(live(t).filter("has_salary").select("seniority", mid), "paid")
+    counted = paid.groupBy("seniority").agg(F.count(F.lit(1)).alias("postings_with_salary"), rounded(F.avg(mid), 0).alias("avg_band_midpoint_kes"))
+    median = _named(percentiles(paid, ["seniority"], mid, {"median": 0.5}), "seniority")
+    rows = counted.join(median, F.col("seniority").eqNullSafe(F.col("of_seniority")), "left")
+    return rows.select("seniority", "postings_with_salary", "avg_band_midpoint_kes", rounded(F.col("median"), 0).alias("median_band_midpoint_kes")).orderBy(F.desc("postings_with_salary"), "seniority")
 
 
 def advertised_window(t: Tables) -> DataFrame:
@@ -176,12 +177,14 @@ def skill_demand(base: DataFrame, dim_skill: DataFrame, least_tech: int = 10, re
 
 
 def county_summary(base: DataFrame, least_salary: int = 5, reliable: int = 10) -> DataFrame:
-    located = base.filter(F.col("location_type") == "county")
+    located = kept(base.filter(F.col("location_type") == "county").select("county_name", "source", "has_salary", "salary_mid_kes"), "located")
     n, paid = F.count(F.lit(1)), F.count_if("has_salary")
     counted = located.groupBy("county_name").agg(
         n.alias("postings"), F.countDistinct("source").alias("sources"), paid.alias("n_salary"),
-        F.when(paid >= least_salary, rounded(F.percentile(F.when(F.col("has_salary"), F.col("salary_mid_kes").cast("double")), 0.5), 0)).alias("median_salary_band_mid_kes"),
     )
+    median = _named(percentiles(located.filter("has_salary"), ["county_name"], F.col("salary_mid_kes"), {"median": 0.5}), "county_name")
+    counted = counted.join(median, F.col("county_name").eqNullSafe(F.col("of_county_name")), "left").drop("of_county_name")
+    counted = counted.withColumn("median_salary_band_mid_kes", F.when(F.col("n_salary") >= least_salary, rounded(F.col("median"), 0)))
     every = F.sum("postings").over(Window.partitionBy(F.lit(0)))  # a row for each county
     rows = counted.withColumn("n_located", every)
     k, total = F.col("postings"), F.col("n_located")
@@ -202,11 +205,14 @@ def weekly_new(base: DataFrame) -> DataFrame:
 
 def advertised_window_stats(base: DataFrame) -> DataFrame:
     """Quartiles of the advertised window by source, and over all; the last row is there without data too."""
-    days = F.col("days_advertised")
+    rows, days = kept(base.select("source", "days_advertised"), "advertised"), F.col("days_advertised")
     n, known = F.count(F.lit(1)), F.count("days_advertised")
-    quartile = lambda p, name: rounded(F.percentile(days.cast("double"), p), 1).alias(name)
-    columns = [n.alias("postings"), known.alias("with_window"), pct(known, n).alias("pct_with_window"), quartile(0.25, "p25_days"), quartile(0.5, "median_days"), quartile(0.75, "p75_days")]
-    return base.groupBy("source").agg(*columns).unionByName(base.agg(*columns).withColumn("source", F.lit("all")))
+    columns = [n.alias("postings"), known.alias("with_window"), pct(known, n).alias("pct_with_window")]
+    quartiles = {"p25_days": 0.25, "median_days": 0.5, "p75_days": 0.75}
+    shown = [F.col(c) for c in ("source", "postings", "with_window", "pct_with_window")] + [rounded(F.col(c), 1).alias(c) for c in quartiles]
+    by_source = rows.groupBy("source").agg(*columns).join(_named(percentiles(rows, ["source"], days, quartiles), "source"), F.col("source").eqNullSafe(F.col("of_source")), "left")
+    over_all = rows.agg(F.lit("all").alias("source"), *columns).join(percentiles(rows, [], days, quartiles), F.lit(True), "left")  # a row each
+    return by_source.select(*shown).unionByName(over_all.select(*shown))
 
 
 def feed_depth(t: Tables) -> DataFrame:
@@ -243,7 +249,7 @@ def lifetime_summary(observations: DataFrame, depth: DataFrame, least_events: in
     reading of the source shows."""
     counted = observations.groupBy("source").agg(F.count(F.lit(1)).alias("cohort_postings"), F.count_if("left_listing").alias("left_listing"))
     median = lifetime_km(observations).filter("survival <= 0.5").groupBy("source").agg(F.min("age_days").alias("median_days"))
-    window = depth.groupBy("source").agg(F.percentile(F.col("window_days").cast("double"), 0.5).alias("w"))
+    window = percentiles(depth, ["source"], F.col("window_days"), {"w": 0.5})
     rows = counted.join(median, "source", "left").join(window, "source", "left")
     # three-valued: too few events or no median settle it, an unknown window leaves it open
     trusted = (F.col("left_listing") >= least_events) & F.col("median_days").isNotNull() & (F.col("median_days") > 1.5 * F.col("w"))
