@@ -138,7 +138,7 @@ def _climb(placed: DataFrame, key_type: str, steps: int, groups: int, run: int,
     return tables
 
 
-def _descend(tables: list[DataFrame], key_type: str, rows_per_task: int) -> list[DataFrame]:
+def _descend(tables: list[DataFrame], key_type: str, run: int, rows_per_task: int) -> list[DataFrame]:
     """The table of each reverse superstep: its parents with their children and their own path."""
     spark = tables[-1].sparkSession
     schema = f"tree long, children array<{_CHILD.format(key=key_type)}>, {_PATH}"
@@ -147,7 +147,7 @@ def _descend(tables: list[DataFrame], key_type: str, rows_per_task: int) -> list
     pending, found = spark.sparkContext.parallelize([start], 1), []
     for step in range(len(tables), 0, -1):
         done = tables[step - 1].filter("digest IS NOT NULL")
-        tasks = pieces(done.count(), rows_per_task)
+        tasks = pieces(done.count() * run, rows_per_task)  # a parent brings all its children
         paths = pending.filter(lambda m, step=step: m[0] == step).map(lambda m: m[1:])
         met = done.rdd.map(lambda v: ((v.tree, v.level, v.place), [tuple(child) for child in v.children])).join(paths, tasks)
         rows = met.map(lambda item: (item[0][0], item[1][0], *item[1][1]))
@@ -189,7 +189,7 @@ def manifest(leaves: DataFrame, key: str, group: str, leaf: str, seen: str, run:
     for table in tables:
         done = table.filter("digest IS NOT NULL").select("tree", "level", "place", "digest")
         nodes = done if nodes is None else nodes.unionByName(done)
-    for table in _descend(tables, key_type, rows_per_task):
+    for table in _descend(tables, key_type, run, rows_per_task):
         part = _of_leaves(table)
         proofs = part if proofs is None else proofs.unionByName(part)
     return Manifest(tables[-1].first().digest, nodes, proofs)
