@@ -1,6 +1,6 @@
 """Operator 4: mixing sources to target weights by weighted fair queueing, DataFrame operations only.
 
-Documents of a source queue in a shuffled order (md5 of the id). A copy's virtual finish time is
+Documents of a source queue in a shuffled order (md5 of the id and the text's digest). A copy's virtual finish time is
 the source's cumulative tokens up to and with it, divided by the source's weight; a source may be
 queued ``epochs`` times over. All copies are range-ordered by finish time and the mix ends where
 the running total would pass the budget. That is the fluid allocation min(epochs * size, weight * V)
@@ -11,9 +11,14 @@ digits of its shuffle key, running sums within a bucket start at the sum of the
 and the global order is cut into bins of finish time, of which only the one that holds the cut is
 sorted row by row.
 
-Defined cases: null text has size 0; null source is a source of its own, last in order; null ids
-share one place in the shuffled order; an empty table gives an empty mix; with a total of 0 all
-targets are 0. Extra columns are ignored by the report and returned untouched by ``mix``.
+Rows alike in id, text and source are one entry of the queue with their number, and become rows again
+once the queue has its sums. So the order of the queue is total, reruns agree whatever the order of
+the input, and a row that is repeated often is no hot key of a window.
+
+Defined cases: null text has size 0; null source is a source of its own, last in order; repeated or
+null ids are told apart by their texts; of rows alike in all columns it does not matter which is
+taken; an empty table gives an empty mix; with a total of 0 all targets are 0. Extra columns are
+ignored by the report and returned untouched by ``mix``.
 """
 
 from __future__ import annotations
@@ -21,10 +26,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._tables import mark_of, materialise, unused
+from tidemark.llm._tables import mark_of, materialise, one_of_each, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
-ORDER = ("finish", "place", "epoch", "h", "doc_id")
+ORDER = ("finish", "place", "epoch", "h", "doc_id", "carried", "nth")
+#: Bins of finish time that one running sum goes over.
+BINS = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -38,7 +45,7 @@ def source_targets(sizes: DataFrame, weights: list[int], share: float, epochs: i
     share what is left at a common virtual time; the first k whose time comes before the next
     source runs dry is the answer.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    per = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("alike")).alias("source_size"), F.sum("alike").alias("rows"))
     every = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     dry = Window.partitionBy(F.lit(0)).orderBy("dry", "place")
     before = dry.rowsBetween(Window.unboundedPreceding, -1)
@@ -58,16 +65,22 @@ def source_targets(sizes: DataFrame, weights: list[int], share: float, epochs: i
     )
 
 
-def _queued(sized: DataFrame, sources: DataFrame, bucket_rows: int) -> DataFrame:
-    """Each row with ``upto``, the tokens of its source up to and with it in shuffled order."""
+def _queued(entries: DataFrame, sources: DataFrame, bucket_rows: int) -> DataFrame:
+    """A row for each input row, with its number ``nth`` (from 1) among those alike and ``upto``, the
+    tokens of its source up to and with it in shuffled order."""
     at = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 4294967296.0
-    rows = sized.join(sources.withColumnRenamed("source", "its"), F.col("source").eqNullSafe(F.col("its"))).drop("its")
-    rows = rows.withColumn("bucket", F.floor(at * F.ceil(F.col("rows") / bucket_rows)))
-    sums = rows.groupBy("place", "bucket").agg(F.sum("size").alias("in_bucket"))
+    rows = entries.join(sources.withColumnRenamed("source", "its"), F.col("source").eqNullSafe(F.col("its"))).drop("its")
+    rows = rows.withColumn("bucket", F.floor(at * F.ceil(F.col("rows") / bucket_rows))).withColumn("tokens", F.col("size") * F.col("alike"))
+    sums = rows.groupBy("place", "bucket").agg(F.sum("tokens").alias("in_bucket"))
     earlier = Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("place", "bucket", F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)).alias("start"))
-    within = Window.partitionBy("place", "bucket").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("run", F.sum("size").over(within)).join(starts, ["place", "bucket"]).withColumn("upto", F.col("start") + F.col("run"))
+    within = Window.partitionBy("place", "bucket").orderBy("h", "doc_id", "carried").rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("run", F.sum("tokens").over(within)).join(starts, ["place", "bucket"]).withColumn("before", F.col("start") + F.col("run") - F.col("tokens"))
+    parts = placed.withColumn("part", F.explode(F.sequence(F.lit(1).cast("long"), "alike", F.lit(bucket_rows).cast("long"))))
+    if not entries.filter(F.col("alike") > bucket_rows).isEmpty():
+        parts = parts.repartition("h", "part")  # so that no task makes all rows of one entry
+    last = F.least(F.col("part") + bucket_rows - 1, F.col("alike"))
+    return parts.withColumn("nth", F.explode(F.sequence("part", last))).withColumn("upto", F.col("before") + F.col("nth") * F.col("size")).drop("part", "alike", "tokens", "run", "before", "start")
 
 
 def _copies(queued: DataFrame, epochs: int) -> DataFrame:
@@ -75,15 +88,21 @@ def _copies(queued: DataFrame, epochs: int) -> DataFrame:
     return queued.withColumn("epoch", F.explode(F.array(*[F.lit(e) for e in range(epochs)]))).withColumn("finish", finish)
 
 
+def _passing(sums: DataFrame, by: str, before: int, budget: int):
+    """The first of ``by`` with which the running total of ``n`` passes the budget: (by, run, n)."""
+    run = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)) + F.lit(before)
+    return sums.withColumn("run", run).filter(F.col("run") > budget).agg(F.min(F.struct(by, "run", "n")).alias("x")).first()["x"]
+
+
 def _cut(copies: DataFrame, budget: int, ends: float, bins: int):
     """The place in the global order, as a row of ORDER, of the last copy within the budget."""
     step = F.least(F.floor(F.col("finish") / ends * bins), F.lit(8 * bins)).cast("long") if ends > 0 else F.lit(0).cast("long")
     binned = copies.withColumn("bin", step)
-    per_bin = binned.groupBy("bin").agg(F.sum("size").alias("n"))
-    run = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    held = per_bin.withColumn("run", run).filter(F.col("run") > budget).agg(F.min(F.struct("bin", "run", "n")).alias("x")).first()["x"]
+    per_bin = binned.groupBy("bin").agg(F.sum("size").alias("n")).withColumn("wide", F.floor(F.col("bin") / BINS))
+    held = _passing(per_bin.groupBy("wide").agg(F.sum("n").alias("n")), "wide", 0, budget)
     if held is None:
         return None
+    held = _passing(per_bin.filter(F.col("wide") == held["wide"]), "bin", held["run"] - held["n"], budget)
     order = Window.partitionBy("bin").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     inside = binned.filter(F.col("bin") == held["bin"]).withColumn("run", F.sum("size").over(order) + F.lit(held["run"] - held["n"]))
     last = inside.filter(F.col("run") <= budget).agg(F.max(F.struct(*ORDER)).alias("x")).first()["x"]
@@ -96,9 +115,9 @@ def mix_plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str
     """One row per input row: doc_id, size, source_size, target, taken, then finish, the virtual
     finish time of its first copy, and copies, how often the mix takes it. ``carry`` is a Column
     to carry along, as column ``carried``."""
-    key_text = F.coalesce(df[key].cast("string"), F.lit(""))
-    carried = [] if carry is None else [carry.alias("carried")]
-    sized = materialise(df.select(*carried, df[key].alias("doc_id"), df[source].alias("source"), word_count(df[text]).alias("size"), F.md5(key_text).alias("h")), "mix-sizes")
+    digest = F.md5(F.concat_ws(":", F.coalesce(df[key].cast("string"), F.lit("")), F.md5(F.coalesce(df[text], F.lit("")))))
+    rows = df.select((F.lit("") if carry is None else carry).alias("carried"), df[key].alias("doc_id"), df[source].alias("source"), word_count(df[text]).alias("size"), digest.alias("h"))
+    sized = materialise(rows.groupBy("h", "doc_id", "carried", "source", "size").agg(F.count(F.lit(1)).alias("alike")), "mix-sizes")
     sources = materialise(source_targets(sized, list(weights), share, epochs), "mix-sources")
     queued = materialise(_queued(sized, sources, bucket_rows), "mix-queue")
     known = sources.agg(F.max("ends"), F.max("budget"), F.sum("rows")).first()
@@ -108,24 +127,23 @@ def mix_plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str
         within = F.lit(0 if known[0] is None else epochs)
     else:
         edge = F.struct(*[F.lit(last[c]).cast(copies.schema[c].dataType).alias(c) for c in ORDER])
-        nth = lambda e: F.struct(((F.lit(e) * F.col("source_size") + F.col("upto")) / F.col("weight")).alias("finish"), F.col("place"), F.lit(e).alias("epoch"), F.col("h"), F.col("doc_id"))
+        nth = lambda e: F.struct(((F.lit(e) * F.col("source_size") + F.col("upto")) / F.col("weight")).alias("finish"), F.col("place"), F.lit(e).alias("epoch"), F.col("h"), F.col("doc_id"), F.col("carried"), F.col("nth"))
         within = sum((F.when(nth(e) <= edge, 1).otherwise(0) for e in range(epochs)), F.lit(0))
     return queued.withColumn("copies", within.cast("long")).select(
-        *["carried" for _ in carried], "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), (F.col("upto") / F.col("weight")).alias("finish"), "copies"
+        *(["carried"] if carry is not None else []), "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), (F.col("upto") / F.col("weight")).alias("finish"), "copies"
     )
 
 
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The mixed rows with the columns of ``df``, a row for each copy, globally sorted by the finish
-    time of the first copy. Rows are told apart by id and text together; rows alike in both are
-    numbered on either side, so ids may be null or repeated."""
+    time of the first copy. Rows are told apart by all their columns; of those alike one stands for
+    all, and comes as often as the plan takes them together."""
     mark, nth, finish, copies = (unused(df, name) for name in ("mark", "nth", "finish", "copies"))
-    plan = mix_plan(df, key, text, carry=mark_of(df[key], df[text]), **options)
+    own = F.concat(mark_of(df[key], df[text]), F.hex(F.xxhash64(*[df[c] for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])))
+    plan = mix_plan(df, key, text, carry=own, **options)
     plan = materialise(plan.select(F.col("carried").alias(mark), F.col("finish").alias(finish), F.col("copies").alias(copies)), "mix-plan")
-    rows, on = df.withColumn(mark, mark_of(df[key], df[text])), [mark]
-    if not plan.groupBy(mark).count().filter("count > 1").isEmpty():
-        alike = Window.partitionBy(mark)
-        rows, plan, on = rows.withColumn(nth, F.row_number().over(alike.orderBy(F.lit(0)))), plan.withColumn(nth, F.row_number().over(alike.orderBy(finish))), [mark, nth]
-    joined = rows.join(plan.filter(F.col(copies) > 0), on)
-    repeated = joined.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
-    return repeated.orderBy(finish, mark, nth).select(*df.columns)
+    repeated = plan.groupBy(mark).count().filter("count > 1")
+    rows = one_of_each(df.withColumn(mark, own), repeated, mark)
+    joined = rows.join(plan.filter(F.col(copies) > 0), mark)
+    taken = joined.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+    return taken.orderBy(finish, mark, nth).select(*df.columns)
