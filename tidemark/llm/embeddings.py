@@ -17,12 +17,13 @@ one center costs about a row a member.
 
 Defined cases: vectors that are null, zero, empty or hold null or non-finite components link with
 nothing; vectors of another length than most are compared only among their own length; rows whose
-id is null link with nothing; ids are taken to be unique, repeated rows count as copies. Extra
-columns are ignored.
+id is null link with nothing; an id may be repeated: every row counts, with the vector that it has, and
+equal vectors are copies whatever their ids. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -200,13 +201,23 @@ def clusters(nodes: DataFrame, coded: DataFrame, threshold: float, first_tables:
     return close.groupBy("node").agg(F.min("head").alias("center"))
 
 
+def _nodes(rows: DataFrame) -> DataFrame:
+    """A row for each distinct vector: v, the least id of its rows, their number, and node, a hash of
+    the vector that no other one has."""
+    nodes = rows.groupBy("v").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    for salt in itertools.count():
+        nodes = materialise(nodes.withColumn("node", F.xxhash64(F.lit(salt), "v")), "vectors")
+        if nodes.groupBy("node").count().filter("count > 1").isEmpty():
+            return nodes
+
+
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, width: float = 2.0, miss: float = 0.03, block: int = 2048, first_tables: int = 16, seed: int = 7) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows = df.select(df[key].cast("long").alias("vec_id"), df[vector].alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     sound = F.coalesce(sound, F.lit(False))
-    nodes = materialise(rows.filter(sound).groupBy("v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "vectors")
+    nodes = _nodes(rows.filter(sound))
     k, many = index_size(nodes.count(), threshold, width, miss)
     coded = materialise(nodes.select("node", "v").mapInArrow(_coded(k, many, width, seed), "node long, t int, code long"), "vector-codes")
     centers = materialise(clusters(nodes, coded, threshold, min(first_tables, many)), "vector-clusters")
@@ -222,9 +233,11 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     sizes = placed.groupBy("center").agg(F.sum("copies").alias("together"))
     stars = centers.select(F.col("node").alias("a"), F.col("center").alias("b"))
     roots = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(stars))
-    known = placed.join(sizes, "center").join(counts, "node", "left").join(roots, "node", "left").select(F.col("v").alias("its"), "node", "together", "links", "root")
+    known = placed.join(sizes, "center").join(counts, "node", "left").join(roots, "node", "left").select(F.col("v").alias("its"), "first", "together", "links", F.coalesce("root", "node").alias("root"))
+    known = materialise(known, "vectors-known")
+    known = known.join(known.groupBy("root").agg(F.min("first").alias("component_id")), "root")
     # equal vectors find their node by value; unsound ones have none
     joined = rows.filter(sound).join(known, F.col("v") == F.col("its"))
-    of_sound = joined.select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("together") - 1).cast("long").alias("n_links"), F.coalesce("root", "node").alias("component_id"))
+    of_sound = joined.select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("together") - 1).cast("long").alias("n_links"), "component_id")
     of_rest = rows.filter(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return of_sound.union(of_rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

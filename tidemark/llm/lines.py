@@ -35,7 +35,7 @@ from itertools import combinations, product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._tables import materialise, unused
+from tidemark.llm._tables import mark_of, materialise, unused
 from tidemark.llm.components import components
 
 #: Fixed value: characters by class; every other character is of none.
@@ -366,10 +366,14 @@ def line_report(df: DataFrame, key: str = "doc_id", text: str = "text", edits: i
 
 
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents without the lines that are near copies of an earlier one."""
-    gone, its = unused(df, "gone"), unused(df, "its_id")
-    lost = line_report(df, key, text, **options).filter(~F.col("kept")).groupBy(F.col("doc_id").alias(its)).agg(F.collect_set("line_no").alias(gone))
-    joined = df.join(lost, df[key].eqNullSafe(lost[its]), "left")
+    """The documents without the lines that are near copies of an earlier one. Rows are told apart by
+    id and text together, so ids may be null or repeated; rows alike in both keep the same lines."""
+    gone, mark = unused(df, "gone"), unused(df, "mark")
+    own = mark_of(df[key], df[text])
+    named = df.select(F.struct(df[key].alias("id"), own.alias("mark")).alias("row"), df[text].alias("text"))
+    report = line_report(named, "row", "text", **options)
+    lost = report.filter(~F.col("kept")).groupBy(F.col("doc_id.mark").alias(mark)).agg(F.collect_set("line_no").alias(gone))
+    joined = df.withColumn(mark, own).join(lost, mark, "left")
     stays = F.filter(F.transform(F.split(df[text], "\n"), lambda x, i: F.when(~F.array_contains(gone, i), x)), lambda x: x.isNotNull())
     shorter = F.when(F.col(gone).isNull(), df[text]).otherwise(F.array_join(stays, "\n"))
     return joined.select(*[shorter.alias(c) if c == text else df[c] for c in df.columns])
