@@ -128,19 +128,40 @@ def test_term_join_equals_extraction(spark):
     assert sorted(map(tuple, skills.match_terms(docs, "id", "t", terms).collect())) == [(1, "Python"), (1, "SQL")]
 
 
-@pytest.mark.parametrize(
-    "title, industry, category",
-    [
-        ("Data Analyst", None, "Data & Analytics"), ("Software Developer", "Banking", "Software & IT"), ("Account Manager", None, "Sales & Marketing"), ("Accountant", None, "Finance & Accounting"),
-        ("HR Officer", None, "Human Resources"), ("Civil Engineer", None, "Engineering & Construction"), ("Nurse", None, "Health & Medical"), ("Chef", None, "Hospitality & Tourism"), ("Driver", None, "Logistics & Supply Chain"),
-        ("Teacher", None, "Education & Training"), ("Agronomist", None, "Agriculture & Environment"), ("Field Officer", None, "NGO & Development"), ("Legal Counsel", None, "Legal & Compliance"), ("Office Assistant", None, "Admin & Support"),
-        ("Widget Polisher", "Healthcare", "Health & Medical"), ("Widget Polisher", None, "Other"), (None, "ICT", "Software & IT"), (None, None, "Other"),
-    ],
-)
-def test_categories(spark, title, industry, category):
-    df = spark.createDataFrame([(1, title, industry)], "k int, t string, i string")
-    assert df.select(classify.classify_category(F.col("t"), F.col("i"))).first()[0] == category
-    assert classify.classify_by_table(df, "k", "t", "i", classify.rules_table(spark)).first()["category"] == category
+CATEGORIES = [
+    ("Data Analyst", None, "Data & Analytics"), ("Software Developer", "Banking", "Software & IT"), ("Account Manager", None, "Sales & Marketing"), ("Accountant", None, "Finance & Accounting"),
+    ("HR Officer", None, "Human Resources"), ("Civil Engineer", None, "Engineering & Construction"), ("Nurse", None, "Health & Medical"), ("Chef", None, "Hospitality & Tourism"), ("Driver", None, "Logistics & Supply Chain"),
+    ("Teacher", None, "Education & Training"), ("Agronomist", None, "Agriculture & Environment"), ("Field Officer", None, "NGO & Development"), ("Legal Counsel", None, "Legal & Compliance"), ("Office Assistant", None, "Admin & Support"),
+    ("Widget Polisher", "Healthcare", "Health & Medical"), ("Widget Polisher", None, "Other"), (None, "ICT", "Software & IT"), (None, None, "Other"),
+]
+
+
+def test_categories(spark):
+    df = spark.createDataFrame([(i, t, f) for i, (t, f, _) in enumerate(CATEGORIES)], "k int, t string, i string")
+    by_chain = {r[0]: r[1] for r in df.select("k", classify.classify_category(F.col("t"), F.col("i"))).collect()}
+    by_table = {r.k: r.category for r in classify.classify_by_table(df, "t", "i", classify.rules_table(spark)).collect()}
+    assert by_chain == by_table == {i: c for i, (_, _, c) in enumerate(CATEGORIES)}
+
+
+def test_first_words_of_patterns():
+    words = lambda p: classify.first_words(classify.whole_words(p))
+    assert words("data (analyst|engineer)|BI") == {("data", True), ("bi", True)}
+    assert words(r"warehouse\w*|accounts?|full[- ]?stack") == {("warehouse", False), ("account", True), ("accounts", True), ("full", True), ("fullstack", True)}
+    assert words("(senior|lead) cook|l&d|[ab]x|x+") == {("senior", True), ("lead", True), ("l", True), ("", False)}
+
+
+def test_rules_as_data_equal_trying_every_pattern(spark):
+    """Rules that begin with literals, parts of words, choices and nothing literal at all."""
+    patterns = ["cooks?", r"bak\w*", "(head|sous)[- ]chef", "[xy]+z", r"\w*smith", "r&d", "café", "the (very )?end", "a"]
+    rules = [(100 - i, f"c{i % 4}", classify.whole_words(p), classify.whole_words(p) if i % 2 else None) for i, p in enumerate(patterns)]
+    words = ["cook", "Cooks", "bakery", "HEAD-CHEF", "souschef", "sous chef", "xyz", "locksmith", "R&D", "Café", "the end", "the very end", "a", "and", "cookshop", "bak", "érd", ""]
+    rows = [(i, f"{words[i % len(words)]} {words[i * 7 % 11]}", words[i * 5 % len(words)] or None) for i in range(90)] + [(90, None, None)]
+    df, table = spark.createDataFrame(rows, "k int, t string, i string"), spark.createDataFrame(rules, "priority int, category string, title_regex string, industry_regex string")
+    got = {r.k: r.category for r in classify.classify_by_table(df, "t", "i", table).collect()}
+    pairs = df.crossJoin(F.broadcast(table))  # a fixture's rows by a fixture's rules
+    hit = lambda text, pattern: F.min(F.when(F.regexp_like(text, pattern), F.struct("priority", "category")))["category"]
+    want = {r.k: r.category for r in pairs.groupBy("k").agg(F.coalesce(hit("t", "title_regex"), hit("i", "industry_regex"), F.lit("Other")).alias("category")).collect()}
+    assert got == want and len(set(got.values())) == 5
 
 
 def test_wilson(spark):

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from re import _parser as parser
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Priority, category, words of titles, words of industries.
 RULES: list[tuple[int, str, str | None, str | None]] = [
@@ -42,17 +46,78 @@ def classify_category(title: Column, industry: Column, rules=None) -> Column:
     return F.lit(OTHER) if chain is None else chain.otherwise(OTHER)
 
 
-def classify_by_table(df: DataFrame, key: str, title: str, industry: str, rules: DataFrame) -> DataFrame:
-    """(key, category) with the rules in a table (priority, category, title_regex, industry_regex),
-    for rules that are edited as data. The table is small, so it is joined by broadcast."""
-    by_title = F.coalesce(F.regexp_like(F.col(title), F.col("title_regex")), F.lit(False))
-    by_industry = F.coalesce(F.regexp_like(F.col(industry), F.col("industry_regex")), F.lit(False))
-    matched = df.select(key, title, industry).join(F.broadcast(rules), by_title | by_industry)
-    best = Window.partitionBy(key).orderBy(by_title.desc(), F.col("priority"))
-    top = matched.withColumn("nth", F.row_number().over(best)).filter("nth = 1").select(key, F.col("category"))
-    return df.select(key).join(top, key, "left").select(key, F.coalesce("category", F.lit(OTHER)).alias("category"))
-
-
 def rules_table(spark, rules=None) -> DataFrame:
     rows = [(p, c, t and whole_words(t), i and whole_words(i)) for p, c, t, i in (RULES if rules is None else rules)]
     return spark.createDataFrame(rows, "priority int, category string, title_regex string, industry_regex string")
+
+
+# ---- rules as data ----
+
+#: How many characters of a word that a pattern leaves open are its key.
+OPEN_KEY = 3
+
+
+def first_words(pattern: str) -> set[tuple[str, bool]]:
+    """The words that a match can begin with, in lower case, and whether each is whole or goes on.
+    An empty word stands for a beginning that is no literal."""
+
+    def walk(items: list, word: str) -> set[tuple[str, bool]]:
+        for at, (kind, value) in enumerate(items):
+            rest = items[at + 1 :]
+            if kind is parser.SUBPATTERN:
+                return walk([*value[-1], *rest], word)
+            if kind is parser.BRANCH:
+                return {x for branch in value[1] for x in walk([*branch, *rest], word)}
+            if kind is parser.MAX_REPEAT and value[1] == 1:
+                return walk(rest, word) | walk([*value[2], *rest], word) if value[0] == 0 else walk([*value[2], *rest], word)
+            if kind is parser.IN and word and all(k is parser.LITERAL and not _in_words(v) for k, v in value):
+                return {(word, True)}
+            if kind is parser.LITERAL and _in_words(value):
+                word += chr(value).lower()
+            elif kind is parser.LITERAL or kind is parser.AT and word:
+                return {(word, bool(word))}
+            elif kind is not parser.AT:
+                break
+        return {(word, False)}
+
+    return walk(list(parser.parse(pattern)), "")
+
+
+def _in_words(code: int) -> bool:
+    return code < 128 and (chr(code).isalnum() or chr(code) == "_")
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def rule_keys(patterns: pd.Series) -> pd.Series:
+    """Under which keys a pattern is to be found: =word, ^beginning of a word, or * for any text."""
+    key = lambda word, whole: f"={word}" if whole else f"^{word[:OPEN_KEY]}" if len(word) >= OPEN_KEY else "*"
+    return patterns.map(lambda p: sorted({key(*x) for x in first_words(p)}), na_action="ignore")
+
+
+def text_keys(text: Column) -> Column:
+    """The keys of all rules that could match a text: each of its words, its beginning, and *."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.upper(text)), F.lit(r"\w+"), F.lit(0)))
+    return F.concat(F.transform(words, lambda w: F.concat(F.lit("="), w)), F.array_distinct(F.transform(words, lambda w: F.concat(F.lit("^"), F.left(w, F.lit(OPEN_KEY))))), F.array(F.lit("*")))
+
+
+def _matched(texts: DataFrame, rules: DataFrame, pattern: str) -> DataFrame:
+    """(text, category): the first rule by priority, then name, whose pattern is in a text."""
+    index = rules.filter(F.col(pattern).isNotNull()).select("priority", "category", F.col(pattern).alias("pattern"), F.explode(rule_keys(pattern)).alias("key"))
+    asked = texts.select("text", F.explode(text_keys(F.col("text"))).alias("key"))
+    likely = asked.join(index, "key").select("text", "priority", "category", "pattern").distinct()
+    return likely.filter(F.regexp_like("text", "pattern")).groupBy("text").agg(F.min(F.struct("priority", "category")).alias("best")).select("text", "best.category")
+
+
+def classify_by_table(df: DataFrame, title: str, industry: str, rules: DataFrame) -> DataFrame:
+    """``df`` with ``category``, by rules that are edited as data: a table (priority, category,
+    title_regex, industry_regex) of any size.
+
+    Rules are indexed under the words that their matches begin with, and the distinct texts look
+    them up under their own words, so that a pattern is tried on texts only that have such a word.
+    """
+    found = df
+    for column, pattern, name in ((title, "title_regex", "by_title"), (industry, "industry_regex", "by_industry")):
+        texts = df.select(F.col(column).alias("text")).filter("text IS NOT NULL").distinct()
+        own = _matched(texts, rules, pattern).select(F.col("text").alias(f"{name}_text"), F.col("category").alias(name))
+        found = found.join(own, F.col(column) == F.col(f"{name}_text"), "left").drop(f"{name}_text")
+    return found.withColumn("category", F.coalesce("by_title", "by_industry", F.lit(OTHER))).drop("by_title", "by_industry")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
+from tidemark.functions import classify
 from tidemark.lens import read
 from tidemark.sources import pages
 
@@ -50,3 +51,34 @@ def linked_data(spark: SparkSession, d: str) -> DataFrame:
         F.col("page").alias("c_custkey"), at("$.title").alias("title"), at("$.hiringOrganization.name").alias("company"), at(f"{place}.addressLocality").alias("locality"),
         at(f"{place}.addressCountry.name").alias("country"), at(f"{place}.addressCountry.of['@id']").alias("beyond"), "published",
     )
+
+
+# ---- rules as data ----
+
+RANKS = ["Senior", "", "Assistant to the", "École", "Remote"]
+JOBS = ["Data Engineer", "Fullstack Dev", "full-stack developer", "Nurse", "AGRONOMISTS", "Poet", "M&E Officer", "Accounts Clerk", "Databases", "Key Account Lead", "hr", "Storyteller"]
+FIELDS = ["ICT", "Banking & Insurance", "Hotels", "Farming / forestry", "Charity", "Poetry"]
+
+
+def _at(values: list[str], n: Column) -> Column:
+    return F.get(F.array(*map(F.lit, values)), n.cast("int"))
+
+
+def _sql_list(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _rule_chain(column: str, which: int) -> str:
+    return " ".join(f"WHEN regexp_matches({column}, '(?i)\\b({rule[which]})\\b') THEN '{rule[1]}'" for rule in classify.RULES if rule[which])
+
+
+@query(
+    "classify_rules",
+    f"""WITH t AS (SELECT o_orderkey, {_sql_list(RANKS)}[o_orderkey % 5 + 1] || ' ' || {_sql_list(JOBS)}[o_custkey % 12 + 1] AS title, CASE WHEN o_orderkey % 7 <> 0 THEN {_sql_list(FIELDS)}[o_orderkey % 6 + 1] END AS industry FROM orders)
+ SELECT o_orderkey, CASE {_rule_chain("title", 2)} {_rule_chain("coalesce(industry, '')", 3)} ELSE 'Other' END AS category FROM t""",
+)
+def classify_rules(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("o_orderkey")
+    title = F.concat(_at(RANKS, n % 5), F.lit(" "), _at(JOBS, F.col("o_custkey") % 12))
+    rows = read(spark, d, "orders").select("o_orderkey", title.alias("title"), F.when(n % 7 != 0, _at(FIELDS, n % 6)).alias("industry"))
+    return classify.classify_by_table(rows, "title", "industry", classify.rules_table(spark)).select("o_orderkey", "category")
