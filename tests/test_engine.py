@@ -199,7 +199,7 @@ def test_quality_checks(spark):
     ]
     got = quality.run_checks(checks, t)
     assert [(r.violations, r.total, r.passed) for r in got[2:7]] == [(1, 4, False), (1, 4, False), (1, 4, False), (1, 4, False), (1, 1, False)]
-    assert (got[0].violations, got[0].passed) == (2, False) and not got[7].passed and "could not run" in got[7].detail
+    assert (got[0].violations, got[0].passed) == (2, False) and not got[7].passed and "did not run" in got[7].detail
     assert quality.exit_code(got) == 1
 
 
@@ -207,7 +207,7 @@ def test_volume_and_freshness(spark):
     rows = [("s", f"k{i}", date(2026, 1, d), True) for d, n in ((1, 10), (2, 10), (3, 10), (4, 4)) for i in range(n)]
     t = {"raw.sightings": spark.createDataFrame(rows, "source string, job_key string, seen_on date, fetched boolean")}
     checks = [quality.volume_drop("s"), quality.volume_drop("none"), quality.seen_recently("s", date(2026, 1, 6)), quality.seen_recently("s", date(2026, 1, 9)), quality.seen_recently("none", date(2026, 1, 6), allow_empty=True)]
-    assert [(r.passed, r.detail) for r in quality.run_checks(checks, t)] == [(False, "1/1 violating"), (True, "no data"), (True, "0/1 violating"), (False, "1/1 violating"), (True, "0/1 violating")]
+    assert [(r.passed, r.detail) for r in quality.run_checks(checks, t)] == [(False, "1 of 1 violate"), (True, "nothing to check"), (True, "0 of 1 violate"), (False, "1 of 1 violate"), (True, "0 of 1 violate")]
     assert len(quality.all_checks(date(2026, 1, 1), ["s"])) == 42
 
 

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.lease import Lease
+
 
 def new_rows(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the batch whose key is new, one for each key."""
@@ -47,24 +51,36 @@ def register_keys(registry: DataFrame, members: DataFrame, business: str, key: s
     return registry.select(business, key).unionByName(numbered)
 
 
-def publish(tables: dict[str, DataFrame], root: str) -> str:
-    """Write all tables to a new version and then point to it: readers see all of it or nothing."""
+POINTER = "version string, published_at timestamp, fence long"
+
+
+def publish(tables: dict[str, DataFrame], root: str, lease: Lease | None = None, write: Callable[[str, DataFrame, str], None] | None = None) -> str:
+    """Write all tables to a new version and then point to it: readers see all of it or nothing.
+
+    With a lease the pointer carries its fence, and is written only while the lease holds; a writer
+    that was overtaken raises LeaseLost and leaves readers where they are. ``write`` (name, table, path)
+    writes a table in its own way.
+    """
     version = f"v={uuid.uuid4().hex}"
     spark = next(iter(tables.values())).sparkSession
     for name, table in tables.items():
-        table.write.parquet(f"{root}/{version}/{name}")
-    order = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+        path = f"{root}/{version}/{name}"
+        if write is None:
+            table.write.parquet(path)
+        else:
+            write(name, table, path)
+    if lease is not None:
+        lease.check()
+    order = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"), F.lit(0 if lease is None else lease.fence).cast("long").alias("fence"))
     order.write.mode("append").parquet(f"{root}/_current")
     return version
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    """The version published last, null before the first."""
-    from pyspark.errors import AnalysisException
-
+    """The version published last under the highest fence, null before the first."""
     try:
-        pointers = spark.read.schema("version string, published_at timestamp").parquet(f"{root}/_current")
-        row = pointers.agg(F.max_by("version", "published_at")).first()
+        pointers = spark.read.schema(POINTER).parquet(f"{root}/_current")
+        row = pointers.agg(F.max_by("version", F.struct(F.coalesce("fence", F.lit(0)), "published_at"))).first()
     except AnalysisException:
         return None
     return row[0]

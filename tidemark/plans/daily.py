@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import merge, versions
+from tidemark.operators.lease import held
 from tidemark.plans import clean, quality, views, warehouse
 from tidemark.sources import policy, raw_layer
 
@@ -106,9 +107,16 @@ def ingest(lake: Lake, source: str, payloads: DataFrame, now: datetime, raw_file
 
 
 def run_source(lake: Lake, source: str, fetch: Callable[[SparkSession, DataFrame], DataFrame], now: datetime, refresh_days: int = 14, policies=policy.POLICIES, environment=None) -> dict:
-    """One incremental visit: refused by policy, throttled, or fetched and loaded. ``fetch`` gets
-    the keys that are fresh and need no visit, and returns a DataFrame with a ``payload`` variant."""
+    """One incremental visit: refused by policy, busy in another run, throttled, or fetched and
+    loaded. ``fetch`` gets the keys that are fresh and need no visit, and returns a DataFrame with a ``payload`` variant."""
     policy.require(source, policies, environment)
+    with held(lake.spark, f"{lake.root}/_sources/{source}", f"run of {source}") as own:
+        if own is None:
+            return {"source": source, "status": "busy", "seen": 0, "inserted": 0}
+        return _visit(lake, source, fetch, now, refresh_days)
+
+
+def _visit(lake: Lake, source: str, fetch: Callable[[SparkSession, DataFrame], DataFrame], now: datetime, refresh_days: int) -> dict:
     hours = raw_layer.hours_since_last_load(lake.read("ingest_log", schemas.INGEST_LOG), source, now)
     if hours is not None and hours < HOURS_BETWEEN.get(source, 0):
         return {"source": source, "status": "throttled", "hours": round(hours, 1)}
@@ -119,20 +127,36 @@ def run_source(lake: Lake, source: str, fetch: Callable[[SparkSession, DataFrame
     return ingest(lake, source, payloads, now)
 
 
-def build_clean(lake: Lake) -> int:
+#: Names of published tables in checks.
+CHECKED = {
+    "clean": {"job_postings": "clean.job_postings", "job_skills": "clean.job_skills"},
+    "dw": {"fact": "dw.fact_job_postings", "bridge": "dw.bridge_job_skill", "dim_company": "dw.dim_company", "dim_location": "dw.dim_location", "dim_date": "dw.dim_date", "dim_skill": "dw.dim_skill"},
+}
+
+
+def _publish(lake: Lake, layer: str, tables: dict[str, DataFrame], watch: quality.Watch | None) -> None:
+    """Publish under the layer's lease, its checks measured as the tables are written."""
+    write = None if watch is None else lambda name, df, path: watch.write(CHECKED[layer].get(name, name), df, path)
+    with held(lake.spark, f"{lake.root}/{layer}", f"{layer} build") as own:
+        if own is None:
+            raise RunFailed(f"another run is publishing {layer}")
+        merge.publish(tables, f"{lake.root}/{layer}", own, write)
+
+
+def build_clean(lake: Lake, watch: quality.Watch | None = None) -> int:
     """Publish clean postings and skills rebuilt from raw; returns how many postings."""
     postings, skills = clean.build(lake.raw(), lake.sightings())
-    merge.publish({"job_postings": postings, "job_skills": skills}, f"{lake.root}/clean")
+    _publish(lake, "clean", {"job_postings": postings, "job_skills": skills}, watch)
     return lake.published("clean", "job_postings").count()
 
 
-def build_warehouse(lake: Lake) -> dict[str, int]:
+def build_warehouse(lake: Lake, watch: quality.Watch | None = None) -> dict[str, int]:
     """Publish the star schema. Key registries of the last build carry over."""
     last = {name: lake.published("dw", name) for name in ("company_keys", "skill_keys", "posting_keys")}
     empty = warehouse.empty_registries(lake.spark)
     registries = {name: found if found is not None else empty[name] for name, found in last.items()}
     tables = warehouse.build(lake.published("clean", "job_postings"), lake.published("clean", "job_skills"), registries)
-    merge.publish(tables, f"{lake.root}/dw")
+    _publish(lake, "dw", tables, watch)
     return {name: lake.published("dw", name).count() for name in ("fact", "dim_company", "dim_skill", "bridge")}
 
 
@@ -143,13 +167,11 @@ def view_tables(lake: Lake) -> dict[str, DataFrame]:
 
 def check_tables(lake: Lake) -> dict[str, DataFrame]:
     tables = {"raw.job_postings": lake.raw(), "raw.sightings": lake.sightings()}
-    for key, layer, name in (
-        ("clean.job_postings", "clean", "job_postings"), ("clean.job_skills", "clean", "job_skills"), ("dw.fact_job_postings", "dw", "fact"), ("dw.bridge_job_skill", "dw", "bridge"),
-        ("dw.dim_company", "dw", "dim_company"), ("dw.dim_location", "dw", "dim_location"), ("dw.dim_date", "dw", "dim_date"), ("dw.dim_skill", "dw", "dim_skill"),
-    ):
-        found = lake.published(layer, name)
-        if found is not None:
-            tables[key] = found
+    for layer, names in CHECKED.items():
+        for name, key in names.items():
+            found = lake.published(layer, name)
+            if found is not None:
+                tables[key] = found
     if "dw.fact_job_postings" in tables:
         tables["dw.v_public_jobs"] = views.public_jobs(view_tables(lake))
     return tables
@@ -194,9 +216,10 @@ def run_daily(
     as_of = as_of or now.date()
     summary, started = Summary(), now
     checks = quality.all_checks(as_of, list(policy.POLICIES))
+    watch = quality.Watch(checks)
 
     def gate(layer: str) -> bool:
-        results = quality.run_checks(checks, check_tables(lake), layer)
+        results = quality.run_checks(checks, check_tables(lake), layer, known=watch.measures)
         if results:
             lake.append("dq_results", quality.results_frame(lake.spark, results, now))
         told = summary.quality[layer] = quality.summarize(results)
@@ -230,16 +253,16 @@ def run_daily(
                 summary.errors.append(f"source {source} failed: {outcome['reason']}")
             elif outcome["status"] == "empty":
                 summary.warnings.append(f"source {source} returned nothing")
-            elif outcome["status"] in ("refused", "throttled"):
+            elif outcome["status"] in ("refused", "throttled", "busy"):
                 summary.notes.append(f"{source}: {outcome['status']}")
         if not gate("raw"):
             summary.errors.append("clean and warehouse were left as they are: the raw layer failed its checks")
         else:
-            summary.clean_rows = build_clean(lake)
+            summary.clean_rows = build_clean(lake, watch)
             if not gate("clean"):
                 summary.errors.append("the warehouse was left as it is: the clean layer failed its checks")
             else:
-                summary.warehouse = build_warehouse(lake)
+                summary.warehouse = build_warehouse(lake, watch)
                 gate("dw")
         gate("ops")
     except Exception as why:
