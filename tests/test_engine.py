@@ -5,8 +5,10 @@ from datetime import date, datetime, timedelta, timezone
 
 import postings
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 
+from tidemark import raw_catalog
 from tidemark.operators import merge, versions
 from tidemark.plans import clean, daily, quality, serving, views
 from tidemark.sources import adapters, pages, paging, policy, raw_layer
@@ -75,6 +77,13 @@ def test_adapters_read_every_shape(spark):
     assert mj["location_text"] == "Mombasa" and mj["employment_type"] == "FULL_TIME"
 
 
+def test_sources_are_adapted_in_one_pass(spark):
+    """One scan of the rows, whatever the number of sources, and no window of the plan before it repeated."""
+    rows = raw_catalog.posted(spark, SF)
+    plan = adapters.adapt(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+
+
 def test_fingerprint(spark):
     df = spark.createDataFrame([("A Co", "Cook", "X"), ("a  co", "COOK", "x"), ("", "Cook", "X")], "e string, t string, p string")
     a, b, c = (r[0] for r in df.select(adapters.fingerprint(*map(F.col, "etp"))).collect())

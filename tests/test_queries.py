@@ -6,11 +6,11 @@ import duckdb
 import pytest
 from conftest import SF
 
-from tidemark import catalog, cleaning_catalog  # noqa: F401
+from tidemark import catalog, cleaning_catalog, raw_catalog  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: A share of the queries; the driver compares all of them.
-CHOSEN = ["latest_version", "dedup_flags", "top_skills", "skill_demand_grid", "county_summary", "lifetime_summary", "search", "skill_extract", "dim_date", "dq_unique", "running_counts", "skill_dictionary", "salary_text", "clean_title", "map_location", "warehouse_fact"]
+CHOSEN = ["latest_version", "dedup_flags", "top_skills", "skill_demand_grid", "county_summary", "lifetime_summary", "search", "skill_extract", "dim_date", "dq_unique", "running_counts", "skill_dictionary", "salary_text", "clean_title", "map_location", "warehouse_fact", "linked_data", "classify_rules", "adapter_myjobmag", "adapter_jsearch", "clean_postings"]
 
 
 @pytest.fixture(scope="session")

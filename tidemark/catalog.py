@@ -68,8 +68,7 @@ def _day(c: str) -> str:
 
 @query("latest_version", f"SELECT source, job_key, event_id AS id FROM (SELECT {EVENTS}, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events) WHERE nth = 1")
 def latest_version(spark, d):
-    order = [F.col("scraped_at").desc_nulls_last(), F.col("id").desc_nulls_last()]
-    return versions.latest_version(_raw(spark, d), ["source", "job_key"], order).select("source", "job_key", "id")
+    return versions.latest_version(_raw(spark, d), ["source", "job_key"], ["scraped_at", "id"], ["source", "job_key", "id"])
 
 
 @query(

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
 
 
-def latest_version(versions: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in the given order (newest first)."""
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return versions.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
+def latest_version(versions: DataFrame, keys: list[str], order: list[str], wanted: list[str] | None = None) -> DataFrame:
+    """Of each key the row with the largest ``order``, a null being least. ``order`` tells the rows of
+    a key apart.
+
+    Only keys and order are grouped, and combined before the shuffle. If ``wanted`` (else all
+    columns) has more than those, the rows that win are joined back.
+    """
+    wanted = versions.columns if wanted is None else wanted
+    newest = versions.groupBy(*keys).agg(F.max(F.struct(*order)).alias("__newest"))
+    if set(wanted) <= {*keys, *order}:
+        return newest.select(*[c if c in keys else F.col(f"__newest.{c}") for c in wanted])
+    same = [versions[c].eqNullSafe(newest[c]) for c in keys] + [versions[c].eqNullSafe(F.col(f"__newest.{c}")) for c in order]
+    return versions.join(newest, reduce(Column.__and__, same)).select(*[versions[c] for c in wanted])
 
 
 def first_last_seen(raw: DataFrame, sightings: DataFrame, sources: list[str] | None = None) -> DataFrame:
@@ -20,15 +31,16 @@ def first_last_seen(raw: DataFrame, sightings: DataFrame, sources: list[str] | N
     keys = ["source", "job_key"]
     if sources is not None:
         raw = raw.filter(F.col("source").isin(sources))
-    whole = Window.partitionBy(*keys)
     seen = sightings.groupBy(*keys).agg(F.min("seen_on").alias("first_on"), F.max("seen_on").alias("last_on"))
-    spans = raw.withColumn("first_scraped", F.min("scraped_at").over(whole)).withColumn("last_scraped", F.max("scraped_at").over(whole))
-    latest = latest_version(spans, keys, [F.col("scraped_at").desc_nulls_last(), F.col("id").desc_nulls_last()])
-    return latest.join(seen, keys, "left").select(
-        *[latest[c] for c in raw.columns],
+    place = F.struct("scraped_at", "id")
+    spans = raw.groupBy(*keys).agg(F.max(place).alias("newest"), F.min("scraped_at").alias("first_scraped"), F.max("scraped_at").alias("last_scraped"))
+    spans = spans.join(seen, keys, "left").select(
+        *[spans[c].alias(f"of_{c}") for c in keys], "newest",
         F.coalesce(dates.local_noon(F.col("first_on")), F.col("first_scraped")).alias("first_seen"),
         F.coalesce(dates.local_noon(F.col("last_on")), F.col("last_scraped")).alias("last_seen"),
-    )
+    )
+    won = raw["source"].eqNullSafe(F.col("of_source")) & raw["job_key"].eqNullSafe(F.col("of_job_key")) & raw["id"].eqNullSafe(F.col("newest.id")) & raw["scraped_at"].eqNullSafe(F.col("newest.scraped_at"))
+    return raw.join(spans, won).select(*[raw[c] for c in raw.columns], "first_seen", "last_seen")
 
 
 def record_sightings(log: DataFrame, seen: DataFrame) -> DataFrame:

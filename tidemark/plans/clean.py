@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import geo, salary, skills, text
 from tidemark.operators import versions
 from tidemark.schemas import POSTING
+from tidemark.shared import kept
 from tidemark.sources import adapters
 
 
@@ -51,8 +53,7 @@ def clean(latest: DataFrame) -> DataFrame:
         "first_seen_at": F.col("first_seen"),
         "last_seen_at": F.col("last_seen"),
     }
-    typed = [(part.split()[0], part.split(" ", 1)[1]) for part in (x.strip().replace("\n", " ") for x in POSTING.replace("(14,2)", "(14;2)").split(","))]
-    chosen = [columns.get(name, F.col(name)).try_cast(kind.replace(";", ",")).alias(name) for name, kind in typed]
+    chosen = [columns.get(field.name, F.col(field.name)).try_cast(field.dataType).alias(field.name) for field in StructType.fromDDL(POSTING).fields]
     return rows.select(*chosen, skills.extract_skills(said).alias("skills"))
 
 
@@ -62,8 +63,9 @@ def posting_skills(cleaned: DataFrame) -> DataFrame:
 
 
 def build(raw: DataFrame, sightings: DataFrame, sources: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Clean postings with duplicates flagged, and their skills, straight from the raw layer."""
-    cleaned = clean(versions.first_last_seen(raw, sightings, sources))
+    """Clean postings with duplicates flagged, and their skills, straight from the raw layer. The
+    cleaned rows, which three plans read, are written once."""
+    cleaned = kept(clean(versions.first_last_seen(raw, sightings, sources)), "cleaned")
     return versions.flag_duplicates(cleaned.drop("skills")), posting_skills(cleaned)
 
 

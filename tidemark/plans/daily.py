@@ -19,6 +19,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import schemas
 from tidemark.operators import merge, versions
@@ -99,7 +100,7 @@ def ingest(lake: Lake, source: str, payloads: DataFrame, now: datetime, raw_file
     known = lake.raw().agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     numbered = fresh.select((F.lit(known) + 1 + F.monotonically_increasing_id()).alias("id"), *fresh.columns)
     counts = logged.collect()  # a row for each source and run
-    lake.append("raw_postings", numbered.select(*[c.split()[0] for c in schemas.RAW.split(", ")]))
+    lake.append("raw_postings", numbered.select(*StructType.fromDDL(schemas.RAW).names))
     lake.append("ingest_log", lake.spark.createDataFrame(counts, schemas.INGEST_LOG))
     day = F.lit(now.astimezone(timezone(timedelta(hours=3))).date())
     lake.append("raw_sightings", batch.select("source", "job_key", day.alias("seen_on"), F.lit(True).alias("fetched")).distinct())

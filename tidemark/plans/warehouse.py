@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, geo
-from tidemark.operators import merge, versions
+from tidemark.operators import merge
 
 UNKNOWN, REMOTE, ABROAD = -1, -2, -3
 
@@ -30,9 +30,11 @@ def dim_company(postings: DataFrame, registry: DataFrame) -> tuple[DataFrame, Da
     """Companies with the name they were last seen under; and the registry of their keys.
     registry: company_norm, company_key."""
     named = postings.filter("company_norm IS NOT NULL")
-    last = versions.latest_version(named, ["company_norm"], [F.col("last_seen_at").desc_nulls_last(), F.col("company").asc_nulls_last()])
+    seen, name = F.col("last_seen_at"), F.col("company")
+    newest = F.struct(seen.isNull().alias("a"), (-F.unix_micros(seen)).alias("b"), name.isNull().alias("c"), name.alias("company"))
+    last = named.groupBy("company_norm").agg(F.min(newest)["company"].alias("company_name"))
     keys = merge.register_keys(registry, named, "company_norm", "company_key")
-    companies = keys.join(last.select("company_norm", F.col("company").alias("company_name")), "company_norm").select("company_key", "company_norm", "company_name")
+    companies = keys.join(last, "company_norm").select("company_key", "company_norm", "company_name")
     unknown = postings.sparkSession.createDataFrame([(UNKNOWN, "(unknown)", "Unknown / confidential")], companies.schema)
     return companies.unionByName(unknown), keys
 

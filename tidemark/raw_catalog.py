@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
-from tidemark.functions import classify
-from tidemark.lens import read
-from tidemark.sources import pages
+from tidemark.functions import classify, geo
+from tidemark.lens import TITLES, read
+from tidemark.plans import clean
+from tidemark.sources import adapters, pages
 
 
 def _filled(template: str, **values: Column) -> Column:
@@ -82,3 +83,144 @@ def classify_rules(spark: SparkSession, d: str) -> DataFrame:
     title = F.concat(_at(RANKS, n % 5), F.lit(" "), _at(JOBS, F.col("o_custkey") % 12))
     rows = read(spark, d, "orders").select("o_orderkey", title.alias("title"), F.when(n % 7 != 0, _at(FIELDS, n % 6)).alias("industry"))
     return classify.classify_by_table(rows, "title", "industry", classify.rules_table(spark)).select("o_orderkey", "category")
+
+
+# ---- adapters: every order as a payload of each source ----
+
+TOWNS = ["Nairobi", "Mombasa", "Kisumu", "Nakuru", "Embu"]
+
+
+def _json(**members: str | Column) -> Column:
+    """A JSON object of members that are JSON texts; one that is null is left out."""
+    parts = [F.concat(F.lit(f'"{name.replace("__", "-")}": '), F.lit(m) if isinstance(m, str) else m) for name, m in members.items()]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+
+
+def _text(value: str | Column) -> Column:
+    value = F.lit(value) if isinstance(value, str) else value
+    return F.concat(F.lit('"'), value.cast("string"), F.lit('"'))
+
+
+def _one_of(n: Column, *cases: str | Column | None) -> Column:
+    """The case whose number n is; null where that is None."""
+    out = F.lit(None).cast("string")
+    for i, case in enumerate(cases):
+        if case is not None:
+            out = F.when(n == i, F.lit(case) if isinstance(case, str) else case).otherwise(out)
+    return out
+
+
+def payloads() -> dict[str, Column]:
+    """JSON of an order as each source would send it, in all the shapes that the source has."""
+    k = F.col("o_orderkey")
+    title, town, firm = _text(_at(TITLES, k % 7)), _at(TOWNS, F.col("o_custkey") % 5), _text(F.concat(F.lit("Firm "), F.col("o_custkey")))
+    day, link, amount = _text(F.date_format("o_orderdate", "yyyy-MM-dd")), _text(F.concat(F.lit("https://x.example/"), k)), (F.col("o_custkey") + 1).cast("string")
+    named = lambda *names: F.concat(F.lit("["), F.concat_ws(", ", *[_json(name=_text(n)) for n in names]), F.lit("]"))
+    region = F.concat(F.lit("R"), k % 3)
+    where = _one_of(
+        k % 4, _text(town), _json(address=_text(F.concat(town, F.lit(", Kenya")))), F.concat(F.lit("["), _json(address=_json(streetAddress=_text(""), addressLocality=_text(town), addressRegion=_text(region))), F.lit(', "Kenya"]')), _json(addressRegion=_text(town)),
+    )
+    pay = _one_of(
+        k % 5, _json(currency=_text("KES"), value=_json(minValue=amount, maxValue=F.concat(amount, F.lit("0")), unitText=_text("MONTH"))), _json(currency=_text("KES"), value=amount),
+        _json(currency=_text("USD"), value=_json(value=_text(amount))), None, _text("12000"),
+    )
+    posting = dict(
+        title=title, hiringOrganization=_one_of(k % 4, firm, _json(name=firm), F.concat(F.lit("["), _json(name=firm), F.lit(', {"name": "other"}]'))), jobLocation=where, jobLocationType=_one_of(k % 11, _text("telecommute")),
+        datePosted=day, employmentType=_one_of(k % 2, '["FULL_TIME", "PART_TIME"]', '"CONTRACTOR"'), industry=_one_of(k % 2, '"Trade"'), occupationalCategory='["A", "B"]', description=_text("<p>Do the work</p>"),
+        skills=_one_of(k % 3, '["Python", "SQL"]', '"Excel"'), baseSalary=pay, salaryText=_text("KES 5,000"),
+    )
+    headline = F.when(k % 3 == 2, _json(og_title=_text(F.concat(F.upper(_at(TITLES, k % 7)), F.lit(" IN "), town))))
+    schema_org = F.when(k % 3 == 0, _json(url=link, **posting)).otherwise(_json(url=link, job_posting=_json(**posting, url='"not this one"'), page_meta=headline))
+    reliefweb = _json(url=_one_of(k % 2, link), job=_json(
+        title=title, url=link, source=F.concat(F.lit("["), _json(name=firm), F.lit(', {"id": 1}]')), city=_one_of(k % 3, named(town, "Thika"), "[]"), country=named("Kenya", "Uganda"), date=_json(created=day, closing=day),
+        type=named("Job"), career_categories=named("Aid", "Health"), body__html=_text("<p>Help</p>"),
+    ))
+    pay_currency = _one_of(k % 5, _text("EUR"), None, None, None, _text("KES"))
+    jsearch = _json(
+        job=_json(
+            job_title=title, employer_name=firm, job_apply_link=_one_of(k % 2, link), job_location=_one_of(k % 3, _text(town)), job_city=_text(town), job_country=_one_of(k % 2, _text("KE")), job_posted_at_datetime_utc=day,
+            job_employment_type=_text("FULLTIME"), job_description=_text("Text"), job_salary_currency=pay_currency, job_min_salary=F.when(k % 5 < 4, amount), job_salary_string=_one_of(k % 5, None, _text("KSh 5,000 a month"), _text("about $70"), _text("well paid")),
+            job_is_remote=_one_of(k % 4, "true", "false"), required_technologies=_one_of(k % 2, '["Go", "SQL"]'),
+        ),
+        observed=_json(job_title='"an older title"', job_google_link=link, job_salary_period='"month"', job_function='"Trade"'),
+    )
+    jooble = _json(job=_json(link=link, title=title, company=firm, location=_text(town), updated=day, type=_text("Full-time"), snippet=_text("a snippet"), salary=_one_of(k % 2, '"KES 5,000"', '""')))
+    remotive = _json(job=_json(
+        url=link, title=title, company_name=firm, candidate_required_location=_text(town), publication_date=day, job_type=_text("contract"), category=_text("Data"), description=_text("Remote work"),
+        tags=_one_of(k % 2, '["python", "sql"]', "[]"), salary=_text("$5"),
+    ))
+    return {"myjobmag": schema_org, "reliefweb": reliefweb, "jsearch": jsearch, "jooble": jooble, "remotive": remotive}
+
+
+#: The columns of each source in SQL; what is not named is null, or false, or an empty text of skills.
+_ROW = f"""SELECT o_orderkey AS k, o_custkey AS c, {_sql_list(TITLES)}[o_orderkey % 7 + 1] AS title, 'Firm ' || o_custkey AS firm, {_sql_list(TOWNS)}[o_custkey % 5 + 1] AS town, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS day,
+ 'https://x.example/' || o_orderkey AS link, CAST(o_custkey + 1 AS VARCHAR) AS amount FROM orders"""
+_LISTED = "CASE k % 4 WHEN 1 THEN town || ', Kenya' WHEN 2 THEN town || ', R' || k % 3 || ', Kenya' ELSE town END"
+_SHAPES = {
+    "myjobmag": {
+        "url": "link", "company": "CASE WHEN k % 4 < 3 THEN firm END", "location_text": f"CASE WHEN k % 3 = 2 AND k % 4 NOT IN (0, 3) THEN town || ', ' || {_LISTED} ELSE {_LISTED} END", "remote_hint": "k % 11 = 0", "date_posted": "day",
+        "employment_type": "CASE k % 2 WHEN 0 THEN 'FULL_TIME, PART_TIME' ELSE 'CONTRACTOR' END", "industry": "CASE k % 2 WHEN 0 THEN 'Trade' ELSE 'A, B' END", "description_html": "'<p>Do the work</p>'",
+        "skills_text": "CASE k % 3 WHEN 0 THEN 'Python, SQL' WHEN 1 THEN 'Excel' ELSE '' END", "base_currency": "CASE k % 5 WHEN 0 THEN 'KES' WHEN 1 THEN 'KES' WHEN 2 THEN 'USD' END", "base_low": "CASE WHEN k % 5 = 0 THEN amount END",
+        "base_high": "CASE WHEN k % 5 = 0 THEN amount || '0' END", "base_single": "CASE WHEN k % 5 IN (1, 2) THEN amount END", "base_unit": "CASE WHEN k % 5 = 0 THEN 'MONTH' END", "salary_text": "'KES 5,000'",
+    },
+    "reliefweb": {
+        "url": "link", "company": "firm", "location_text": "CASE WHEN k % 3 = 0 THEN town || ', Thika' ELSE 'Kenya, Uganda' END", "date_posted": "day", "valid_through": "day", "employment_type": "'Job'", "industry": "'Aid, Health'", "description_html": "'<p>Help</p>'",
+    },
+    "jsearch": {
+        "url": "link", "company": "firm", "location_text": "CASE WHEN k % 3 = 0 OR k % 2 = 1 THEN town ELSE town || ', KE' END", "remote_hint": "k % 4 = 0", "date_posted": "day", "employment_type": "'FULLTIME'", "industry": "'Trade'", "description_html": "'Text'",
+        "skills_text": "CASE k % 2 WHEN 0 THEN 'Go, SQL' ELSE '' END", "base_currency": "CASE k % 5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'KES' WHEN 2 THEN 'USD' END", "base_low": "CASE WHEN k % 5 < 3 THEN amount END", "base_unit": "CASE WHEN k % 5 < 3 THEN 'MONTH' END",
+    },
+    "jooble": {"url": "link", "company": "firm", "location_text": "town", "date_posted": "day", "employment_type": "'Full-time'", "description_html": "'a snippet'", "salary_text": "CASE WHEN k % 2 = 0 THEN 'KES 5,000' END"},
+    "remotive": {
+        "url": "link", "company": "firm", "location_text": "town", "remote_hint": "TRUE", "date_posted": "day", "employment_type": "'contract'", "industry": "'Data'", "description_html": "'Remote work'", "skills_text": "CASE k % 2 WHEN 0 THEN 'python, sql' ELSE '' END", "salary_text": "'$5'",
+    },
+}
+
+
+def _orders(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"))
+
+
+def _adapter(source: str) -> None:
+    default = {"title": "title", "remote_hint": "FALSE", "skills_text": "''"}
+    columns = ", ".join(f"{(default | _SHAPES[source]).get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in adapters.COMMON)
+
+    @query(f"adapter_{source}", f"SELECT k AS o_orderkey, {columns} FROM ({_ROW})")
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        rows = _orders(spark, d).select("o_orderkey", F.lit(source).alias("source"), F.parse_json(payloads()[source]).alias("payload"))
+        return adapters.adapt(rows).select("o_orderkey", *adapters.COMMON)
+
+
+for _source in _SHAPES:
+    _adapter(_source)
+
+
+def posted(spark: SparkSession, d: str) -> DataFrame:
+    """Each order as the latest version of a posting, from one source in turn."""
+    k = F.col("o_orderkey")
+    source = _at(list(_SHAPES), k % 5)
+    payload = F.lit(None).cast("string")
+    for name, json in payloads().items():
+        payload = F.when(source == name, json).otherwise(payload)
+    rows = _orders(spark, d).select(k.alias("id"), source.alias("source"), k.cast("string").alias("job_key"), payload.alias("json"), F.col("o_orderdate").cast("timestamp").alias("first_seen"))
+    return rows.select("id", "source", "job_key", F.parse_json("json").alias("payload"), "first_seen", F.col("first_seen").alias("last_seen"))
+
+
+_COUNTIES = {t: geo.county_names().index(t) + 1 for t in TOWNS}
+_CODE = "CASE county " + " ".join(f"WHEN '{t}' THEN {n}" for t, n in _COUNTIES.items()) + " END"
+
+
+@query(
+    "clean_postings",
+    f"""WITH r AS ({_ROW}), s AS (SELECT *, {_sql_list(list(_SHAPES))}[k % 5 + 1] AS source FROM r),
+ t AS (SELECT *, CASE WHEN source = 'reliefweb' AND k % 3 <> 0 THEN NULL ELSE town END AS county, CASE WHEN source = 'myjobmag' AND k % 4 = 3 THEN NULL ELSE firm END AS company,
+   lower(regexp_replace(title, '[^A-Za-z0-9]+', ' ', 'g')) AS title_norm, trim(lower(regexp_replace(firm, '[^A-Za-z0-9]+', ' ', 'g'))) AS firm_norm FROM s),
+ u AS (SELECT *, {_CODE} AS county_code FROM t)
+ SELECT source, CAST(k AS VARCHAR) AS job_key, title AS title_clean, title_norm, company, county, county_code, CASE WHEN title LIKE 'Senior %' THEN 'senior' ELSE 'unspecified' END AS seniority, CAST(day AS DATE) AS date_posted,
+   source = 'remotive' OR (source = 'myjobmag' AND k % 11 = 0) OR (source = 'jsearch' AND k % 4 = 0) AS is_remote, CASE source WHEN 'myjobmag' THEN 'Do the work' WHEN 'reliefweb' THEN 'Help' WHEN 'jsearch' THEN 'Text' WHEN 'jooble' THEN 'a snippet' ELSE 'Remote work' END AS description_text,
+   CASE WHEN company IS NOT NULL THEN sha1(title_norm || '|' || firm_norm || '|' || coalesce(CAST(county_code AS VARCHAR), '')) END AS dedup_key FROM u""",
+)
+def clean_postings(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaning pass over postings of all sources."""
+    columns = ["source", "job_key", "title_clean", "title_norm", "company", "county", "county_code", "seniority", "date_posted", "is_remote", "description_text", "dedup_key"]
+    return clean.clean(posted(spark, d)).select(*columns)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,12 +173,14 @@ ADAPTERS = {"reliefweb": reliefweb, "jsearch": jsearch, "jooble": jooble, "remot
 
 
 def adapt(rows: DataFrame, payload: str = "payload", source: str = "source") -> DataFrame:
-    """Rows with the common columns added, each source by its own projection."""
+    """Rows with the common columns added: one projection, in which each row takes the branch of its
+    source. The branches give one struct type, so the rows are read once."""
+    shape = F.struct(*schema_org(F.col(payload)))
+    for name, project in ADAPTERS.items():
+        shape = F.when(F.col(source) == name, F.struct(*project(F.col(payload)))).otherwise(shape)
     kept = [c for c in rows.columns if c != payload]
-    branch = lambda own, project: own.select(*kept, *project(F.col(payload)))
-    own = [branch(rows.filter(F.col(source) == name), project) for name, project in ADAPTERS.items()]
-    rest = branch(rows.filter(~F.coalesce(F.col(source).isin(list(ADAPTERS)), F.lit(False))), schema_org)
-    return reduce(DataFrame.unionByName, own, rest)
+    # a filter is not pushed through inline, nor its columns pulled apart: a branch is worked out once
+    return rows.select(*kept, F.inline(F.array(shape)))
 
 
 #: Places from which remote work is open to the region.
