@@ -1,5 +1,7 @@
 """The engine from raw payloads to published views."""
 
+import gzip
+import hashlib
 import json
 from datetime import date, datetime, timedelta, timezone
 
@@ -284,10 +286,68 @@ def test_public_catalog(spark):
 def test_stream_loads_each_version_once(spark, tmp_path):
     from tidemark.streaming import ingest
 
-    raw_layer.write_batch(raw_rows(spark, "jsearch"), str(tmp_path))
-    for _ in range(2):
-        ingest.load_available(spark, str(tmp_path), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    root, target, checkpoint = str(tmp_path), str(tmp_path / "t"), str(tmp_path / "c")
+    load = lambda: ingest.load_available(spark, root, target, checkpoint).awaitTermination(120)
+    raw_layer.write_batch(raw_rows(spark, "jsearch"), root)
+    load()
+    load()
+    assert ingest.loaded(spark, target).count() == 2
+    # a version that returns a year later is no new one, a changed posting is
+    later = NOW + timedelta(days=400)
+    changed = [{**p, "more": 1} if i == 0 else p for i, p in enumerate(postings.JSEARCH)]
+    raw_layer.write_batch(raw_layer.wrap(postings.frame(spark, changed), "jsearch", "r2", later), root)
+    load()
+    assert ingest.loaded(spark, target).count() == 3
+    assert sorted((r.batch, r.seen, r.inserted) for r in ingest.ledger(spark, target).collect()) == [(0, 2, 2), (1, 2, 1)]
+    # a batch that is run again, after all of it or after its rows only, leaves the same
+    before = sorted((r.job_key, r.content_hash, r.batch) for r in ingest.loaded(spark, target).collect())
+    again = spark.read.schema(ingest.FILES).json(f"{root}/raw").filter("run_id = 'r2'")
+    ingest.load_batch(again, 1, target)
+    assert sorted((r.job_key, r.content_hash, r.batch) for r in ingest.loaded(spark, target).collect()) == before
+    assert ingest.ledger(spark, target).count() == 2
+
+
+def test_latest_snapshots(spark, tmp_path):
+    urls = ["https://a.example/1", "https://a.example/2", "https://a.example/unsaved"]
+    for url, day, html, packed in ((urls[0], "2026-01-01", "<p>old", True), (urls[0], "2026-01-03", "<p>neu é", True), (urls[1], "2026-01-02", "<p>plain", False), ("https://b.example/unknown", "2026-01-09", "<p>x", True)):
+        folder = tmp_path / "raw_html" / "source=s" / f"dt={day}"
+        folder.mkdir(parents=True, exist_ok=True)
+        name = hashlib.sha1(url.encode()).hexdigest()[:16]
+        (folder / f"{name}.html{'.gz' if packed else ''}").write_bytes(gzip.compress(html.encode()) if packed else html.encode())
+    (tmp_path / "raw_html" / "source=s" / "dt=2026-01-02" / f"{hashlib.sha1(urls[1].encode()).hexdigest()[:16]}.html.gz").write_bytes(gzip.compress(b"<p>packed"))
+    got = raw_layer.latest_snapshots(raw_layer.read_snapshots(spark, str(tmp_path)), spark.createDataFrame([(u,) for u in urls], "url string"))
+    assert sorted((r.url, str(r.dt), r.html) for r in got.collect()) == [(urls[0], "2026-01-03", "<p>neu é"), (urls[1], "2026-01-02", "<p>packed")]
+
+
+def test_weekly_arrivals_are_exact(spark, tmp_path):
+    from tidemark.streaming import ingest
+
+    rows = [("s", f"k{i % 700}", NOW + timedelta(hours=i % 160)) for i in range(2000)] + [("s", "late", NOW + timedelta(days=40))]
+    spark.createDataFrame(rows, "source string, job_key string, scraped_at timestamp").repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("source string, job_key string, scraped_at timestamp").parquet(str(tmp_path / "in"))
+    out = ingest.weekly_arrivals(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).outputMode("append").trigger(availableNow=True).start()
+    out.awaitTermination(180)
+    batch = spark.read.parquet(str(tmp_path / "in")).filter("job_key <> 'late'").groupBy(F.date_trunc("week", "scraped_at").cast("date").alias("week_start"), "source").agg(F.countDistinct("job_key").alias("postings"))
+    rows = lambda df: sorted((r.week_start, r.source, r.postings) for r in df.collect())
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(batch) and len(rows(batch)) == 2
+
+
+def test_replay_rebuilds_from_the_files(spark, tmp_path):
+    lake, files = lake_of(spark, tmp_path), str(tmp_path / "files")
+    days = [NOW, NOW + timedelta(days=1), NOW + timedelta(days=2)]
+    for source in ("jsearch", "myjobmag"):
+        for at in days:
+            daily.ingest(lake, source, postings.frame(spark, [{**p, "day": at.day} for p in postings.BY_SOURCE[source]]), at, files)
+    whole = {(r.source, r.job_key, r.content_hash) for r in lake.raw().collect()}
+    fresh = daily.Lake(spark, str(tmp_path / "fresh"))
+    part = daily.replay(fresh, files, NOW, "jsearch", "2026-01-07", "2026-01-07")
+    assert part == {"jsearch": {"seen": 2, "inserted": 2}} and fresh.raw().count() == 2
+    assert daily.replay(fresh, files, NOW)["jsearch"] == {"seen": 6, "inserted": 4}
+    assert {(r.source, r.job_key, r.content_hash) for r in fresh.raw().collect()} == whole and len({r.id for r in fresh.raw().collect()}) == len(whole)
+    assert sorted(map(tuple, fresh.sightings().collect())) == sorted(map(tuple, lake.sightings().collect()))
+    again = daily.replay(fresh, files, NOW)
+    assert {of["inserted"] for of in again.values()} == {0} and fresh.raw().count() == len(whole)
+    assert daily.replay(fresh, files, NOW, since="2030-01-01") == {}
 
 
 def test_empty_inputs(spark):

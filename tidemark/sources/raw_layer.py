@@ -68,14 +68,16 @@ def write_batch(envelopes: DataFrame, root: str) -> None:
     rows.write.mode("append").partitionBy("source", "dt").option("compression", "gzip").json(f"{root}/raw")
 
 
-def read_batches(spark: SparkSession, root: str, source: str | None = None, since: str | None = None) -> DataFrame:
-    """Envelopes of the raw files; source and first day prune partitions."""
+def read_batches(spark: SparkSession, root: str, source: str | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Envelopes of the raw files; source, first and last day prune partitions."""
     schema = "job_key string, content_hash string, scraped_at timestamp, run_id string, payload string, source string, dt date"
     rows = spark.read.schema(schema).json(f"{root}/raw")
     if source is not None:
         rows = rows.filter(F.col("source") == source)
     if since is not None:
         rows = rows.filter(F.col("dt") >= F.lit(since).cast("date"))
+    if until is not None:
+        rows = rows.filter(F.col("dt") <= F.lit(until).cast("date"))
     return rows.select("source", "job_key", "content_hash", "scraped_at", "run_id", F.parse_json("payload").alias("payload"))
 
 
@@ -111,10 +113,10 @@ def hours_since_last_load(log: DataFrame, source: str, now: datetime) -> float |
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """Saved pages: source, day, page key (16 hex digits of the URL's SHA-1) and HTML."""
+    """Saved pages: source, day, page key (16 hex digits of the URL's SHA-1), path and packed content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html*").load(f"{root}/raw_html")
     part = lambda p: F.regexp_extract("path", p, 1)
-    return files.select(part(r"source=([^/]+)/").alias("source"), part(r"dt=([^/]+)/").cast("date").alias("dt"), part(r"/([0-9a-f]{16})\.html").alias("page_key"), unzipped("content").alias("html"))
+    return files.select(part(r"source=([^/]+)/").alias("source"), part(r"dt=([^/]+)/").cast("date").alias("dt"), part(r"/([0-9a-f]{16})\.html").alias("page_key"), "path", "content")
 
 
 def page_key(url: Column) -> Column:
@@ -122,9 +124,13 @@ def page_key(url: Column) -> Column:
 
 
 def latest_snapshots(snapshots: DataFrame, urls: DataFrame) -> DataFrame:
-    """The last saved page of each known URL."""
-    newest = snapshots.groupBy("source", "page_key").agg(F.max_by("html", "dt").alias("html"), F.max("dt").alias("dt"))
-    return newest.join(urls.select("url", page_key(F.col("url")).alias("page_key")), "page_key")
+    """The last saved page of each known URL, with its HTML; of two on one day the one whose path comes
+    last. The paths are chosen without the pages, so a page that loses is neither shuffled nor
+    unzipped."""
+    newest = snapshots.groupBy("source", "page_key").agg(F.max(F.struct("dt", "path")).alias("at"))
+    known = urls.select("url", page_key(F.col("url")).alias("page_key"))
+    chosen = newest.join(known, "page_key").select("url", F.col("at.path").alias("path"))
+    return snapshots.join(chosen, "path").select("url", "source", "dt", "page_key", unzipped("content").alias("html"))
 
 
 @F.pandas_udf(T.StringType())
