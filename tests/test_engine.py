@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import json
+import time
 from datetime import date, datetime, timedelta, timezone
 
 import postings
@@ -251,14 +252,45 @@ def test_links(spark):
 
 
 def test_paged_source(spark):
-    spark.dataSource.register(paging.PagedJson)
-    read = lambda **o: spark.read.format("paged_json").options(queries='["a", "b"]', **o).load().count()
-    assert read(fetch="fake_api:offset_pages", size="3") == 14
-    assert read(fetch="fake_api:cursor_pages", style="cursor", budget="4") == 4
-    assert read(fetch="fake_api:numbered_pages", style="number", pages="9") == 4
+    read = lambda **o: paging.read_paged(spark, queries='["a", "b"]', **o)
+    assert read(fetch="fake_api:offset_pages", size="3").count() == 14
+    assert read(fetch="fake_api:cursor_pages", style="cursor", budget="4").count() == 4
+    assert paging.shares(4, 2) == [2, 2] and paging.shares(5, 2) == [2, 2] and paging.shares(2, 3) == [1, 1, 0]
+    # one set of keys over all queries: what two of them find comes once, from the first
+    numbered = read(fetch="fake_api:numbered_pages", style="number", budget="9").collect()
+    assert sorted((r.item_key, json.loads(r.payload)["by"]) for r in numbered) == [("1", "a"), ("2", "a")]
+    found = read(fetch="fake_api:short_cursors", style="cursor").collect()
+    assert sorted((r.item_key, r.query) for r in found) == sorted([(f"{q}-{i}", q) for q in "ab" for i in range(3)] + [(f"common-{i}", "a") for i in range(3)])
+    assert [r.item_key for r in read(fetch="fake_api:short_cursors", style="cursor", most=3).collect()] == ["a-0", "common-0", "a-1"]
     assert paging.split_observed({"a": 1, "b": 2, "c": 3}, ["b"], ["c"]) == {"job": {"a": 1}, "observed": {"b": 2}}
 
 
+def test_paged_stream_goes_on_where_it_stopped(spark, tmp_path):
+    """Two pages a trigger; a new query over the checkpoint goes on from its cursors."""
+    for name, most, want in (("one", 1, {"a-0", "b-0", "common-0"}), ("rest", None, {f"{x}-{i}" for x in ("a", "b", "common") for i in range(3)})):
+        rows = paging.stream_paged(spark, queries='["a", "b"]', fetch="fake_api:short_cursors", style="cursor", budget="2")
+        out = rows.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="0 seconds").start()
+        for _ in range(600):
+            keys = {r.item_key for r in spark.read.schema("item_key string").parquet(str(tmp_path / "out")).collect()} if (tmp_path / "out").exists() else set()
+            if len(out.recentProgress) >= 1 and keys >= want:
+                break
+            time.sleep(0.2)
+        out.stop()
+        assert keys >= want, name
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.item_key for r in rows) == sorted(want)
+
+
+def test_paged_stream_reads_a_range_again():
+    stream = paging._Stream(paging._Settings({"queries": '["a", "b"]', "fetch": "fake_api:short_cursors", "style": "cursor", "budget": "3"}))
+    start = stream.initialOffset()
+    rows, end = stream.read(start)
+    rows = list(rows)
+    assert end == {"at": [{"cursor": "c2"}, {"cursor": "c1"}], "items": [6, 3]} and sorted(stream.readBetweenOffsets(start, end), key=str) == sorted(rows, key=str)
+    more, last = stream.read(end)
+    assert len(list(more)) == 9 and last == {"at": [None, None], "items": [9, 9]} and list(stream.read(last)[0]) == []
+
+
 def jobs(spark):
     rows = [(1, "Data 50% Analyst", "Acme", "Nairobi", "county", "Tech", ["Python", "SQL"], True, False, date(2026, 1, 2)), (2, "Cook", None, "Embu", "county", "Food", [], False, True, None), (3, "Dev", "B", "Remote", "remote", "Tech", ["SQL"], False, True, date(2026, 1, 3))]
     return spark.createDataFrame(rows, "job_posting_key long, title string, company_name string, county_name string, location_type string, category string, skills array<string>, has_salary boolean, is_remote boolean, date_posted date")
