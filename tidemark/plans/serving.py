@@ -7,6 +7,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.quality import within
+from tidemark.plans.result_cache import ResultCache
+
 MOST_RESULTS = 500
 
 
@@ -93,20 +96,35 @@ def enough_weeks(weekly: DataFrame, least: int = 3) -> bool:
     return weekly.filter("week_complete").select("week_start").distinct().count() >= least
 
 
-#: Views that readers may see, and a column that none of them may have.
-PUBLIC_VIEWS = """v_public_jobs v_public_dq_summary v_public_runs v_public_source_freshness v_coverage_sources v_coverage_overall v_skill_demand
-v_county_summary v_weekly_new_postings v_advertised_window_stats v_feed_depth v_lifetime_km v_lifetime_summary""".split()
+#: Views that readers may see, a column that none of them may have, seconds of a query.
+PUBLIC_VIEWS = [
+    "v_public_jobs",
+    "v_public_dq_summary",
+    "v_public_runs",
+    "v_public_source_freshness",
+    "v_coverage_sources",
+    "v_coverage_overall",
+    "v_skill_demand",
+    "v_county_summary",
+    "v_weekly_new_postings",
+    "v_advertised_window_stats",
+    "v_feed_depth",
+    "v_lifetime_km",
+    "v_lifetime_summary",
+]
+READER_SECONDS = 15.0
 FORBIDDEN_COLUMNS = {"description_text", "description_html", "payload"}
 
 
 class PublicCatalog:
     """Read access to the allowed views and nothing else."""
 
-    def __init__(self, views: dict[str, DataFrame]):
+    def __init__(self, views: dict[str, DataFrame], cache: ResultCache | None = None):
         for name, view in views.items():
             if name in PUBLIC_VIEWS and FORBIDDEN_COLUMNS & set(view.columns):
                 raise PermissionError(f"{name} holds columns that must not be shown")
         self._views = {k: v for k, v in views.items() if k in PUBLIC_VIEWS}
+        self.cache = ResultCache() if cache is None else cache
 
     def names(self) -> list[str]:
         return sorted(self._views)
@@ -115,3 +133,16 @@ class PublicCatalog:
         if name not in self._views:
             raise PermissionError(f"{name} is not a public view")
         return self._views[name]
+
+    def fetch(self, name: str, query=lambda view: view, seconds: float = READER_SECONDS):
+        """The rows of a query over one view, as an Arrow table: kept for a while, of bounded size, and
+        stopped if it takes too long."""
+        wanted = query(self.read(name))
+        return within(wanted.sparkSession, seconds, lambda: self.cache.fetch(wanted))
+
+
+def write_csv(rows: DataFrame, path: str, most: int | None = None) -> None:
+    """Rows as CSV files with a header; with ``most`` the first so many, in one file."""
+    rows = rows if most is None else rows.limit(most).coalesce(1)
+    flat = [F.array_join(F.col(c).cast("array<string>"), "; ").alias(c) if kind.startswith("array<") else F.col(c) for c, kind in rows.dtypes]
+    rows.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

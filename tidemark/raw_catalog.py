@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog import query
+from tidemark import lens, sqlfunctions
+from tidemark.catalog import ORACLES, _wilson_sql, query
 from tidemark.functions import classify, geo
 from tidemark.lens import TITLES, read
-from tidemark.plans import clean
+from tidemark.plans import clean, views
 from tidemark.sources import adapters, pages
 
 
@@ -224,3 +225,39 @@ def clean_postings(spark: SparkSession, d: str) -> DataFrame:
     """The cleaning pass over postings of all sources."""
     columns = ["source", "job_key", "title_clean", "title_norm", "company", "county", "county_code", "seniority", "date_posted", "is_remote", "description_text", "dedup_key"]
     return clean.clean(posted(spark, d)).select(*columns)
+
+
+# ---- functions in SQL texts ----
+
+
+@query("lifetime_km_sql", ORACLES["lifetime_km"])
+def lifetime_km_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The curves of ``lifetime_km``, said in SQL."""
+    sqlfunctions.register(spark)
+    t = lens.tables(spark, d)
+    observed = views.lifetime_observations(views.analytics_base(t), t["sightings"])
+    return spark.sql(
+        """WITH counted AS (SELECT source, duration_days, left_listing, count(*) AS n FROM {observed} GROUP BY ALL),
+ arrays AS (SELECT source, collect_list(struct(duration_days, left_listing, n)) AS x FROM counted GROUP BY source)
+ SELECT source, k.t AS age_days, k.at_risk, k.n_events, round(k.survival, 4) AS survival FROM arrays, LATERAL km_survival_counted(x.duration_days, x.left_listing, x.n) AS k""",
+        observed=observed,
+    )
+
+
+@query(
+    "sql_functions",
+    f"""WITH t AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, {_sql_list(JOBS)}[o_custkey % 12 + 1] AS title, {_sql_list(FIELDS)}[o_orderkey % 6 + 1] AS industry FROM orders)
+ SELECT o_orderkey, CAST(strftime(day, '%Y%m%d') AS INTEGER) AS day_key, CASE {_rule_chain("title", 2)} {_rule_chain("industry", 3)} ELSE 'Other' END AS category,
+   CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE {_wilson_sql("(o_custkey % 3)", "(o_custkey % 7)", "-")} END AS low, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE {_wilson_sql("(o_custkey % 3)", "(o_custkey % 7)", "+")} END AS high
+ FROM t WHERE o_custkey % 3 <= o_custkey % 7""",
+)
+def sql_functions(spark: SparkSession, d: str) -> DataFrame:
+    """Date keys, categories and intervals, said in SQL."""
+    sqlfunctions.register(spark)
+    rows = read(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), _at(JOBS, F.col("o_custkey") % 12).alias("title"), _at(FIELDS, F.col("o_orderkey") % 6).alias("industry"))
+    return spark.sql(
+        """SELECT o_orderkey, date_key(day) AS day_key, classify_category(title, industry) AS category,
+ CAST(round(CAST(100 * wilson_low(o_custkey % 3, o_custkey % 7) AS DECIMAL(38, 9)), 1) AS DOUBLE) AS low, CAST(round(CAST(100 * wilson_high(o_custkey % 3, o_custkey % 7) AS DECIMAL(38, 9)), 1) AS DOUBLE) AS high
+ FROM {rows} WHERE o_custkey % 3 <= o_custkey % 7""",
+        rows=rows,
+    )
