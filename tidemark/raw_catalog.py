@@ -6,15 +6,20 @@ columns what has to come out.
 
 from __future__ import annotations
 
+import uuid
+from datetime import date, datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import lens, sqlfunctions
 from tidemark.catalog import ORACLES, _wilson_sql, query
-from tidemark.functions import classify, geo
+from tidemark.functions import classify, dates, geo, text
 from tidemark.lens import TITLES, read
-from tidemark.plans import clean, views
-from tidemark.sources import adapters, pages
+from tidemark.operators.keyed import KeyedTable
+from tidemark.plans import clean, quality, serving, views
+from tidemark.shared import shared_folder
+from tidemark.sources import adapters, pages, raw_layer
 
 
 def _filled(template: str, **values: Column) -> Column:
@@ -261,3 +266,182 @@ def sql_functions(spark: SparkSession, d: str) -> DataFrame:
  FROM {rows} WHERE o_custkey % 3 <= o_custkey % 7""",
         rows=rows,
     )
+
+
+# ---- raw files, keys, hashes ----
+
+_KEYED = "CASE o_orderkey % 3 WHEN 0 THEN 'https://x.example/' || o_orderkey WHEN 1 THEN 'v' || o_orderkey"
+_STABLE = """'[{"k":"b","v":"\\"' || o_orderpriority || '\\""}' || CASE o_orderkey % 3 WHEN 1 THEN ',{"k":"identifier","v":"{\\"value\\":\\"v' || o_orderkey || '\\"}"}' ELSE '' END
+ || ',{"k":"o","v":"' || o_custkey || '"}' || CASE o_orderkey % 3 WHEN 0 THEN ',{"k":"url","v":"\\"https://x.example/' || o_orderkey || '\\""}' ELSE '' END || ']'"""
+
+
+def _envelopes(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as one visit's payloads, in envelopes; every visit writes its time into them."""
+    k = F.col("o_orderkey")
+    payload = _json(
+        o=F.col("o_custkey").cast("string"), fetched_at=_text(F.col("o_orderdate")), url=F.when(k % 3 == 0, _text(F.concat(F.lit("https://x.example/"), k))),
+        identifier=F.when(k % 3 == 1, _json(value=_text(F.concat(F.lit("v"), k)))), observed=_text(k), b=_text(F.col("o_orderpriority")),
+    )
+    rows = read(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", F.parse_json(payload).alias("payload"))
+    own = F.col("payload")
+    return rows.select("o_orderkey", F.col("o_orderpriority").alias("source"), F.date_trunc("year", F.to_date("o_orderdate")).alias("scraped_at"), raw_layer.job_key(own).alias("job_key"), raw_layer.content_hash(own).alias("content_hash"), F.lit("run").alias("run_id"), "payload")
+
+
+@query("raw_envelopes", f"WITH h AS (SELECT o_orderkey, sha256({_STABLE}) AS content_hash, {_KEYED} END AS named FROM orders) SELECT o_orderkey, coalesce(named, left(content_hash, 32)) AS job_key, content_hash FROM h")
+def raw_envelopes(spark: SparkSession, d: str) -> DataFrame:
+    return _envelopes(spark, d).select("o_orderkey", "job_key", "content_hash")
+
+
+@query(
+    "raw_files",
+    f"""WITH h AS (SELECT o_orderkey, o_orderpriority, year(CAST(o_orderdate AS DATE)) AS y, sha256({_STABLE}) AS content_hash, {_KEYED} END AS named, o_custkey FROM orders)
+ SELECT coalesce(named, left(content_hash, 32)) AS job_key, content_hash, CAST(o_custkey AS BIGINT) AS o, CAST(y AS INTEGER) AS y FROM h WHERE o_orderpriority = '2-HIGH' AND y BETWEEN 1994 AND 1996""",
+)
+def raw_files(spark: SparkSession, d: str) -> DataFrame:
+    """All envelopes written as gzip files by source and day, one source and some days of them reread."""
+    root = f"{shared_folder(spark)}/raw-files-{uuid.uuid4().hex}"
+    raw_layer.write_batch(_envelopes(spark, d).drop("o_orderkey"), root)
+    back = raw_layer.read_batches(spark, root, "2-HIGH", "1994-01-01", "1996-12-31")
+    return back.select("job_key", "content_hash", F.try_variant_get("payload", "$.o", "long").alias("o"), F.year("scraped_at").alias("y"))
+
+
+@query(
+    "fingerprints",
+    f"""WITH t AS (SELECT o_orderkey, 'Firm ' || o_custkey || ' Ltd.' AS e, {_sql_list(JOBS)}[o_custkey % 12 + 1] AS t, {_sql_list(FIELDS)}[o_orderkey % 6 + 1] AS p, {_sql_list(["Worldwide", "Nairobi, KENYA", "Lagos", "East Africa only", ""])}[o_orderkey % 5 + 1] AS place FROM orders),
+ n AS (SELECT *, trim(lower(regexp_replace(e, '[^A-Za-z0-9]+', ' ', 'g'))) AS ne, trim(lower(regexp_replace(t, '[^A-Za-z0-9]+', ' ', 'g'))) AS nt, trim(lower(regexp_replace(p, '[^A-Za-z0-9]+', ' ', 'g'))) AS np FROM t)
+ SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN left(sha1(ne || '|' || nt || '|' || np), 20) END AS fingerprint, regexp_matches(lower(place), 'kenya|africa|worldwide') AS open FROM n""",
+)
+def fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    employer = F.when(k % 9 != 0, F.concat(F.lit("Firm "), F.col("o_custkey"), F.lit(" Ltd."))).otherwise(F.lit(" - "))
+    place = _at(["Worldwide", "Nairobi, KENYA", "Lagos", "East Africa only", ""], k % 5)
+    found = adapters.fingerprint(employer, _at(JOBS, F.col("o_custkey") % 12), _at(FIELDS, k % 6))
+    return read(spark, d, "orders").select("o_orderkey", found.alias("fingerprint"), adapters.open_to_region(place).alias("open"))
+
+
+# ---- pages composed from customers ----
+
+
+def _customers(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+LINKS = '<p><a href="/job/cook-<k>">1</a><a href=\'/job/cook-<k>#apply\'>2</a><a href="https://m.example/job/other-<n>">3</a><a href="/job/a/b">4</a><a href="https://b.example/job/x">5</a><a href="/2026/01/<n>/post-<k>/">6</a><a href="/2026/1/02/post">7</a><a href="/job/q?x=1">8</a>'
+
+
+@query("job_links", "SELECT c_custkey, 'https://m.example/job/cook-' || c_custkey || ' https://m.example/job/other-' || (10 + c_custkey % 20) AS jobs, 'https://m.example/2026/01/' || (10 + c_custkey % 20) || '/post-' || c_custkey || '/' AS posts FROM customer")
+def job_links(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    html = _filled(LINKS, k=k, n=10 + k % 20)
+    found = lambda path: F.array_join(pages.links(html, "https://m.example/", path), " ")
+    return read(spark, d, "customer").select("c_custkey", found(pages.JOB_PATH).alias("jobs"), found(pages.POST_PATH).alias("posts"))
+
+
+LABELLED = """<html><head><title> A page </title></head><body><h1><job> at <firm></h1><a href="/jobs-at/x">View Jobs at <firm></a><span>Posted: Sep <day>, 2026</span><ul><li><b>Job Type</b><i>Full Time</i></li><li>Location</li>
+<li><a href="/jobs-location/a"><place></a></li><li>Job Field</li><li><a href="/jobs-by-field/b">Trade</a></li></ul><p>Check how your CV does</p><p>Sell <place> things.</p><script>no()</script><h3>Method of Application</h3><p>Mail us</p></body></html>"""
+ARTICLE = """<html><head><script type="application/ld+json">{"@graph": [{"@type": "Article", "datePublished": "2026-02-<day>"}]}</script></head><body><nav>menu</nav><article><h1><day> Vacancies Open At <firm> – September 2026</h1>
+<p>Location: <place> Employment Type: Full time Application Deadline: <day> March 2026</p></article></body></html>"""
+
+
+def _record(spark: SparkSession, d: str, template: str, style: str) -> tuple[DataFrame, object]:
+    day = F.lpad((10 + F.col("c_custkey") % 18).cast("string"), 2, "0")
+    html = _filled(template, job=_at(TITLES, F.col("c_custkey") % 7), firm=F.col("c_name"), day=day, place=F.col("n_name"))
+    rows = _customers(spark, d).select("c_custkey", F.concat(F.lit("https://x.example/"), "c_custkey").alias("url"), html.alias("html"))
+    return pages.page_records(rows, style=style), lambda path, kind="string": F.try_variant_get("record", path, kind)
+
+
+@query(
+    "labelled_pages",
+    f"""SELECT c_custkey, 'https://x.example/' || c_custkey AS url, 'A page' AS page, {_sql_list(TITLES)}[c_custkey % 7 + 1] AS title, c_name AS company, n_name AS place, '2026-09-' || (10 + c_custkey % 18) AS posted, 'Full Time' AS kind, 'Trade' AS field,
+ 'Sell ' || n_name || ' things.' AS description FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+)
+def labelled_pages(spark: SparkSession, d: str) -> DataFrame:
+    found, at = _record(spark, d, LABELLED, "labelled")
+    p = "$.job_posting"
+    return found.select(
+        "c_custkey", at("$.url").alias("url"), at("$.page_meta.html_title").alias("page"), at(f"{p}.title").alias("title"), at(f"{p}.hiringOrganization.name").alias("company"), at(f"{p}.jobLocation.address.addressLocality").alias("place"),
+        at(f"{p}.datePosted").alias("posted"), at(f"{p}.employmentType").alias("kind"), at(f"{p}.industry").alias("field"), at(f"{p}.description").alias("description"),
+    )
+
+
+@query(
+    "article_pages",
+    """SELECT c_custkey, c_name AS company, n_name AS place, '2026-02-' || (10 + c_custkey % 18) AS posted, '2026-03-' || (10 + c_custkey % 18) AS due, CAST(10 + c_custkey % 18 AS INTEGER) AS vacancies, TRUE AS roundup FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+)
+def article_pages(spark: SparkSession, d: str) -> DataFrame:
+    found, at = _record(spark, d, ARTICLE, "article")
+    p = "$.job_posting"
+    return found.select(
+        "c_custkey", at(f"{p}.hiringOrganization.name").alias("company"), at(f"{p}.jobLocation.address.addressLocality").alias("place"), at(f"{p}.datePosted").alias("posted"), at(f"{p}.validThrough").alias("due"),
+        at("$.vacancy_count", "int").alias("vacancies"), at("$.is_roundup", "boolean").alias("roundup"),
+    )
+
+
+@query("page_text", "SELECT c_custkey, 'We pay ' || printf('%,d', 1000 + c_custkey) || ' at A & B ' || n_name AS text, c_custkey % 2 = 0 AS visible FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def page_text(spark: SparkSession, d: str) -> DataFrame:
+    """Text of HTML that is escaped once more, and whether a salary stands in it."""
+    k = F.col("c_custkey")
+    html = _filled("<div><p>We pay\n <b><pay></b></p><style>p {}</style>at A &amp;amp; B<br>&lt;i&gt;<place>&lt;/i&gt;<script>9</script></div>", pay=F.format_number(1000 + k, 0), place=F.col("n_name"))
+    rows = _customers(spark, d).select("c_custkey", html.alias("html"), F.when(k % 2 == 0, 1000 + k).otherwise(7_000_000 + k).alias("amount"))
+    return rows.select("c_custkey", text.html_to_text(F.col("html")).alias("text"), pages.salary_is_visible(F.col("html"), F.col("amount")).alias("visible"))
+
+
+# ---- checks and charts ----
+
+
+@query(
+    "dq_run",
+    """SELECT 'raw.orders.o_custkey.not_null' AS name, count(*) FILTER (o_custkey IS NULL) AS violations, count(*) AS total, count(*) FILTER (o_custkey IS NULL) = 0 AS passed FROM orders
+ UNION ALL SELECT 'raw.orders.o_orderpriority.accepted_values', count(*) FILTER (o_orderpriority <> '1-URGENT'), count(*), FALSE FROM orders
+ UNION ALL SELECT 'raw.orders.dear', count(*) FILTER (NOT o_totalprice < 200000), count(*), count(*) FILTER (NOT o_totalprice < 200000) <= 0.9 * count(*) FROM orders
+ UNION ALL SELECT 'raw.orders.no_such_column', 0, 0, FALSE
+ UNION ALL SELECT 'raw.orders.o_custkey.relationships', count(*) FILTER (c_custkey IS NULL), count(*), count(*) FILTER (c_custkey IS NULL) = 0 FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+ UNION ALL SELECT 'ops.click.seen_within_3d', CASE WHEN max(CAST(ts + INTERVAL 3 HOUR AS DATE)) < DATE '2024-01-25' - 3 THEN 1 ELSE 0 END, 1, max(CAST(ts + INTERVAL 3 HOUR AS DATE)) >= DATE '2024-01-25' - 3 FROM events WHERE event_type = 'click'
+ UNION ALL SELECT 'ops.nobody.seen_within_3d', 1, 1, FALSE
+ UNION ALL SELECT 'raw.orders_match_customers', abs((SELECT count(*) FROM orders) - (SELECT count(*) FROM customer)), (SELECT count(*) FROM customer), abs((SELECT count(*) FROM orders) - (SELECT count(*) FROM customer)) <= 20 * (SELECT count(*) FROM customer)""",
+)
+def dq_run(spark: SparkSession, d: str) -> DataFrame:
+    """Checks of every kind, run as a suite; one of them cannot run."""
+    as_of = date(2024, 1, 25)
+    seen = read(spark, d, "events").select(F.col("event_type").alias("source"), dates.local_date(F.col("ts").cast("timestamp")).alias("seen_on"))
+    tables = {"raw.orders": read(spark, d, "orders"), "raw.customer": read(spark, d, "customer"), "raw.sightings": seen}
+    count = lambda t, name: t[name].agg(F.count(F.lit(1)).alias("n"))
+    apart = lambda t: count(t, "raw.orders").join(count(t, "raw.customer").withColumnRenamed("n", "total")).select(F.abs(F.col("n") - F.col("total")).alias("violations"), "total")  # noqa: E731  a row each
+    checks = [
+        quality.not_null("raw.orders", "o_custkey"), quality.accepted_values("raw.orders", "o_orderpriority", ["1-URGENT"]), quality.expression_is_true("raw.orders", "o_totalprice < 200000", "dear", max_fraction=0.9),
+        quality.expression_is_true("raw.orders", "no_such > 1", "no_such_column"), quality.relationships("raw.orders", "o_custkey", "raw.customer", "c_custkey"), quality.seen_recently("click", as_of), quality.seen_recently("nobody", as_of),
+        quality.custom("raw.orders_match_customers", "raw", apart, max_fraction=20.0),
+    ]
+    results = quality.run_checks(checks, tables)
+    return quality.results_frame(spark, results, datetime(2024, 1, 25, tzinfo=timezone.utc)).select(F.col("check_name").alias("name"), "violations", "total", "passed")
+
+
+@query("skill_chart", f"SELECT * FROM ({ORACLES['skill_demand_grid']}) ORDER BY balanced_pct DESC, postings DESC, skill_name LIMIT 15")
+def skill_chart(spark: SparkSession, d: str) -> DataFrame:
+    t = lens.tables(spark, d)
+    return serving.skill_chart(views.skill_demand(views.analytics_base(t), t["dim_skill"]), balanced=True)
+
+
+@query(
+    "clean_profile",
+    f"""WITH r AS ({_ROW}), s AS (SELECT *, {_sql_list(list(_SHAPES))}[k % 5 + 1] AS source FROM r) SELECT count(*) AS postings, count(*) FILTER (NOT (source = 'myjobmag' AND k % 4 = 3)) AS company, count(*) AS date_posted,
+ count(*) FILTER (NOT (source = 'reliefweb' AND k % 3 <> 0)) AS county, count(*) FILTER (NOT (source = 'myjobmag' AND k % 4 = 3)) AS dedup_key, count(*) FILTER (source = 'remotive' OR (source = 'myjobmag' AND k % 11 = 0) OR (source = 'jsearch' AND k % 4 = 0)) AS remote FROM s""",
+)
+def clean_profile(spark: SparkSession, d: str) -> DataFrame:
+    return clean.profile(clean.clean(posted(spark, d))).select("postings", "company", "date_posted", "county", "dedup_key", "remote")
+
+
+# ---- incremental load ----
+
+
+@query("keyed_upsert", "SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 10 = 0 AND o_orderpriority IN ('1-URGENT', '5-LOW') THEN -1 ELSE o_custkey END AS o_custkey FROM orders")
+def keyed_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """A table of all orders but some, and then a batch that changes and adds rows of two partitions."""
+    k = F.col("o_orderkey")
+    orders = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    name = f"keyed_{uuid.uuid4().hex}"
+    table = KeyedTable.create(spark, name, orders, ["o_orderpriority", "o_orderkey"], "o_orderpriority", f"{shared_folder(spark)}/{name}", buckets=8)
+    two = F.col("o_orderpriority").isin("1-URGENT", "5-LOW")
+    table.insert_ignore(orders.filter(~two | (k % 20 != 0)))
+    table.upsert(orders.filter(two & (k % 10 == 0)).withColumn("o_custkey", F.lit(-1).cast("long")))
+    return table.read().select("o_orderkey", "o_orderpriority", "o_custkey")
