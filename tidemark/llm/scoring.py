@@ -3,10 +3,14 @@
 Training counts of words and of pairs of neighbouring words are added up over the whole corpus by
 the block exchange. Their counts are quantised to powers of two, and the filter holds an n-gram of
 level j once for each level up to j; a reader probes level after level until one is missing. The
-filter holds every n-gram, pairs seen once included, and grows with their number. It is cut into
-slices by range of the hash, each built and probed where its n-grams were added up: a block sends
-the words and pairs it has to score along with its counts, and gets their levels back. So no
-machine ever holds more than a slice.
+filter holds every n-gram, pairs seen once included, and grows with their number.
+
+It is cut into slices by range of the hash. Each is built where its n-grams were added up and kept
+as a packed row of a table; the counts themselves are not kept. While all slices together are at
+most ``most_broadcast`` bytes, which is checked, the filter is broadcast to the workers, which
+probe it text by text. Beyond that the probes travel: a block sends each slice the distinct n-grams
+that it has to look up, and gets their levels back, so that no machine ever holds more than a
+slice. Both ways give the same scores.
 
 The probability of a word after another mixes the pair's relative frequency with the word's own
 smoothed one; a word after an unseen word has its own alone. The exact unigram score beside it
@@ -25,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +43,10 @@ PROBES = 4
 LEVELS = 40
 _ADD = 0.1
 
-_MERGED = "kind int, p int, block long, counts binary, levels binary, total long, known long"
-_MERGED_ARROW = pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("block", pa.int64()), ("counts", pa.binary()), ("levels", pa.binary()), ("total", pa.int64()), ("known", pa.int64())])
+_MERGED = "kind int, p int, block long, payload binary, bits long, total long, known long"
+_MERGED_ARROW = pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("block", pa.int64()), ("payload", pa.binary()), ("bits", pa.int64()), ("total", pa.int64()), ("known", pa.int64())])
+_LEVELS = "kind int, p int, block long, payload binary"
+_LEVELS_ARROW = pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())])
 
 
 def tokens(chunk: _bytes.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,54 +110,100 @@ class Slice:
         return out
 
 
-def _requests(many: int):
+def _tallies(table: pa.Table, trained: np.ndarray) -> dict[int, _exchange.Tally]:
+    """The distinct words and pairs of a block, and how often training texts have them."""
+    tallies = {WORDS: _exchange.Tally(), PAIRS: _exchange.Tally()}
+    for chunk in _bytes.chunks(table["text"], 1 << 20):
+        hashes, rows, before = tokens(chunk)
+        once = trained[chunk.first + rows]
+        tallies[WORDS].add(hashes, once)
+        tallies[PAIRS].add(pair_keys(before, hashes), once)
+    return tallies
+
+
+def _counts(many: int):
+    """A block's requests: all its words, whose exact counts it wants back, and its training pairs."""
+
     def run(table: pa.Table) -> pa.Table:
-        tallies = {WORDS: _exchange.Tally(), PAIRS: _exchange.Tally()}
-        trained = np.array(table["train"].to_pylist(), dtype=np.int64)
-        for chunk in _bytes.chunks(table["text"], 1 << 20):
-            hashes, rows, before = tokens(chunk)
-            once = trained[chunk.first + rows]
-            tallies[WORDS].add(hashes, once)
-            tallies[PAIRS].add(pair_keys(before, hashes), once)
-        block = table["block"][0].as_py()
-        return _exchange.request_table([r for kind, t in tallies.items() for r in _exchange.request_rows(block, kind, *t.result(), BITS[kind], many)])
+        block, rows = table["block"][0].as_py(), []
+        for kind, tally in _tallies(table, np.array(table["train"].to_pylist(), dtype=np.int64)).items():
+            keys, counts = tally.result()
+            kept = counts > 0 if kind == PAIRS else np.ones(len(keys), dtype=bool)
+            if kept.any():
+                rows += _exchange.request_rows(block, kind, keys[kept], counts[kept], BITS[kind], many)
+        return _exchange.request_table(rows)
 
     return run
 
 
 def _merge(bits_per_entry: int):
+    """Of one range: its slice of the filter, and for each block the counts of its words."""
+
     def run(table: pa.Table) -> pa.Table:
         p, kind = table["p"][0].as_py(), table["kind"][0].as_py()
         keys, totals, places = _exchange.placed(table)
         known = totals > 0  # the others are only asked about
-        levels = build_slice(keys[known], totals[known], kind, bits_per_entry).levels(keys)
-        rows = [{"kind": kind, "p": p, "block": b, "counts": _bytes.pack_counts(totals[at]) if kind == WORDS else None, "levels": _bytes.pack_counts(levels[at])} for b, at in places]
-        rows.append({"kind": kind, "p": p, "total": int(totals.sum()), "known": int(known.sum())})
+        rows = [{"kind": kind, "p": p, "block": b, "payload": _bytes.pack_counts(totals[at])} for b, at in places if kind == WORDS]
+        made = build_slice(keys[known], totals[known], kind, bits_per_entry)
+        rows.append({"kind": kind, "p": p, "payload": made.flags.tobytes(), "bits": made.bits, "total": int(totals.sum()), "known": int(known.sum())})
         return pa.Table.from_pylist(rows, schema=_MERGED_ARROW)
 
     return run
 
 
-def _score(many: int, n: int, v: int, weight: float):
+def _probes(many: int):
+    """A block's requests to the slices: the distinct words and pairs that it has to look up."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block, none = table["block"][0].as_py(), np.zeros(len(table), dtype=np.int64)
+        return _exchange.request_table([r for kind, t in _tallies(table, none).items() for r in _exchange.request_rows(block, kind, *t.result(), BITS[kind], many)])
+
+    return run
+
+
+def _probed(asked: pa.Table, slices: pa.Table) -> pa.Table:
+    """The levels that one slice has for each block's n-grams, none without a slice."""
+    rows = []
+    held = [Slice(np.frombuffer(x["payload"], dtype=np.uint8), x["kind"], x["bits"]) for x in slices.to_pylist()]
+    for x in asked.to_pylist():
+        keys = _bytes.unpack(x["keys"])
+        rows.append({"kind": x["kind"], "p": x["p"], "block": x["block"], "payload": _bytes.pack_counts(held[0].levels(keys) if held else np.zeros(len(keys), dtype=np.int64))})
+    return pa.Table.from_pylist(rows, schema=_LEVELS_ARROW)
+
+
+class Filter:
+    """All slices, as workers get them."""
+
+    def __init__(self, many: int, slices: dict[tuple[int, int], "Slice"]):
+        self.many, self.slices = many, slices
+
+    def levels(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys), dtype=np.int64)
+        for p, part in _exchange.ranges(keys, BITS[kind], self.many):
+            if (kind, p) in self.slices:
+                out[part] = self.slices[kind, p].levels(keys[part])
+        return out
+
+
+def _score(many: int, n: int, v: int, weight: float, sent: Broadcast | None):
+    """The scores of a block's texts. right: the counts of its words, and unless the filter was sent
+    the levels of its words and pairs."""
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        tallies = {WORDS: _exchange.Tally(), PAIRS: _exchange.Tally()}
-        for chunk in _bytes.chunks(left["text"], 1 << 20):
-            hashes, _, before = tokens(chunk)
-            for kind, asked in ((WORDS, hashes), (PAIRS, pair_keys(before, hashes))):
-                tallies[kind].add(asked, np.zeros(len(asked), dtype=np.int64))
+        tallies = _tallies(left, np.zeros(len(left), dtype=np.int64))
         (keys, _), (pairs, _) = tallies[WORDS].result(), tallies[PAIRS].result()
 
-        def answers(kind: int, column: str, asked: np.ndarray) -> np.ndarray:
-            got = right.filter(pc.equal(right["kind"], kind)).select(["p", column]).rename_columns(["p", "payload"])
+        def answers(what: str, kind: int, asked: np.ndarray) -> np.ndarray:
+            got = right.filter(pc.and_(pc.equal(right["kind"], kind), pc.equal(right["what"], what))).select(["p", "payload"])
             values = _exchange.answers(got, many)
             if len(values) != len(asked):
-                raise ValueError(f"a block of {len(asked)} n-grams got {len(values)} {column}")
+                raise ValueError(f"a block of {len(asked)} n-grams got {len(values)} {what}")
             return values
 
-        counts = answers(WORDS, "counts", keys)
+        levels = (lambda kind, asked: answers("levels", kind, asked)) if sent is None else sent.value.levels
+        counts = answers("counts", WORDS, keys)
         base = np.log10((counts + _ADD) / (n + _ADD * (v + 1)))
-        own_count = count_of(answers(WORDS, "levels", keys))
-        pair_count = count_of(answers(PAIRS, "levels", pairs))
+        own_count, pair_count = count_of(levels(WORDS, keys)), count_of(levels(PAIRS, pairs))
         own = np.minimum((own_count + _ADD) / (n + _ADD * (v + 1)), 1.0)
         out = []
         for chunk in _bytes.chunks(left["text"], 1 << 20):
@@ -168,18 +221,27 @@ def _score(many: int, n: int, v: int, weight: float):
     return run
 
 
-def score(df: DataFrame, held_out, key: str = "doc_id", text: str = "text", bits_per_entry: int = 10, pair_weight: float = 0.4) -> DataFrame:
+def score(df: DataFrame, held_out, key: str = "doc_id", text: str = "text", bits_per_entry: int = 10, pair_weight: float = 0.4, most_broadcast: int = 64 << 20) -> DataFrame:
     """One row per text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out`` is a Column: rows for which it holds are scored but not learned from.
     """
     _, many = _exchange.measured(df, text)
     docs = df.select(_exchange.block_of(df[key], df[text], many).alias("block"), df[key].alias("doc_id"), F.coalesce(df[text], F.lit("")).alias("text"), held_out.alias("held_out")).withColumn("train", (~F.col("held_out")).cast("int"))
-    asked = docs.groupBy("block").applyInArrow(_requests(many), _exchange.REQUEST)
+    asked = docs.groupBy("block").applyInArrow(_counts(many), _exchange.REQUEST)
     merged = materialise(asked.groupBy("kind", "p").applyInArrow(_merge(bits_per_entry), _MERGED), "lm-counts")
-    sums = merged.filter(F.col("block").isNull() & (F.col("kind") == WORDS)).agg(F.sum("total"), F.sum("known")).first()
-    n, v = sums[0] or 0, sums[1] or 0
+    slices = merged.filter("block IS NULL")
+    sums = slices.agg(F.sum(F.when(F.col("kind") == WORDS, F.col("total"))), F.sum(F.when(F.col("kind") == WORDS, F.col("known"))), F.sum(F.length("payload"))).first()
+    n, v, size = (x or 0 for x in sums)
+    back = merged.filter("block IS NOT NULL").select("block", "kind", "p", F.lit("counts").alias("what"), "payload")
+    sent = None
+    if size <= most_broadcast:
+        held = slices.select("kind", "p", "payload", "bits").collect()  # at most ``most_broadcast`` bytes
+        sent = df.sparkSession.sparkContext.broadcast(Filter(many, {(r.kind, r.p): Slice(np.frombuffer(r.payload, dtype=np.uint8), r.kind, r.bits) for r in held}))
+    else:
+        probes = docs.groupBy("block").applyInArrow(_probes(many), _exchange.REQUEST)
+        answers = probes.groupBy("kind", "p").cogroup(slices.select("kind", "p", "payload", "bits").groupBy("kind", "p")).applyInArrow(_probed, _LEVELS)
+        back = back.unionByName(materialise(answers, "lm-levels").select("block", "kind", "p", F.lit("levels").alias("what"), "payload"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    back = merged.filter("block IS NOT NULL").select("block", "kind", "p", "counts", "levels")
-    return docs.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_score(many, n, v, pair_weight), schema)
+    return docs.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_score(many, n, v, pair_weight, sent), schema)
