@@ -221,10 +221,11 @@ def _score(many: int, n: int, v: int, weight: float, sent: Broadcast | None):
     return run
 
 
-def score(df: DataFrame, held_out, key: str = "doc_id", text: str = "text", bits_per_entry: int = 10, pair_weight: float = 0.4, most_broadcast: int = 64 << 20) -> DataFrame:
+def score(df: DataFrame, held_out, key: str = "doc_id", text: str = "text", bits_per_entry: int = 10, pair_weight: float = 0.4, most_broadcast: int = 256 << 20) -> DataFrame:
     """One row per text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    ``held_out`` is a Column: rows for which it holds are scored but not learned from.
+    ``held_out`` is a Column: rows for which it holds are scored but not learned from. A broadcast of
+    ``most_broadcast`` bytes is held once in each worker process and once on the driver.
     """
     _, many = _exchange.measured(df, text)
     docs = df.select(_exchange.block_of(df[key], df[text], many).alias("block"), df[key].alias("doc_id"), F.coalesce(df[text], F.lit("")).alias("text"), held_out.alias("held_out")).withColumn("train", (~F.col("held_out")).cast("int"))
