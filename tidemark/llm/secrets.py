@@ -9,8 +9,15 @@ were seen before is not queued again, which ends cycles. Every byte of a layer r
 of the text that it came from, so a secret found four layers down is reported where it stands in
 the text. Secrets of the first layer are the base; deeper layers only add spans.
 
-A payload that breaks off or is damaged counts as far as it unpacks. There is no bound on the size
-of a layer; one task holds the layers of one text.
+Escaped escape signs (``%2525...41``, ``\\u005cu005c...``, ``&#38;#38;...``) lose all but their last
+level at once: between those levels only digits behind a sign differ that no secret holds, so the
+layers left out have nothing new, and a text nested in this way costs a few passes however deep.
+
+A payload that breaks off or is damaged counts as far as it unpacks. One that unpacks to more than
+``BLOCK`` bytes is read in blocks that overlap by ``OVERLAP``; all its bytes stand for one span of the
+text, so a secret cut at a block's end is still one of that span. Layers are made when their turn
+comes, so a task holds one layer for each level of nesting, and of the layers seen a digest only.
+
 Defined cases: null text is empty; repeated rows are scanned as rows of their own; extra columns
 are ignored. Offsets are code points, ends exclusive.
 """
@@ -19,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
@@ -39,14 +47,53 @@ _HEX = re.compile(rb"[0-9a-f]{24,}")  # a run of 24 or more is the same match as
 _URL = re.compile(rb"%([0-9A-Fa-f]{2})")
 _ESCAPE = re.compile(rb"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 _RUN = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
-_WRAPPED = re.compile(rb"[A-Za-z0-9+/_-]+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}")
+_WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")  # from a run's beginning only, so in one pass
 _BREAK = re.compile(rb"[\x20\t\r\n]+")
 _BYTE = re.compile(rb"\\x([0-9A-Fa-f]{2})")
 #: How compressed bytes start; zlib's second byte is one of four that need no dictionary.
 _MAGIC = re.compile(rb"(?P<gzip>\x1f\x8b\x08)|(?P<zlib>\x78[\x01\x5e\x9c\xda])|(?P<bzip2>BZh[1-9])|(?P<xz>\xfd7zXZ\x00)|(?P<zstd>\x28\xb5\x2f\xfd)")
+#: Escape signs that are escaped themselves, again and again, in front of what they escape.
+_CHAINS = {
+    "url": (re.compile(rb"%(?:25)+(?=[0-9A-Fa-f]{2})"), b"%"),
+    "unicode": (re.compile(rb"\\u005[cC](?:u005[cC])*(?=u[0-9A-Fa-f]{4})|\\x5[cC](?:x5[cC])*(?=x[0-9A-Fa-f]{2})|&#(?:38|[xX]26);(?:#(?:38|[xX]26);)*(?=#)"), None),
+    "bytes": (re.compile(rb"\\x5[cC](?:x5[cC])*(?=x[0-9A-Fa-f]{2})"), b"\\"),
+}
+BLOCK, OVERLAP = 16 << 20, 1 << 20
+_PIECE = 1 << 20  # bytes unpacked at a time
 _LEAST = 12  # bytes of the shortest secret, and less than any wrapping of it
 
 
+#: What compressed bytes start with, as far as all of a kind share it.
+_SIGNS = (b"\x1f\x8b\x08", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
+
+
+def _marked(characters: bytes) -> bytes:
+    return bytes(0x78 if i in characters else 0x20 for i in range(256))
+
+
+_HEX_SIGNS = _marked(b"0123456789abcdef")
+_RUN_SIGNS = _marked(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+
+
+def _has_run(data: bytes, signs: bytes, n: int) -> bool:
+    """Whether ``n`` of the marked bytes stand in a row: much quicker than to look for them by pattern."""
+    return b"x" * n in data.translate(signs)
+
+
+class Starts:
+    """Where compressed payloads may start: the next place of each sign is looked for once."""
+
+    def __init__(self, data: bytes):
+        self.data, self.ahead = data, {sign: data.find(sign) for sign in _SIGNS}
+
+    def next(self, at: int) -> re.Match | None:
+        for sign, place in self.ahead.items():
+            if 0 <= place < at:
+                self.ahead[sign] = self.data.find(sign, at)
+        places = [p for p in self.ahead.values() if p >= 0]
+        return _MAGIC.search(self.data, min(places)) if places else None
+
+
 def find(layer: bytes) -> list[tuple[str, int, int]]:
     """Secrets of one layer as (kind, start, end) in bytes, leftmost and non-overlapping by kind."""
     found = []
@@ -55,7 +102,8 @@ def find(layer: bytes) -> list[tuple[str, int, int]]:
         found += [("assign", *m.span()) for m in _ASSIGN.finditer(low) if len(m[1]) >= 6]
     if b"AKIA" in layer:
         found += [("access", *m.span()) for m in _ACCESS.finditer(layer) if m.end() - m.start() >= 20]
-    found += [("hex", *m.span()) for m in _HEX.finditer(layer)]
+    if _has_run(layer, _HEX_SIGNS, 24):
+        found += [("hex", *m.span()) for m in _HEX.finditer(layer)]
     return found
 
 
@@ -130,47 +178,84 @@ def _escaped(m: re.Match) -> bytes | None:
     return chr(point).encode("utf-8", "surrogatepass") if point <= 0x10FFFF else None
 
 
-def _reader(name: str):
-    if name == "gzip":
-        return zlib.decompressobj(31)
-    if name == "zlib":
-        return zlib.decompressobj()
-    if name == "bzip2":
-        return bz2.BZ2Decompressor()
-    if name == "xz":
-        return lzma.LZMADecompressor()
-    import zstandard
-
-    return zstandard.ZstdDecompressor().decompressobj()
-
-
-def _unpack(data: bytes, name: str, at: int) -> tuple[bytes, int, bool]:
-    """What the members that start at ``at`` unpack to, where reading ended, and whether at least
-    the first one was whole."""
-    out, whole = bytearray(), False
-    try:
-        while (m := _MAGIC.match(data, at)) and m.lastgroup == name:
-            reader = _reader(name)
-            while at < len(data) and not reader.eof:
-                piece = data[at : at + 65536]
-                out += reader.decompress(piece)
-                at += len(piece) - (len(reader.unused_data) if reader.eof else 0)
-            whole = whole or reader.eof
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
-        pass
-    except Exception as error:  # the zstd library has its own error class
-        if type(error).__name__ != "ZstdError":
-            raise
-    return bytes(out), at, whole
-
-
-def _payloads(data: bytes) -> Iterator[tuple[str, int, int, bytes]]:
-    """(name, start, end, content) of the compressed payloads, wherever they start."""
-    at = 0
-    while m := _MAGIC.search(data, at):
-        inner, end, whole = _unpack(data, m.lastgroup, m.start())
-        if inner:
-            yield m.lastgroup, m.start(), max(end, m.end()), inner
+class Unpacker:
+    """The members of a payload that follow each other from ``at`` on, piece by piece; afterwards
+    where reading ended and whether at least the first member was whole."""
+
+    def __init__(self, data: bytes, name: str, at: int):
+        self.data, self.name, self.end, self.whole = data, name, at, False
+
+    def __iter__(self) -> Iterator[bytes]:
+        try:
+            while (m := _MAGIC.match(self.data, self.end)) and m.lastgroup == self.name:
+                yield from self._member()
+                if not self.whole:
+                    return
+        except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
+            pass
+        except Exception as error:  # the zstd library has its own error class
+            if type(error).__name__ != "ZstdError":
+                raise
+
+    def _member(self) -> Iterator[bytes]:
+        if self.name in ("gzip", "zlib"):
+            reader = zlib.decompressobj(31 if self.name == "gzip" else 15)
+        elif self.name in ("bzip2", "xz"):
+            reader = bz2.BZ2Decompressor() if self.name == "bzip2" else lzma.LZMADecompressor()
+        else:
+            import zstandard
+
+            reader = zstandard.ZstdDecompressor().decompressobj()
+        step = 1024 if self.name == "zstd" else 65536  # zstd has no bound on what a call returns
+        given = b""
+        while not reader.eof:
+            if not given and getattr(reader, "needs_input", True):
+                given = self.data[self.end : self.end + step]
+                self.end += len(given)
+                if not given:
+                    return
+            if self.name == "zstd":
+                out, given = reader.decompress(given), b""
+            else:
+                out = reader.decompress(given, _PIECE)
+                given = getattr(reader, "unconsumed_tail", b"")
+                while len(out) == _PIECE and not given and not reader.eof and not hasattr(reader, "needs_input"):
+                    yield out
+                    out = reader.decompress(b"", _PIECE)
+                    given = reader.unconsumed_tail
+            if out:
+                yield out
+        self.end -= len(reader.unused_data)
+        self.whole = True
+
+
+def _blocks(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Pieces put together to blocks, each of which begins with the end of the one before it."""
+    held, fresh = bytearray(), False
+    for piece in pieces:
+        held += piece
+        fresh = True
+        if len(held) >= BLOCK:
+            yield bytes(held)
+            del held[:-OVERLAP]
+            fresh = False
+    if fresh:
+        yield bytes(held)
+
+
+def _payloads(data: bytes) -> Iterator[tuple[str, int, int, Iterator[bytes]]]:
+    """(name, start, end, blocks of the content) of the compressed payloads, wherever they start."""
+    at, starts = 0, Starts(data)
+    while m := starts.next(at):
+        first, size, reader = [], 0, Unpacker(data, m.lastgroup, m.start())
+        for piece in reader:  # to the end, to know where that is; what is long is not held but read again
+            size += len(piece)
+            if size <= BLOCK:
+                first.append(piece)
+        end, whole = reader.end, reader.whole
+        if size:
+            blocks = iter([b"".join(first)]) if size <= BLOCK else _blocks(iter(Unpacker(data, m.lastgroup, m.start())))
+            yield m.lastgroup, m.start(), max(end, m.end()), blocks
         at = end if whole else m.start() + 1  # what looked like a start may have been none
 
 
@@ -190,48 +275,69 @@ def _base64(layer: Layer, a: int, b: int) -> Iterator[Layer]:
         j = np.arange(len(data)) * 8
         starts, last = _at(layer.starts, places[k + j // 6]), places[k + (j + 7) // 6]
         ends = last + 1 if isinstance(layer.ends, range) else _at(layer.ends, last)
-        for name, s, e, inner in _payloads(data):
-            n = len(inner)
-            yield Layer(inner, Same(starts[s], n), Same(layer.ends[b - 1] if e >= len(data) else ends[e - 1], n), Same(True, n), f"{layer.via}>base64>{name}")
+        for name, s, e, blocks in _payloads(data):
+            for inner in blocks:
+                n = len(inner)
+                yield Layer(inner, Same(starts[s], n), Same(layer.ends[b - 1] if e >= len(data) else ends[e - 1], n), Same(True, n), f"{layer.via}>base64>{name}")
         yield Layer(data, starts, ends, Same(True, len(data)), f"{layer.via}>base64")
 
 
+def _decoded(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | None:
+    """The layer with its escapes decoded once, and with chains of escaped signs cut to the last."""
+    chain, sign = _CHAINS[name]
+    short = _replaced(layer, chain, lambda m: sign or m[0][:1], name)
+    if short is None:
+        return _replaced(layer, pattern, decode, name)
+    short.via = layer.via
+    return _replaced(short, pattern, decode, name) or short
+
+
 def unwrapped(layer: Layer) -> Iterator[Layer]:
     data = layer.data
-    if b"%" in data and (x := _replaced(layer, _URL, lambda m: bytes([int(m[1], 16)]), "url")):
+    if b"%" in data and (x := _decoded(layer, _URL, lambda m: bytes([int(m[1], 16)]), "url")):
         yield x
-    if (b"\\" in data or b"&#" in data) and (x := _replaced(layer, _ESCAPE, _escaped, "unicode")):
+    if (b"\\" in data or b"&#" in data) and (x := _decoded(layer, _ESCAPE, _escaped, "unicode")):
         yield x
-    if b"\\x" in data and (x := _replaced(layer, _BYTE, lambda m: bytes([int(m[1], 16)]), "bytes")):
+    if b"\\x" in data and (x := _decoded(layer, _BYTE, lambda m: bytes([int(m[1], 16)]), "bytes")):
         yield x
-    for m in _RUN.finditer(data):
-        yield from _base64(layer, *m.span())
+    if _has_run(data, _RUN_SIGNS, 16):
+        for m in _RUN.finditer(data):
+            yield from _base64(layer, *m.span())
     if b"\n" in data:
         for m in _WRAPPED.finditer(data):
             yield from _base64(layer, *m.span())
     if layer.decoded is not None:
-        for name, s, e, inner in _payloads(data):
-            n = len(inner)
-            yield Layer(inner, Same(layer.starts[s], n), Same(layer.ends[e - 1], n), Same(True, n), f"{layer.via}>{name}")
+        for name, s, e, blocks in _payloads(data):
+            for inner in blocks:
+                n = len(inner)
+                yield Layer(inner, Same(layer.starts[s], n), Same(layer.ends[e - 1], n), Same(True, n), f"{layer.via}>{name}")
 
 
 def scan_text(text: bytes) -> list[dict]:
     """Every secret of a text: kind, start, end in code points, base, via (the layers it lay under)."""
     first = Layer(text, range(len(text)), range(1, len(text) + 1), None, "text")
     found: dict[tuple[str, int, int], tuple[bool, str]] = {}
-    work, seen = [first], {(text, 0)}
-    while work:
-        layer = work.pop()
+
+    def look(layer: Layer) -> None:
         for kind, a, b in find(layer.data):
             if layer is first:
                 found[kind, a, b] = (True, "text")
             elif layer.fresh(a, b):
                 found.setdefault((kind, *layer.span(a, b)), (False, layer.via))
-        for inner in unwrapped(layer):
-            mark = (inner.data, int(inner.starts[0]) if inner.data else 0)
-            if mark not in seen:
-                seen.add(mark)
-                work.append(inner)
+
+    def mark_of(layer: Layer) -> tuple[bytes, int]:
+        return hashlib.blake2b(layer.data, digest_size=16).digest(), int(layer.starts[0]) if layer.data else 0
+
+    look(first)
+    work, seen = [unwrapped(first)], {mark_of(first)}
+    while work:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+        elif (mark := mark_of(layer)) not in seen:
+            seen.add(mark)
+            look(layer)
+            work.append(unwrapped(layer))
     if not found:
         return []
     if text.isascii():
