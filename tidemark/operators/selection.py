@@ -78,15 +78,18 @@ def _between(low: Column, high: Column, place: Column) -> Column:
     return F.when((lower == upper) | (low == high), low).otherwise((upper - place) * low + (place - lower) * high)
 
 
-def percentiles(rows: DataFrame, by: list[str], value: Column, fractions: dict[str, float], most: int = 100_000, parts: int = 64) -> DataFrame:
+def percentiles(rows: DataFrame, by: list[str], value: Column, fractions: dict[str, float], most: int = 100_000, parts: int = 64, stored: bool = False) -> DataFrame:
     """``by`` and a column for each named fraction: the value at that fraction of each group's
-    non-null values, in between two of them linearly. Groups without a value have no row."""
-    values = kept(rows.select(*by, value.cast("double").alias("v")).filter("v IS NOT NULL"), "rank-values")
+    non-null values, in between two of them linearly. Groups without a value have no row. ``rows`` are
+    read several times, so they are written first unless they are ``stored``."""
+    values = rows.select(*by, value.cast("double").alias("v")).filter("v IS NOT NULL")
+    values = values if stored else kept(values, "rank-values")
     sizes = values.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    large = kept(sizes.filter(F.col("n") > most), "large-groups")
     exact = [F.percentile("v", p).alias(name) for name, p in fractions.items()]
-    if large.isEmpty():
-        return values.groupBy(*by).agg(*exact)
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= most:
+        small = values.groupBy(*by).agg(*exact, F.count(F.lit(1)).alias("n"))
+        return small.filter("n > 0").drop("n")
+    large = kept(sizes.filter(F.col("n") > most), "large-groups")
     wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p")) for name, p in fractions.items()]))
     state = large.withColumn("want", wanted).select(*by, "n", "want.*", "lo", "hi").withColumn("place", F.col("p") * (F.col("n") - 1))
     none = F.lit(None).cast("double")

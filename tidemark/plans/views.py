@@ -65,7 +65,7 @@ def salary_by_seniority(t: Tables) -> DataFrame:
     mid = F.col("salary_mid_monthly_kes")
     paid = kept(live(t).filter("has_salary").select("seniority", mid), "paid")
     counted = paid.groupBy("seniority").agg(F.count(F.lit(1)).alias("postings_with_salary"), rounded(F.avg(mid), 0).alias("avg_band_midpoint_kes"))
-    median = _named(percentiles(paid, ["seniority"], mid, {"median": 0.5}), "seniority")
+    median = _named(percentiles(paid, ["seniority"], mid, {"median": 0.5}, stored=True), "seniority")
     rows = counted.join(median, F.col("seniority").eqNullSafe(F.col("of_seniority")), "left")
     return rows.select("seniority", "postings_with_salary", "avg_band_midpoint_kes", rounded(F.col("median"), 0).alias("median_band_midpoint_kes")).orderBy(F.desc("postings_with_salary"), "seniority")
 
@@ -182,7 +182,7 @@ def county_summary(base: DataFrame, least_salary: int = 5, reliable: int = 10) -
     counted = located.groupBy("county_name").agg(
         n.alias("postings"), F.countDistinct("source").alias("sources"), paid.alias("n_salary"),
     )
-    median = _named(percentiles(located.filter("has_salary"), ["county_name"], F.col("salary_mid_kes"), {"median": 0.5}), "county_name")
+    median = _named(percentiles(located.filter("has_salary"), ["county_name"], F.col("salary_mid_kes"), {"median": 0.5}, stored=True), "county_name")
     counted = counted.join(median, F.col("county_name").eqNullSafe(F.col("of_county_name")), "left").drop("of_county_name")
     counted = counted.withColumn("median_salary_band_mid_kes", F.when(F.col("n_salary") >= least_salary, rounded(F.col("median"), 0)))
     every = F.sum("postings").over(Window.partitionBy(F.lit(0)))  # a row for each county
@@ -210,8 +210,8 @@ def advertised_window_stats(base: DataFrame) -> DataFrame:
     columns = [n.alias("postings"), known.alias("with_window"), pct(known, n).alias("pct_with_window")]
     quartiles = {"p25_days": 0.25, "median_days": 0.5, "p75_days": 0.75}
     shown = [F.col(c) for c in ("source", "postings", "with_window", "pct_with_window")] + [rounded(F.col(c), 1).alias(c) for c in quartiles]
-    by_source = rows.groupBy("source").agg(*columns).join(_named(percentiles(rows, ["source"], days, quartiles), "source"), F.col("source").eqNullSafe(F.col("of_source")), "left")
-    over_all = rows.agg(F.lit("all").alias("source"), *columns).join(percentiles(rows, [], days, quartiles), F.lit(True), "left")  # a row each
+    by_source = rows.groupBy("source").agg(*columns).join(_named(percentiles(rows, ["source"], days, quartiles, stored=True), "source"), F.col("source").eqNullSafe(F.col("of_source")), "left")
+    over_all = rows.agg(F.lit("all").alias("source"), *columns).join(percentiles(rows, [], days, quartiles, stored=True), F.lit(True), "left")  # a row each
     return by_source.select(*shown).unionByName(over_all.select(*shown))
 
 
