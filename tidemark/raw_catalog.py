@@ -235,20 +235,25 @@ def clean_postings(spark: SparkSession, d: str) -> DataFrame:
 # ---- functions in SQL texts ----
 
 
-@query("lifetime_km_sql", ORACLES["lifetime_km"])
-def lifetime_km_sql(spark: SparkSession, d: str) -> DataFrame:
-    """The curves of ``lifetime_km``, said in SQL."""
+def curves_in_sql(spark: SparkSession, observed: DataFrame) -> DataFrame:
+    """Curves of observations that are counted into arrays. The row that LATERAL takes is worked out
+    twice and joined with itself, so its arrays are sorted: collected as they come, the two may differ."""
     sqlfunctions.register(spark)
-    t = lens.tables(spark, d)
-    observed = views.lifetime_observations(views.analytics_base(t), t["sightings"])
     return spark.sql(
         """WITH counted AS (SELECT source, duration_days, left_listing, count(*) AS n FROM {observed} GROUP BY ALL),
- arrays AS (SELECT source, collect_list(struct(duration_days, left_listing, n)) AS x FROM counted GROUP BY source)
+ arrays AS (SELECT source, sort_array(collect_list(struct(duration_days, left_listing, n))) AS x FROM counted GROUP BY source)
  SELECT source, k.t AS age_days, k.at_risk, k.n_events, round(k.survival, 4) AS survival FROM arrays, LATERAL km_survival_counted(x.duration_days, x.left_listing, x.n) AS k""",
         observed=observed,
     )
 
 
+@query("lifetime_km_sql", ORACLES["lifetime_km"])
+def lifetime_km_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The curves of ``lifetime_km``, said in SQL."""
+    t = lens.tables(spark, d)
+    return curves_in_sql(spark, views.lifetime_observations(views.analytics_base(t), t["sightings"]))
+
+
 @query(
     "sql_functions",
     f"""WITH t AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, {_sql_list(JOBS)}[o_custkey % 12 + 1] AS title, {_sql_list(FIELDS)}[o_orderkey % 6 + 1] AS industry FROM orders)
