@@ -18,7 +18,7 @@ from tidemark.functions import classify, dates, geo, text
 from tidemark.lens import TITLES, read
 from tidemark.operators.keyed import KeyedTable
 from tidemark.plans import clean, quality, serving, views
-from tidemark.shared import shared_folder
+from tidemark.shared import shared_folder, spread
 from tidemark.sources import adapters, pages, raw_layer
 
 
@@ -184,7 +184,7 @@ _SHAPES = {
 
 
 def _orders(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"))
+    return spread(read(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate")))
 
 
 def _adapter(source: str) -> None:

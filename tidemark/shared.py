@@ -25,3 +25,10 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least three partitions a core, for steps whose work on a row outweighs its bytes:
+    a small file alone is one task."""
+    least = 3 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,22 +24,35 @@ def is_kind(v: Column, kind: str) -> Column:
     return _kind(v).startswith(kind)
 
 
-def scalar(payload: Column, path: str) -> Column:
-    """Text of a scalar field; null for objects, arrays and empty text."""
-    v = F.try_variant_get(payload, path, "variant")
-    return F.when(~is_kind(v, "OBJECT") & ~is_kind(v, "ARRAY"), text_at(payload, path))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def opened(v: Column, *fields: str) -> Column:
+    """Fields of an object as variants, taken in one pass; null unless it is an object."""
+    return F.try_variant_get(v, "$", f"struct<{', '.join(f'`{f}`: variant' for f in fields)}>")
+
+
+def plain(v: Column) -> Column:
+    """Text of a scalar; null for objects, arrays and empty text."""
+    return F.when(~_kind(v).rlike("^(OBJECT|ARRAY)"), text_at(v, "$"))
 
 
-def joined(payload: Column, path: str) -> Column:
+def within(v: Column, path: str) -> Column:
+    """Text of a scalar at a path of a variant."""
+    return let(F.try_variant_get(v, path, "variant"), plain)
+
+
+def joined(v: Column) -> Column:
     """A list's items with commas between, or a scalar's text."""
-    items = F.array_join(F.try_variant_get(payload, path, "array<string>"), ", ")
-    return F.coalesce(F.nullif(items, F.lit("")), scalar(payload, path))
+    return F.coalesce(F.nullif(F.array_join(F.try_variant_get(v, "$", "array<string>"), ", "), F.lit("")), plain(v))
 
 
-def names(payload: Column, path: str) -> Column:
+def names(v: Column) -> Column:
     """The names of a list of objects."""
-    items = F.coalesce(F.try_variant_get(payload, path, "array<variant>"), F.array().cast("array<variant>"))
-    return F.filter(F.transform(items, lambda v: scalar(v, "$.name")), lambda n: n.isNotNull())
+    items = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array().cast("array<variant>"))
+    return F.filter(F.transform(items, lambda x: within(x, "$.name")), lambda n: n.isNotNull())
 
 
 def as_list(v: Column) -> Column:
@@ -46,14 +61,14 @@ def as_list(v: Column) -> Column:
 
 def _places(location: Column) -> Column:
     """Parts of a location: a text, an object with an address or its parts, or a list of those."""
+    none = F.array().cast("array<string>")
 
-    def parts(loc: Column) -> Column:
-        inner = F.coalesce(F.try_variant_get(loc, "$.address", "variant"), loc)
-        fields = F.filter(F.array(*[scalar(inner, f"$.{f}") for f in ADDRESS_PARTS]), lambda x: x.isNotNull())
+    def parts(inner: Column) -> Column:
         whole = F.nullif(F.try_variant_get(inner, "$", "string"), F.lit(""))
-        return F.when(is_kind(inner, "OBJECT"), fields).when(is_kind(inner, "STRING") & whole.isNotNull(), F.array(whole)).otherwise(F.array().cast("array<string>"))
+        fields = let(opened(inner, *ADDRESS_PARTS), lambda a: F.when(a.isNotNull(), F.array_compact(F.array(*[plain(a[f]) for f in ADDRESS_PARTS]))))
+        return F.coalesce(fields, F.when(is_kind(inner, "STRING") & whole.isNotNull(), F.array(whole)), none)
 
-    return F.coalesce(F.flatten(F.transform(as_list(location), parts)), F.array().cast("array<string>"))
+    return F.coalesce(F.flatten(F.transform(as_list(location), lambda loc: let(F.coalesce(F.try_variant_get(loc, "$.address", "variant"), loc), parts))), none)
 
 
 def place_in_headline(headline: Column, title: Column) -> Column:
@@ -68,104 +83,130 @@ def currency_in(text: Column) -> Column:
     return F.when(low.rlike(KES_WORDS), "KES").when(low.rlike(USD_WORDS), "USD")
 
 
-def _row(**columns: Column) -> list[Column]:
+def _row(**columns: Column) -> Column:
     texts = {c: F.lit(None).cast("string") for c in COMMON} | {"remote_hint": F.lit(False), "skills_text": F.lit("")}
-    return [(texts | columns)[c].alias(c) for c in COMMON]
+    return F.struct(*[(texts | columns)[c].alias(c) for c in COMMON])
 
 
-def _salary(v: Column) -> dict[str, Column]:
-    value = F.try_variant_get(v, "$.value", "variant")
-    return {
-        "base_currency": scalar(v, "$.currency"),
-        "base_low": scalar(v, "$.value.minValue"),
-        "base_high": scalar(v, "$.value.maxValue"),
-        "base_single": F.when(is_kind(value, "OBJECT"), scalar(v, "$.value.value")).otherwise(scalar(v, "$.value")),
-        "base_unit": scalar(v, "$.value.unitText"),
-    }
+POSTING = ["url", "title", "hiringOrganization", "jobLocation", "jobLocationType", "datePosted", "validThrough", "employmentType", "industry", "occupationalCategory", "description", "skills", "baseSalary", "salaryText"]
+EMPLOYER, PAY, AMOUNTS = ["name"], ["currency", "value"], ["minValue", "maxValue", "value", "unitText"]
 
 
-def schema_org(payload: Column) -> list[Column]:
+def schema_org(payload: Column) -> Column:
     """schema.org job postings, on their own or under job_posting beside the page's data."""
-    at = lambda name: F.try_variant_get(posting, f"$.{name}", "variant")
-    inner = F.try_variant_get(payload, "$.job_posting", "variant")
-    posting = F.when(is_kind(inner, "OBJECT"), inner).otherwise(payload)
-    org = F.get(as_list(at("hiringOrganization")), F.lit(0))
-    title = scalar(posting, "$.title")
-    page = place_in_headline(text_at(payload, "$.page_meta.og_title"), title)
-    listed = F.nullif(F.array_join(_places(at("jobLocation")), ", "), F.lit(""))
-    places = F.array_distinct(F.filter(F.array(page, listed), lambda p: p.isNotNull()))
-    salary = {k: F.when(is_kind(at("baseSalary"), "OBJECT"), v) for k, v in _salary(at("baseSalary")).items()}
-    return _row(
-        url=F.coalesce(scalar(payload, "$.url"), scalar(posting, "$.url")),
-        title=title,
-        company=F.when(is_kind(org, "OBJECT"), scalar(org, "$.name")).otherwise(scalar(org, "$")),
-        location_text=F.array_join(places, ", "),
-        remote_hint=F.coalesce(F.upper(scalar(posting, "$.jobLocationType")) == "TELECOMMUTE", F.lit(False)),
-        date_posted=scalar(posting, "$.datePosted"),
-        valid_through=scalar(posting, "$.validThrough"),
-        employment_type=joined(posting, "$.employmentType"),
-        industry=F.coalesce(joined(posting, "$.industry"), joined(posting, "$.occupationalCategory")),
-        description_html=scalar(posting, "$.description"),
-        skills_text=F.coalesce(joined(posting, "$.skills"), F.lit("")),
-        salary_text=scalar(posting, "$.salaryText"),
-        **salary,
-    )
-
-
-def reliefweb(payload: Column) -> list[Column]:
-    job = F.try_variant_get(payload, "$.job", "variant")
-    cities, countries = names(job, "$.city"), names(job, "$.country")
-    listed = lambda path: F.nullif(F.array_join(names(job, path), ", "), F.lit(""))
-    return _row(
-        url=F.coalesce(scalar(payload, "$.url"), scalar(job, "$.url")),
-        title=scalar(job, "$.title"),
-        company=F.get(names(job, "$.source"), F.lit(0)),
-        location_text=F.array_join(F.when(F.size(cities) > 0, cities).otherwise(countries), ", "),
-        date_posted=scalar(job, "$.date.created"),
-        valid_through=scalar(job, "$.date.closing"),
-        employment_type=listed("$.type"),
-        industry=listed("$.career_categories"),
-        description_html=scalar(job, "$['body-html']"),
-    )
-
-
-def jsearch(payload: Column) -> list[Column]:
+
+    def row(page: Column, post: Column, pay: Column, amounts: Column) -> Column:
+        title = plain(post["title"])
+        listed = F.nullif(F.array_join(_places(post["jobLocation"]), ", "), F.lit(""))
+        headline = let(title, lambda t: place_in_headline(text_at(page["page_meta"], "$.og_title"), t))
+        named = lambda org: let(opened(org, *EMPLOYER), lambda o: F.when(o.isNotNull(), plain(o["name"])).otherwise(plain(org)))
+        return _row(
+            url=F.coalesce(plain(page["url"]), plain(post["url"])),
+            title=title,
+            company=let(F.get(as_list(post["hiringOrganization"]), F.lit(0)), named),
+            location_text=F.array_join(F.array_distinct(F.array_compact(F.array(headline, listed))), ", "),
+            remote_hint=F.coalesce(F.upper(plain(post["jobLocationType"])) == "TELECOMMUTE", F.lit(False)),
+            date_posted=plain(post["datePosted"]),
+            valid_through=plain(post["validThrough"]),
+            employment_type=joined(post["employmentType"]),
+            industry=F.coalesce(joined(post["industry"]), joined(post["occupationalCategory"])),
+            description_html=plain(post["description"]),
+            skills_text=F.coalesce(joined(post["skills"]), F.lit("")),
+            base_currency=plain(pay["currency"]),
+            base_low=plain(amounts["minValue"]),
+            base_high=plain(amounts["maxValue"]),
+            base_single=F.when(amounts.isNotNull(), plain(amounts["value"])).otherwise(plain(pay["value"])),
+            base_unit=plain(amounts["unitText"]),
+            salary_text=plain(post["salaryText"]),
+        )
+
+    posting = lambda page: F.coalesce(opened(page["job_posting"], *POSTING), opened(payload, *POSTING))
+    paid = lambda page, post: let(opened(post["baseSalary"], *PAY), lambda pay: let(opened(pay["value"], *AMOUNTS), lambda amounts: row(page, post, pay, amounts)))
+    return let(opened(payload, "url", "job_posting", "page_meta"), lambda page: let(posting(page), lambda post: paid(page, post)))
+
+
+RELIEFWEB = ["url", "title", "source", "city", "country", "date", "type", "career_categories", "body-html"]
+
+
+def reliefweb(payload: Column) -> Column:
+    listed = lambda v: F.nullif(F.array_join(names(v), ", "), F.lit(""))
+    places = lambda job: let(names(job["city"]), lambda cities: F.array_join(F.when(F.size(cities) > 0, cities).otherwise(names(job["country"])), ", "))
+
+    def row(job: Column) -> Column:
+        return _row(
+            url=F.coalesce(within(payload, "$.url"), plain(job["url"])),
+            title=plain(job["title"]),
+            company=F.get(names(job["source"]), F.lit(0)),
+            location_text=places(job),
+            date_posted=within(job["date"], "$.created"),
+            valid_through=within(job["date"], "$.closing"),
+            employment_type=listed(job["type"]),
+            industry=listed(job["career_categories"]),
+            description_html=plain(job["body-html"]),
+        )
+
+    return let(opened(F.try_variant_get(payload, "$.job", "variant"), *RELIEFWEB), row)
+
+
+JSEARCH = [
+    "job_title", "employer_name", "job_apply_link", "job_google_link", "job_location", "job_city", "job_country", "job_is_remote", "job_posted_at_datetime_utc", "job_offer_expiration_datetime_utc", "job_employment_type",
+    "industry", "job_function", "job_description", "job_salary_currency", "job_salary_string", "job_min_salary", "job_max_salary", "job_salary_period",
+]
+
+
+def jsearch(payload: Column) -> Column:
     """Stable and observed halves put together, the stable one first. No currency, no salary."""
-    of = lambda name: F.coalesce(scalar(payload, f"$.job.{name}"), scalar(payload, f"$.observed.{name}"))
-    currency = F.coalesce(of("job_salary_currency"), currency_in(of("job_salary_string")))
-    low, high = of("job_min_salary"), of("job_max_salary")
-    paid = currency.isNotNull() & (low.isNotNull() | high.isNotNull())
-    place = F.coalesce(of("job_location"), F.array_join(F.filter(F.array(of("job_city"), of("job_country")), lambda p: p.isNotNull()), ", "))
-    return _row(
-        url=F.coalesce(of("job_apply_link"), of("job_google_link")),
-        title=of("job_title"),
-        company=of("employer_name"),
-        location_text=place,
-        remote_hint=F.coalesce(F.lower(of("job_is_remote")) == "true", F.lit(False)),
-        date_posted=of("job_posted_at_datetime_utc"),
-        valid_through=of("job_offer_expiration_datetime_utc"),
-        employment_type=of("job_employment_type"),
-        industry=F.coalesce(of("industry"), of("job_function")),
-        description_html=of("job_description"),
-        skills_text=F.coalesce(joined(payload, "$.job.required_technologies"), F.lit("")),
-        base_currency=F.when(paid, currency),
-        base_low=F.when(paid, low),
-        base_high=F.when(paid, high),
-        base_unit=F.when(paid, F.upper(of("job_salary_period"))),
-    )
-
-
-def jooble(payload: Column) -> list[Column]:
-    of = lambda name: scalar(payload, f"$.job.{name}")
-    return _row(url=of("link"), title=of("title"), company=of("company"), location_text=of("location"), date_posted=of("updated"), employment_type=of("type"), description_html=of("snippet"), salary_text=of("salary"))
-
-
-def remotive(payload: Column) -> list[Column]:
-    of = lambda name: scalar(payload, f"$.job.{name}")
-    return _row(
+
+    def row(of: Column) -> Column:
+        currency = F.coalesce(of["job_salary_currency"], currency_in(of["job_salary_string"]))
+        low, high = of["job_min_salary"], of["job_max_salary"]
+        paid = let(currency, lambda c: F.when(c.isNotNull() & (low.isNotNull() | high.isNotNull()), c))
+        cities = F.array_join(F.array_compact(F.array(of["job_city"], of["job_country"])), ", ")
+        return let(
+            paid,
+            lambda money: _row(
+                url=F.coalesce(of["job_apply_link"], of["job_google_link"]),
+                title=of["job_title"],
+                company=of["employer_name"],
+                location_text=F.coalesce(of["job_location"], cities),
+                remote_hint=F.coalesce(F.lower(of["job_is_remote"]) == "true", F.lit(False)),
+                date_posted=of["job_posted_at_datetime_utc"],
+                valid_through=of["job_offer_expiration_datetime_utc"],
+                employment_type=of["job_employment_type"],
+                industry=F.coalesce(of["industry"], of["job_function"]),
+                description_html=of["job_description"],
+                skills_text=F.coalesce(let(F.try_variant_get(payload, "$.job.required_technologies", "variant"), joined), F.lit("")),
+                base_currency=money,
+                base_low=F.when(money.isNotNull(), low),
+                base_high=F.when(money.isNotNull(), high),
+                base_unit=F.when(money.isNotNull(), F.upper(of["job_salary_period"])),
+            ),
+        )
+
+    half = lambda name: opened(F.try_variant_get(payload, f"$.{name}", "variant"), *JSEARCH)
+    both = lambda job, seen: F.struct(*[F.coalesce(plain(job[name]), plain(seen[name])).alias(name) for name in JSEARCH])
+    return let(half("job"), lambda job: let(half("observed"), lambda seen: let(both(job, seen), row)))
+
+
+JOOBLE = ["link", "title", "company", "location", "updated", "type", "snippet", "salary"]
+REMOTIVE = ["url", "title", "company_name", "candidate_required_location", "publication_date", "job_type", "category", "description", "tags", "salary"]
+
+
+def _job(payload: Column, fields: list[str], row: Callable[[Column, Callable[[str], Column]], Column]) -> Column:
+    return let(opened(F.try_variant_get(payload, "$.job", "variant"), *fields), lambda job: row(job, lambda name: plain(job[name])))
+
+
+def jooble(payload: Column) -> Column:
+    row = lambda job, of: _row(url=of("link"), title=of("title"), company=of("company"), location_text=of("location"), date_posted=of("updated"), employment_type=of("type"), description_html=of("snippet"), salary_text=of("salary"))
+    return _job(payload, JOOBLE, row)
+
+
+def remotive(payload: Column) -> Column:
+    row = lambda job, of: _row(
         url=of("url"), title=of("title"), company=of("company_name"), location_text=of("candidate_required_location"), remote_hint=F.lit(True), date_posted=of("publication_date"),
-        employment_type=of("job_type"), industry=of("category"), description_html=of("description"), skills_text=F.coalesce(joined(payload, "$.job.tags"), F.lit("")), salary_text=of("salary"),
+        employment_type=of("job_type"), industry=of("category"), description_html=of("description"), skills_text=F.coalesce(joined(job["tags"]), F.lit("")), salary_text=of("salary"),
     )
+    return _job(payload, REMOTIVE, row)
 
 
 #: Sources with a shape of their own; all others are read as schema.org postings.
@@ -174,10 +215,11 @@ ADAPTERS = {"reliefweb": reliefweb, "jsearch": jsearch, "jooble": jooble, "remot
 
 def adapt(rows: DataFrame, payload: str = "payload", source: str = "source") -> DataFrame:
     """Rows with the common columns added: one projection, in which each row takes the branch of its
-    source. The branches give one struct type, so the rows are read once."""
-    shape = F.struct(*schema_org(F.col(payload)))
+    source. The branches give one struct type, so the rows are read once, and each opens an object of
+    the payload once: every look for a field, or at a kind, would walk the whole object again."""
+    shape = schema_org(F.col(payload))
     for name, project in ADAPTERS.items():
-        shape = F.when(F.col(source) == name, F.struct(*project(F.col(payload)))).otherwise(shape)
+        shape = F.when(F.col(source) == name, project(F.col(payload))).otherwise(shape)
     kept = [c for c in rows.columns if c != payload]
     # a filter is not pushed through inline, nor its columns pulled apart: a branch is worked out once
     return rows.select(*kept, F.inline(F.array(shape)))
