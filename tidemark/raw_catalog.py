@@ -51,7 +51,7 @@ def linked_data(spark: SparkSession, d: str) -> DataFrame:
     posting = F.concat(F.repeat(F.lit('{"@graph": ['), deep), _filled(POSTING, kind=kind, title=F.col("c_mktsegment"), n=F.col("n_nationkey")), F.repeat(F.lit("]}"), deep))
     places = F.when(k % 7 == 0, F.lit('{"@graph": [{"@id": "l"')).otherwise(_filled(PLACES, place=F.col("n_name")))
     blocks = F.array(_filled(EMPLOYERS, n=F.col("n_nationkey"), name=F.col("c_name")), posting, places)
-    rows = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(k.alias("page"), blocks.alias("blocks"))
+    rows = _customers(spark, d).select(k.alias("page"), blocks.alias("blocks"))
     at = lambda path: F.try_variant_get(F.parse_json("posting"), path, "string")
     place = "$.jobLocation[0].address"
     return pages.linked_data(rows).select(
@@ -328,7 +328,8 @@ def fingerprints(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _customers(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    customers = spread(read(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    return customers.join(F.broadcast(read(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 LINKS = '<p><a href="/job/cook-<k>">1</a><a href=\'/job/cook-<k>#apply\'>2</a><a href="https://m.example/job/other-<n>">3</a><a href="/job/a/b">4</a><a href="https://b.example/job/x">5</a><a href="/2026/01/<n>/post-<k>/">6</a><a href="/2026/1/02/post">7</a><a href="/job/q?x=1">8</a>'
