@@ -14,6 +14,7 @@ from tidemark.functions import geo, salary, skills, stats, text
 from tidemark.lens import SHIFT_DAYS, TITLES, read
 from tidemark.operators import merge
 from tidemark.plans import warehouse
+from tidemark.shared import dealt
 from tidemark.sources import pages
 
 
@@ -216,6 +217,7 @@ def _load(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         price.alias("salary_min_monthly_kes"), (price + 100).cast("decimal(14,2)").alias("salary_max_monthly_kes"), F.lit("text").alias("salary_source"),
     )
     items = read(spark, d, "lineitem").join(read(spark, d, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    items = dealt(items.select("l_orderkey", "p_type"), "l_orderkey")
     named = items.join(o.select("o_orderkey", "o_orderpriority"), F.col("l_orderkey") == _key()).select(F.col("o_orderpriority").alias("source"), F.col("l_orderkey").cast("string").alias("job_key"), F.col("p_type").alias("skill"), F.substring("p_type", 1, 1).alias("category")).distinct()
     return warehouse.build(postings, named, warehouse.empty_registries(spark))
 

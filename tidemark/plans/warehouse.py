@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, geo
 from tidemark.operators import merge
+from tidemark.shared import dealt
 
 UNKNOWN, REMOTE, ABROAD = -1, -2, -3
 
@@ -51,9 +52,14 @@ def location_key(county_code, location_raw, is_remote):
     return F.when(county_code.isNotNull(), county_code).when(location_raw.ilike("%outside kenya%"), F.lit(ABROAD)).when(is_remote, F.lit(REMOTE)).otherwise(F.lit(UNKNOWN))
 
 
+def _posting():
+    """The business key of a posting as one text."""
+    return F.to_json(F.struct("source", "job_key"))
+
+
 def fact(postings: DataFrame, job_skills: DataFrame, companies: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row per posting, duplicates flagged, with a stable key. registry: posting, job_posting_key."""
-    named = postings.withColumn("posting", F.to_json(F.struct("source", "job_key")))
+    named = postings.withColumn("posting", _posting())
     keys = merge.register_keys(registry, named, "posting", "job_posting_key")
     counted = job_skills.groupBy("source", "job_key").agg(F.count(F.lit(1)).alias("n"))
     known = companies.filter(F.col("company_key") != UNKNOWN).select("company_norm", "company_key")
@@ -75,9 +81,13 @@ def fact(postings: DataFrame, job_skills: DataFrame, companies: DataFrame, regis
     ), keys
 
 
-def bridge(job_skills: DataFrame, facts: DataFrame, skills: DataFrame) -> DataFrame:
-    rows = job_skills.join(facts.select("source", "job_key", "job_posting_key"), ["source", "job_key"])
-    return rows.join(skills.select(F.col("skill_name").alias("skill"), "skill_key"), "skill").select("job_posting_key", "skill_key").distinct()
+def bridge(job_skills: DataFrame, postings: DataFrame, registry: DataFrame, skills: DataFrame) -> DataFrame:
+    """Skills of the postings that the fact table has, by their keys alone: the fact's other columns cost
+    joins. Names become keys first, so that the large join sorts narrow rows. registry: as fact returns it."""
+    named = postings.select("source", "job_key", _posting().alias("posting"))
+    keyed = named.join(registry, "posting").select("source", "job_key", "job_posting_key")
+    rows = job_skills.join(skills.select(F.col("skill_name").alias("skill"), "skill_key"), "skill").select("source", "job_key", "skill_key")
+    return dealt(rows, "source", "job_key").join(keyed, ["source", "job_key"]).select("job_posting_key", "skill_key").distinct()
 
 
 def empty_registries(spark: SparkSession) -> dict[str, DataFrame]:
@@ -97,6 +107,6 @@ def build(postings: DataFrame, job_skills: DataFrame, registries: dict[str, Data
     facts, posting_keys = fact(postings, job_skills, companies, registries["posting_keys"])
     return {
         "dim_date": dim_date(spark), "dim_location": dim_location(spark), "dim_company": companies, "dim_skill": skills,
-        "fact": facts, "bridge": bridge(job_skills, facts, skills),
+        "fact": facts, "bridge": bridge(job_skills, postings, posting_keys, skills),
         "company_keys": company_keys, "skill_keys": skill_keys, "posting_keys": posting_keys,
     }

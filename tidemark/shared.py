@@ -32,3 +32,10 @@ def spread(df: DataFrame) -> DataFrame:
     a small file alone is one task."""
     least = 3 * df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` by keys in as many partitions as the session shuffles into, for large joins that sort.
+    Left to itself, adaptive execution merges them down to one a core, and a task's sort grows with that."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism), *keys)
