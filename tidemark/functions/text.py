@@ -120,19 +120,29 @@ def unescape(text: Column) -> Column:
     return text
 
 
-def clean_title(raw: Column) -> Column:
-    """Noise words, bracketed noise and up to three trailing places off; case repaired; null gives ''."""
+def tidy_title(raw: Column) -> Column:
+    """Noise words and bracketed noise off; null gives ''."""
     t = collapse(unescape(F.coalesce(raw, F.lit(""))))
-    t = F.regexp_replace(F.regexp_replace(t, TITLE_PREFIX, ""), TITLE_BRACKETS, " ")
-    bound = F.struct(t.alias("t"), F.lit(True).alias("go"))
+    return F.regexp_replace(F.regexp_replace(t, TITLE_PREFIX, ""), TITLE_BRACKETS, " ")
+
+
+def placeless_title(tidy: Column) -> Column:
+    """Up to three trailing places off."""
+    bound = F.struct(tidy.alias("t"), F.lit(True).alias("go"))
 
     def strip(state: Column, _: Column) -> Column:
         place = F.regexp_extract(state["t"], TITLE_PLACE, 1)
         cut = state["go"] & (place != "") & geo.is_location_only(place)
         return F.struct(F.when(cut, F.regexp_replace(state["t"], TITLE_PLACE, "")).otherwise(state["t"]).alias("t"), cut.alias("go"))
 
-    t = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), bound, strip)["t"]
-    return fix_case(F.regexp_replace(collapse(t), r"^[ \-–—|:,@]+|[ \-–—|:,@]+$", ""))
+    # most titles end in no place: those are not taken through the steps
+    t = F.when(tidy.rlike(TITLE_PLACE), F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), bound, strip)["t"]).otherwise(tidy)
+    return F.regexp_replace(collapse(t), r"^[ \-–—|:,@]+|[ \-–—|:,@]+$", "")
+
+
+def clean_title(raw: Column) -> Column:
+    """Noise words, bracketed noise and up to three trailing places off; case repaired; null gives ''."""
+    return fix_case(placeless_title(tidy_title(raw)))
 
 
 def seniority(title: Column) -> Column:
@@ -147,9 +157,17 @@ def clean_company(name: Column) -> Column:
     return F.nullif(collapse(unescape(name)), F.lit(""))
 
 
+def without_legal_forms(name: Column) -> Column:
+    return F.regexp_replace(F.coalesce(name, F.lit("")), LEGAL_FORMS, " ")
+
+
 def company_norm(name: Column) -> Column:
     """Comparable name; null where the employer is not named."""
-    n = norm_text(F.regexp_replace(F.coalesce(name, F.lit("")), LEGAL_FORMS, " "))
+    return named_employer(norm_text(without_legal_forms(name)))
+
+
+def named_employer(n: Column) -> Column:
+    """A normalised name; null where it hides the employer."""
     return F.when((n == "") | n.isin(HIDDEN_EMPLOYERS) | n.startswith("confidential"), None).otherwise(n)
 
 

@@ -18,10 +18,15 @@ def clean(latest: DataFrame) -> DataFrame:
     payload, first_seen, last_seen."""
     rows = adapters.adapt(latest.select("id", "source", "job_key", "payload", "first_seen", "last_seen"))
     rows = rows.withColumn("title_raw", F.trim(F.coalesce("title", F.lit(""))))
-    rows = rows.withColumn("title_clean", text.clean_title(F.col("title_raw")))
+    # a step that names the one before it many times has that one as a column, so that it is worked out once
+    rows = rows.withColumn("title_tidy", text.tidy_title(F.col("title_raw"))).withColumn("title_bare", text.placeless_title(F.col("title_tidy")))
+    rows = rows.withColumn("title_clean", text.fix_case(F.col("title_bare")))
     rows = rows.withColumn("description_text", text.redact_contacts(text.html_to_text(F.col("description_html"))))
-    rows = rows.withColumn("place", geo.map_location(F.col("location_text"))).withColumn("company", text.clean_company(F.col("company")))
-    rows = rows.withColumn("title_norm", text.norm_text(F.col("title_clean"))).withColumn("company_norm", text.company_norm(F.col("company")))
+    rows = rows.withColumn("location_marked", geo.marked_location(F.col("location_text"))).withColumn("company", text.clean_company(F.col("company")))
+    at = F.col("location_text"), F.col("location_marked")
+    rows = rows.withColumn("place_name", geo.place_in(*at)).withColumn("place", geo.county_of(F.col("place_name"))).withColumn("says_remote", geo.says_remote(*at))
+    rows = rows.withColumn("title_norm", text.norm_text(F.col("title_clean"))).withColumn("company_bare", text.without_legal_forms(F.col("company")))
+    rows = rows.withColumn("company_words", text.norm_text(F.col("company_bare"))).withColumn("company_norm", text.named_employer(F.col("company_words")))
     structured = salary.from_structured(F.col("base_currency"), F.col("base_low"), F.col("base_high"), F.col("base_single"), F.col("base_unit"))
     rows = rows.withColumn("paid", F.coalesce(structured, salary.from_text(F.col("salary_text")), salary.from_text(F.col("description_text"))))
     both = (F.col("title_norm") != "") & F.col("company_norm").isNotNull()
@@ -38,7 +43,7 @@ def clean(latest: DataFrame) -> DataFrame:
         "location_raw": none("location_text"),
         "county": F.col("place.county"),
         "county_code": F.col("place.county_code"),
-        "is_remote": F.col("place.is_remote") | F.coalesce("remote_hint", F.lit(False)),
+        "is_remote": F.col("says_remote") | F.coalesce("remote_hint", F.lit(False)),
         "date_posted": text.parse_date(F.col("date_posted")),
         "valid_through": text.parse_date(F.col("valid_through")),
         "salary_currency": F.col("paid.currency"),

@@ -116,11 +116,19 @@ def _one_of(n: Column, *cases: str | Column | None) -> Column:
     return out
 
 
+def told(orders: DataFrame) -> DataFrame:
+    """Orders with the words that their payloads are made of, each a column: payloads name them many times."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return orders.select(
+        "*", _text(_at(TITLES, k % 7)).alias("title"), _at(TOWNS, c % 5).alias("town"), _text(F.concat(F.lit("Firm "), c)).alias("firm"), _text(F.col("o_orderdate").cast("string")).alias("day"),
+        _text(F.concat(F.lit("https://x.example/"), k)).alias("link"), (c + 1).cast("string").alias("amount"), _at(list(_SHAPES), k % 5).alias("of"),
+    )
+
+
 def payloads() -> dict[str, Column]:
     """JSON of an order as each source would send it, in all the shapes that the source has."""
     k = F.col("o_orderkey")
-    title, town, firm = _text(_at(TITLES, k % 7)), _at(TOWNS, F.col("o_custkey") % 5), _text(F.concat(F.lit("Firm "), F.col("o_custkey")))
-    day, link, amount = _text(F.date_format("o_orderdate", "yyyy-MM-dd")), _text(F.concat(F.lit("https://x.example/"), k)), (F.col("o_custkey") + 1).cast("string")
+    title, town, firm, day, link, amount = map(F.col, ["title", "town", "firm", "day", "link", "amount"])
     named = lambda *names: F.concat(F.lit("["), F.concat_ws(", ", *[_json(name=_text(n)) for n in names]), F.lit("]"))
     region = F.concat(F.lit("R"), k % 3)
     where = _one_of(
@@ -193,7 +201,7 @@ def _adapter(source: str) -> None:
 
     @query(f"adapter_{source}", f"SELECT k AS o_orderkey, {columns} FROM ({_ROW})")
     def run(spark: SparkSession, d: str) -> DataFrame:
-        rows = _orders(spark, d).select("o_orderkey", F.lit(source).alias("source"), F.parse_json(payloads()[source]).alias("payload"))
+        rows = told(_orders(spark, d)).select("o_orderkey", F.lit(source).alias("source"), F.parse_json(payloads()[source]).alias("payload"))
         return adapters.adapt(rows).select("o_orderkey", *adapters.COMMON)
 
 
@@ -204,11 +212,11 @@ for _source in _SHAPES:
 def posted(spark: SparkSession, d: str) -> DataFrame:
     """Each order as the latest version of a posting, from one source in turn."""
     k = F.col("o_orderkey")
-    source = _at(list(_SHAPES), k % 5)
+    source = F.col("of")
     payload = F.lit(None).cast("string")
     for name, json in payloads().items():
         payload = F.when(source == name, json).otherwise(payload)
-    rows = _orders(spark, d).select(k.alias("id"), source.alias("source"), k.cast("string").alias("job_key"), payload.alias("json"), F.col("o_orderdate").cast("timestamp").alias("first_seen"))
+    rows = told(_orders(spark, d)).select(k.alias("id"), source.alias("source"), k.cast("string").alias("job_key"), payload.alias("json"), F.col("o_orderdate").cast("timestamp").alias("first_seen"))
     return rows.select("id", "source", "job_key", F.parse_json("json").alias("payload"), "first_seen", F.col("first_seen").alias("last_seen"))
 
 
