@@ -49,7 +49,7 @@ def trimmed(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of their counts."""
-    by = np.argsort(keys, kind="stable")
+    by = np.argsort(keys, kind="stable" if counts.dtype.kind == "f" else None)  # sums of fractions keep their order
     keys, counts = keys[by], counts[by]
     if not len(keys):
         return keys, counts
@@ -65,7 +65,11 @@ class Tally:
         self.size = 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.parts.append(summed(keys, counts))
+        self.add_distinct(*summed(keys, counts))
+
+    def add_distinct(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Keys that are distinct and in order already."""
+        self.parts.append((keys, counts))
         self.size += len(self.parts[-1][0])
         if len(self.parts) > 1 and self.size > 2 * len(self.parts[0][0]) + (1 << 20):
             self.result()
@@ -87,8 +91,8 @@ def ranges(keys: np.ndarray, bits: int, many: int) -> Iterator[tuple[int, slice]
         yield int(p[a]), slice(a, b)
 
 
-def request_rows(block: int, kind: int, keys: np.ndarray, counts: np.ndarray, bits: int, many: int) -> list[dict]:
-    return [{"p": p, "kind": kind, "block": block, "keys": _bytes.pack(keys[s]), "counts": _bytes.pack_counts(counts[s])} for p, s in ranges(keys, bits, many)]
+def request_rows(block: int, kind: int, keys: np.ndarray, counts: np.ndarray | None, bits: int, many: int) -> list[dict]:
+    return [{"p": p, "kind": kind, "block": block, "keys": _bytes.pack(keys[s]), "counts": None if counts is None else _bytes.pack_counts(counts[s])} for p, s in ranges(keys, bits, many)]
 
 
 def request_table(rows: list[dict]) -> pa.Table:
